@@ -26,6 +26,7 @@ from hearthstream.functions.documents import (  # noqa: F401
     enveloped,
     field,
     is_json_null,
+    is_kind,
     merge_json,
     only_value,
     parse_json_value,

@@ -63,12 +63,25 @@ def is_json_null(value: Column) -> Column:
     return F.is_variant_null(value)
 
 
+# How the schema text of a value starts, by kind.
+_SHAPES = {
+    "string": r"\ASTRING",
+    "boolean": r"\ABOOLEAN",
+    "number": r"\A(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)",
+    "object": r"\AOBJECT",
+    "array": r"\AARRAY",
+}
+
+
+def is_kind(value: Column, kind: str) -> Column:
+    """Whether a value has one kind; NULL for no value."""
+    return F.schema_of_variant(value).rlike(_SHAPES[kind])
+
+
 def field(document: Column, name: str, kind: str, spark_type: str) -> Column:
     """A top-level field, only if it has the wanted JSON kind; otherwise NULL."""
     value = F.try_variant_get(document, f"$.{name}", "variant")
-    return F.when(
-        value_kind(value) == kind, F.try_variant_get(document, f"$.{name}", spark_type)
-    )
+    return F.when(is_kind(value, kind), F.try_variant_get(document, f"$.{name}", spark_type))
 
 
 def merge_json(base: Column, overlay: Column) -> Column:

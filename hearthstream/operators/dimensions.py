@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthstream.functions import (
+    enveloped,
     field,
+    is_json_null,
+    is_kind,
     nullif_empty,
     nullif_zero,
-    parse_json_value,
-    value_kind,
+    only_value,
 )
 from hearthstream.operators.envelope import ARRIVAL
 from hearthstream.operators.keyed import last_wins, upsert
@@ -35,7 +37,9 @@ PLACE_FIELDS = {"latitude": "decimal(10,6)", "longitude": "decimal(10,6)", "elev
 
 
 def _object(messages: DataFrame, out: str = "doc") -> DataFrame:
-    return messages.withColumn(out, parse_json_value(F.col("value").cast("string")))
+    # One-element explode: the text is parsed once, whatever refers to the result.
+    parsed = messages.withColumn("_envelope", F.explode(F.array(enveloped(F.col("value").cast("string")))))
+    return parsed.withColumn(out, only_value(F.col("_envelope"))).drop("_envelope")
 
 
 @dataclass
@@ -56,10 +60,9 @@ def split_metadata(messages: DataFrame) -> Metadata:
     parsed = _object(messages)
     doc = F.col("doc")
     stations = F.try_variant_get(doc, "$.stations", "variant")
-    is_object = F.coalesce(value_kind(doc) == "object", F.lit(False))
-    has_stations = F.coalesce(value_kind(stations) == "array", F.lit(False))
+    has_stations = F.coalesce(is_kind(stations, "array"), F.lit(False))
     has_lsid = field(doc, "lsid", "number", "double").isNotNull()
-    readable = is_object | F.coalesce(value_kind(doc) == "null", F.lit(False))
+    readable = F.coalesce(is_kind(doc, "object") | is_json_null(doc), F.lit(False))
     marked = parsed.withColumn(
         "_class",
         F.when(has_stations, "station").when(has_lsid, "device").otherwise("invalid"),
@@ -130,9 +133,9 @@ def flatten_catalog(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     doc = F.col("doc")
     wrapped = F.try_variant_get(doc, "$.sensor_types", "array<variant>")
     is_wrapped = F.coalesce(
-        value_kind(F.try_variant_get(doc, "$.sensor_types", "variant")) == "array", F.lit(False)
+        is_kind(F.try_variant_get(doc, "$.sensor_types", "variant"), "array"), F.lit(False)
     )
-    is_object = F.coalesce(value_kind(doc).isin("object", "null"), F.lit(False))
+    is_object = F.coalesce(is_kind(doc, "object") | is_json_null(doc), F.lit(False))
     single = F.when(is_object & ~is_wrapped, F.array(doc))
     types = parsed.withColumn("_wrapped", is_wrapped).select(
         *messages.columns, "_wrapped", F.explode_outer(F.coalesce(
@@ -141,18 +144,18 @@ def flatten_catalog(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     entry = F.col("entry")
     sensor_type = field(entry, "sensor_type", "number", "double")
-    structures_kind = value_kind(F.try_variant_get(entry, "$.data_structures", "variant"))
+    structures = F.try_variant_get(entry, "$.data_structures", "variant")
     problem = (
         F.when(~F.col("_object"), BAD_CATALOG)
         .when(sensor_type.isNull(), NO_SENSOR_TYPE)
-        .when(~F.coalesce(structures_kind == "array", F.lit(False)), NO_STRUCTURES)
+        .when(~F.coalesce(is_kind(structures, "array"), F.lit(False)), NO_STRUCTURES)
     )
     checked = types.withColumn("reason", problem)
     # Inside a wrapper a bad element is only skipped.
     invalid = checked.where(F.col("reason").isNotNull() & ~F.col("_wrapped")).select(
         *messages.columns, "reason"
     )
-    structures = (
+    parts = (
         checked.where(F.col("reason").isNull())
         .select(
             *ARRIVAL,
@@ -174,14 +177,14 @@ def flatten_catalog(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.try_variant_get("structure", "$.data_structure", "variant").alias("fields"),
         )
         .where(
-            F.col("data_structure_type").isNotNull() & (value_kind(F.col("fields")) == "object")
+            F.col("data_structure_type").isNotNull() & is_kind(F.col("fields"), "object")
         )
     )
-    fields = structures.lateralJoin(
-        structures.sparkSession.tvf.variant_explode(F.col("fields").outer()).select(
+    fields = parts.lateralJoin(
+        parts.sparkSession.tvf.variant_explode(F.col("fields").outer()).select(
             F.col("key").alias("field_name"), F.col("value").alias("definition")
         )
-    ).where(value_kind(F.col("definition")) == "object")
+    ).where(is_kind(F.col("definition"), "object"))
     entries = fields.select(
         "sensor_type",
         "data_structure_type",

@@ -375,3 +375,10 @@ def bench_devices(spark: SparkSession, sf: str) -> DataFrame:
     return schemas.empty(spark, schemas.DEVICES_DDL).unionByName(rows, allowMissingColumns=True)
 
 
+
+
+def fill_inbox(df: DataFrame, path: str, order: Column, file_format: str = "parquet") -> None:
+    """The rows in two files, the second written after the first and holding what comes later."""
+    middle = df.agg(F.percentile(order, 0.5)).first()[0]
+    for part in (df.where(order <= middle), df.where(order > middle)):
+        part.coalesce(1).write.mode("append").format(file_format).save(path)

@@ -204,4 +204,7 @@ def with_ctes(body: str, *names: str) -> str:
             wanted.add(name)
             queue.extend(NEEDS.get(name, []))
     parts = [f"{name} AS ({CTES[name].strip()})" for name in CTES if name in wanted]
-    return (f"WITH {', '.join(parts)}\n" if parts else "") + body.strip()
+    body = body.strip()
+    if body.startswith("WITH ") and parts:
+        return f"WITH {', '.join(parts)},\n{body[len('WITH '):]}"
+    return (f"WITH {', '.join(parts)}\n" if parts else "") + body
