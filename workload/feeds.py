@@ -279,7 +279,7 @@ LABELS = ["person", "car", "truck", "dog", "cat", "Backpack", "tree", "chair"]
 
 
 def observations(spark: SparkSession, sf: str) -> DataFrame:
-    """Per image eight labelled confidences: the first elements of its embedding."""
+    """Per image one labelled confidence for each element of its embedding."""
     images = table(spark, sf, "embeddings").select(
         F.concat(
             F.lit("data/smart/"),
@@ -291,19 +291,19 @@ def observations(spark: SparkSession, sf: str) -> DataFrame:
             F.col("vec_id").cast("string"),
             F.lit(".jpg"),
         ).alias("image"),
-        F.posexplode(F.slice("embedding", 1, len(LABELS))).alias("position", "confidence"),
+        F.posexplode("embedding").alias("position", "confidence"),
     )
     labels = F.array(*[F.lit(x) for x in LABELS])
     return images.select(
         "image",
         "position",
-        F.get(labels, F.col("position")).alias("label"),
+        F.get(labels, F.col("position") % len(LABELS)).alias("label"),
         F.col("confidence").cast("double").alias("confidence"),
     )
 
 
 def observed_images(spark: SparkSession, sf: str) -> DataFrame:
-    """The same with the eight observations of an image as one array."""
+    """The same with the observations of an image as one array."""
     labels = F.array(*[F.lit(x) for x in LABELS])
     path = (
         F.when(F.col("label") % 4 == 0, "person")
@@ -316,9 +316,9 @@ def observed_images(spark: SparkSession, sf: str) -> DataFrame:
             F.lit("data/smart/"), path, F.lit("/cam/"), F.col("vec_id").cast("string"), F.lit(".jpg")
         ).alias("path"),
         F.transform(
-            F.slice("embedding", 1, len(LABELS)),
+            "embedding",
             lambda c, i: F.struct(
-                F.get(labels, i).alias("label"), c.cast("double").alias("confidence")
+                F.get(labels, i % len(LABELS)).alias("label"), c.cast("double").alias("confidence")
             ),
         ).alias("observations"),
     )

@@ -82,12 +82,17 @@ def data_topics(spark, sf):
     return topics.where(E.data_topics(F.col("topic"))).distinct()
 
 
+def _half(spark, sf) -> int:
+    """An offset in the middle of the messages."""
+    return feeds.messages(spark, sf).agg(F.max("offset")).first()[0] // 2
+
+
 @query("SRC3", """
 SELECT topic, count(*) AS messages, min(off) AS low, max(off) AS high
-FROM m WHERE off >= 100 AND off < 5000 GROUP BY topic""", "m")
+FROM m WHERE off >= 100 AND off < (SELECT max(off) // 2 FROM m) GROUP BY topic""", "m")
 def offset_range(spark, sf):
     return (
-        E.offset_range(feeds.messages(spark, sf), 100, 5000)
+        E.offset_range(feeds.messages(spark, sf), 100, _half(spark, sf))
         .groupBy("topic")
         .agg(
             F.count(F.lit(1)).alias("messages"),
@@ -387,28 +392,28 @@ def materialize_streamed(spark, sf):
 
 @query("STR4, AGG11", """
 SELECT metric, CAST(value AS BIGINT) AS value FROM (
-  SELECT 'processed' AS metric, count(*) AS value FROM known WHERE off < 5000
-  UNION ALL SELECT 'errors', count(*) FROM m WHERE off < 5000 AND lsid NOT IN (SELECT lsid FROM dev)
+  SELECT 'processed' AS metric, count(*) AS value FROM known WHERE off < (SELECT max(off) // 2 FROM m)
+  UNION ALL SELECT 'errors', count(*) FROM m WHERE off < (SELECT max(off) // 2 FROM m) AND lsid NOT IN (SELECT lsid FROM dev)
   UNION ALL SELECT 'numeric', count(*) FROM rec5 WHERE rkind = 'numeric'
   UNION ALL SELECT 'text', count(*) FROM rec5 WHERE rkind = 'text'
   UNION ALL SELECT 'null', count(*) FROM rec5 WHERE rkind = 'null'
-  UNION ALL SELECT 'orphaned', count(*) FROM orph WHERE off < 5000)""".replace("rec5", """(
+  UNION ALL SELECT 'orphaned', count(*) FROM orph WHERE off < (SELECT max(off) // 2 FROM m))""".replace("rec5", """(
     SELECT p.*, CASE WHEN p.vkind = 'null' THEN 'null'
       WHEN s.data_type = 'numeric' AND p.vkind = 'number' THEN 'numeric'
       WHEN s.data_type = 'text' AND p.vkind = 'string' THEN 'text' END AS rkind
     FROM pts p JOIN (
       SELECT lsid, field, CASE WHEN vkind IN ('number', 'boolean') THEN 'numeric'
         WHEN vkind = 'null' THEN 'null' ELSE 'text' END AS data_type
-      FROM pts WHERE off < 5000
+      FROM pts WHERE off < (SELECT max(off) // 2 FROM m)
       QUALIFY row_number() OVER (PARTITION BY lsid, field ORDER BY ts, topic, part, off) = 1
-    ) s USING (lsid, field) WHERE p.off < 5000
+    ) s USING (lsid, field) WHERE p.off < (SELECT max(off) // 2 FROM m)
     QUALIFY row_number() OVER (PARTITION BY lsid, field, hts, rkind ORDER BY ts, topic, part, off) = 1)"""),
        "pts", "orph")
 def replay_range(spark, sf):
     tables = _tables(spark, sf, "replay")
     topics = [f"events.{t}" for t in ("click", "view", "purchase", "signup", "error")]
     done = replay(
-        feeds.messages(spark, sf), tables, topics, 0, 5000, partition=None, now=feeds.now()
+        feeds.messages(spark, sf), tables, topics, 0, _half(spark, sf), partition=None, now=feeds.now()
     )
     return replay_summary(done, tables)
 

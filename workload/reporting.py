@@ -113,10 +113,12 @@ def duplicate_records(spark, sf):
 
 @query("AGG10", """
 SELECT topic, min(off) AS start_offset, max(off) + 1 AS current_offset, count(*) AS messages,
-  round((max(off) + 1 - min(off)) / (20000 - min(off)) * 100.0, 1) AS percent
+  round((max(off) + 1 - min(off)) / ((SELECT 2 * max(off) FROM m) - min(off)) * 100.0, 1) AS percent
 FROM m GROUP BY topic""", "m")
 def topic_progress(spark, sf):
-    return A.topic_progress(feeds.messages(spark, sf), 20000)
+    messages = feeds.messages(spark, sf)
+    end = 2 * messages.agg(F.max("offset")).first()[0]
+    return A.topic_progress(messages, end)
 
 
 @query("AGG12", """
@@ -194,13 +196,6 @@ def metric_deltas(spark, sf):
     return A.metric_deltas(A.cumulative_metrics(daily))
 
 
-@query("SNK10", """
-SELECT 'devices' AS table_name, 0 AS count UNION ALL SELECT 'tags', 0""")
-def empty_tables(spark, sf):
-    devices, tags, _, _ = _dims(spark, sf)
-    return A.counted(devices=A.empty(devices), tags=A.empty(tags))
-
-
 @query("SRC11", """
 SELECT s.lsid AS device_id, s.field AS tag_name, s.data_type FROM seen s""", "seen")
 def load_tags(spark, sf):

@@ -169,8 +169,8 @@ SELECT vec_id, 'data/smart/' || CASE label % 4 WHEN 0 THEN 'person' WHEN 1 THEN
   embedding FROM embeddings""",
     "obs": """
 SELECT image, event_type, i - 1 AS position, CAST(embedding[i] AS DOUBLE) AS confidence,
-  ['person', 'car', 'truck', 'dog', 'cat', 'Backpack', 'tree', 'chair'][i] AS label
-FROM img, range(1, 9) r(i)""",
+  ['person', 'car', 'truck', 'dog', 'cat', 'Backpack', 'tree', 'chair'][(i - 1) % 8 + 1] AS label
+FROM (SELECT image, event_type, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM img)""",
     "cmd": """
 SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
   CASE WHEN event_id % 7 = 0 THEN '' ELSE 'climate' END AS domain,

@@ -1 +1,172 @@
-"""Stub."""
+"""Event-window, frame and retention queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hearthstream.operators import cameras as C
+from hearthstream.operators import sessions as S
+from hearthstream.plans.archive import read_archive, write_archive
+from hearthstream.session import scratch_dir
+from hearthstream.sources import files
+from hearthstream.streaming.sessions import archive_sessions_stream
+from workload import feeds
+from workload.registry import query
+
+
+@query("WIN4", """
+SELECT camera, detection_type, eid AS event_id, start_ms, end_ms, CAST(session_no AS BIGINT) AS session_no
+FROM members""", "members")
+def session_members(spark, sf):
+    return S.session_members(feeds.session_events(spark, sf), chunk_seconds=86400).drop("arrival")
+
+
+@query("WIN4, AGG17", """
+SELECT *, end_ms // 1000 + 5 AS copy_after,
+  'smart/' || detection_type || '/' || camera || '/' || CAST(start_ms // 1000 AS VARCHAR) AS archive_base
+FROM sess""", "sess")
+def coalesce_sessions(spark, sf):
+    return S.coalesce_sessions(feeds.session_events(spark, sf), chunk_seconds=86400)
+
+
+@query("WIN4", """
+SELECT 'cam_' || CAST(user_id % 5 AS VARCHAR) AS camera, 'e' || CAST(event_id AS VARCHAR) AS event_id, hts * 1000 AS start_ms
+FROM m WHERE event_type = 'purchase'""", "m")
+def collapse_events(spark, sf):
+    events = feeds.session_events(spark, sf)
+    # A second, later message of each event must not change its start.
+    again = events.withColumns(
+        {"start_ms": F.col("start_ms") + 1000, "arrival": F.col("arrival") + 1}
+    )
+    return S.collapse_events(events.unionByName(again)).select("camera", "event_id", "start_ms")
+
+
+@query("JN16, FN13", """
+SELECT camera, ts, path, session_no, start_ms, end_ms FROM fis""", "fis")
+def frames_in_sessions(spark, sf):
+    sessions = S.coalesce_sessions(feeds.session_events(spark, sf), chunk_seconds=86400)
+    matches = S.frames_in_sessions(feeds.frames(spark, sf), sessions)
+    return matches.select("camera", "ts", "path", "session_no", "start_ms", "end_ms")
+
+
+@query("JN16", """
+SELECT f.camera, f.ts, f.path, s.session_no FROM fr f JOIN sess s ON f.camera = s.camera
+  AND f.ts BETWEEN s.start_ms // 1000 - 600 AND s.end_ms // 1000 + 1200""", "fr", "sess")
+def frames_in_padded_sessions(spark, sf):
+    sessions = S.coalesce_sessions(feeds.session_events(spark, sf), chunk_seconds=86400)
+    matches = S.frames_in_sessions(feeds.frames(spark, sf), sessions, lead=600, trail=1200)
+    return matches.select("camera", "ts", "path", "session_no")
+
+
+@query("AGG17", """
+SELECT camera, detection_type, session_no, count(DISTINCT ts) AS frames FROM fis GROUP BY ALL""", "fis")
+def session_rollup(spark, sf):
+    sessions = S.coalesce_sessions(feeds.session_events(spark, sf), chunk_seconds=86400)
+    return S.frames_per_session(S.frames_in_sessions(feeds.frames(spark, sf), sessions))
+
+
+@query("SNK8", """
+SELECT DISTINCT detection_type, camera, start_ms // 1000 AS start_sec, ts,
+  'smart/' || detection_type || '/' || camera || '/' || CAST(start_ms // 1000 AS VARCHAR) || '/'
+    || CAST(ts AS VARCHAR) || '.jpg' AS target
+FROM fis""", "fis")
+def write_archive_once(spark, sf):
+    path = scratch_dir(spark, "archive")
+    sessions = S.coalesce_sessions(feeds.session_events(spark, sf), chunk_seconds=86400)
+    # The first run sees the even frames only; the second adds what is missing.
+    seen = feeds.frames(spark, sf)
+    write_archive(seen.where("ts % 2 = 0"), sessions, path, feeds.NOW_EPOCH)
+    write_archive(seen, sessions, path, feeds.NOW_EPOCH, read_archive(spark, path))
+    return read_archive(spark, path).select(
+        "detection_type", "camera", "start_sec", "ts", "target"
+    )
+
+
+@query("STR9", "SELECT camera, ts, path FROM fr WHERE ts >= 1706400000 - 86400", "fr")
+def retain_frames(spark, sf):
+    return S.retain(feeds.frames(spark, sf), F.lit(1706400000), 86400)
+
+
+@query("STR10", """
+SELECT camera, session_no FROM sess WHERE end_ms // 1000 >= 1706400000 - 10 * 86400""", "sess")
+def retain_archive(spark, sf):
+    sessions = S.coalesce_sessions(feeds.session_events(spark, sf), chunk_seconds=86400)
+    aged = sessions.withColumn("archived_at", F.floor(F.col("end_ms") / 1000))
+    return S.retain_archive(aged, F.lit(1706400000), 10).select("camera", "session_no")
+
+
+@query("STR9, SNK1", """
+SELECT camera, ts, path FROM fr WHERE ts >= 1705881600""", "fr")
+def expire_frame_days(spark, sf):
+    from hearthstream.sources.tables import Tables
+
+    tables = Tables(spark, scratch_dir(spark, "frames"))
+    path = f"{tables.root}/frames"
+    dated = S.with_frame_date(feeds.frames(spark, sf))
+    dated.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+    tables.expire_days("frames", "2024-01-22")
+    return spark.read.parquet(path).select("camera", "ts", "path")
+
+
+@query("SRC9", "SELECT camera, ts FROM fr WHERE ts % 3 <> 0", "fr")
+def index_frames(spark, sf):
+    frames = feeds.frames(spark, sf)
+    stem = F.when(F.col("ts") % 3 != 0, F.col("ts").cast("string")).otherwise("cover")
+    paths = frames.select(
+        F.concat(
+            F.lit("file:/data/jpg/"), F.initcap(F.replace("camera", F.lit("_"), F.lit(" "))),
+            F.lit("/"), stem, F.lit(".jpg"),
+        ).alias("path")
+    )
+    return files.index_frames(paths).select("camera", "ts")
+
+
+def _frame_messages(spark, sf):
+    frames = feeds.frames(spark, sf).select(
+        F.col("camera").alias("camera_id"), F.col("camera").alias("camera_name"), "ts",
+        F.col("path").cast("binary").alias("content"),
+    )
+    topic = F.concat(F.lit("video."), F.col("camera_name"))
+    return C.frame_messages(frames, topic).withColumns(
+        {"partition": F.lit(0), "offset": F.lit(0)}
+    )
+
+
+@query("SRC10", """
+SELECT camera, ts, path AS content FROM fr""", "fr")
+def frames_from_messages(spark, sf):
+    return C.frames_from_messages(_frame_messages(spark, sf)).select(
+        "camera", "ts", F.col("content").cast("string").alias("content")
+    )
+
+
+@query("STR11, SRC10", "SELECT camera, ts FROM fr WHERE ts >= 1706400000 - 1800", "fr")
+def frame_topic_retention(spark, sf):
+    frames = C.frames_from_messages(_frame_messages(spark, sf))
+    return S.retain(frames, F.lit(1706400000)).select("camera", "ts")
+
+
+@query("STR6, T28, T30", """
+WITH se AS (SELECT * FROM se_all WHERE end_ms IS NOT NULL),
+d AS (SELECT *, end_ms // 1000 + 5 AS due FROM se),
+p AS (SELECT *, max(due) OVER (PARTITION BY camera ORDER BY arrival, eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM d),
+n AS (SELECT *, sum(CASE WHEN before IS NULL OR arrival >= before THEN 1 ELSE 0 END) OVER (PARTITION BY camera ORDER BY arrival, eid ROWS UNBOUNDED PRECEDING) AS no FROM p)
+SELECT camera, detection_type, min(start_ms) AS start_ms, max(end_ms) AS end_ms, count(*) AS event_count,
+  max(due) AS copy_after, 'closed' AS status
+FROM n GROUP BY camera, detection_type, no
+HAVING max(due) <= (SELECT max(arrival) FROM se) - 10 OR no < (SELECT max(no) FROM n x WHERE x.camera = n.camera)
+""".replace("se_all", "(SELECT 'cam_' || CAST(user_id % 5 AS VARCHAR) AS camera, 'person' AS detection_type, 'e' || CAST(event_id AS VARCHAR) AS eid, hts * 1000 AS start_ms, CASE WHEN event_id % 11 <> 0 THEN hts * 1000 + CAST(floor(value) AS BIGINT) * 60000 END AS end_ms, hts AS arrival FROM m WHERE event_type = 'purchase')"), "m")
+def sessions_streamed(spark, sf):
+    inbox = scratch_dir(spark, "inbox")
+    feeds.fill_inbox(feeds.session_events(spark, sf, ended_only=True), inbox, F.col("arrival"))
+    stream = (
+        spark.readStream.schema(spark.read.parquet(inbox).schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(inbox)
+    )
+    out = scratch_dir(spark, "sessions")
+    run = archive_sessions_stream(stream, clock="arrival").writeStream.format("parquet").option(
+        "path", out
+    ).option("checkpointLocation", scratch_dir(spark, "offsets"))
+    run.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out)
