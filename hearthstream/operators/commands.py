@@ -11,8 +11,8 @@ from hearthstream.functions import nullif_empty, parse_json_value, value_kind
 UNREADABLE = "failed to parse command"
 
 
-def validate_commands(messages: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid with reason).
+def judge_commands(messages: DataFrame, column: str = "value") -> DataFrame:
+    """Add ``command`` and ``reason`` (NULL for a valid command).
 
     Unreadable bodies come first, then the first missing one of domain, service
     and entity id.
@@ -27,9 +27,14 @@ def validate_commands(messages: DataFrame, column: str = "value") -> tuple[DataF
         absent = nullif_empty(F.col(f"command.{name}")).isNull()
         missing = F.when(absent, f"{name} is required").otherwise(missing)
     readable = F.coalesce(F.col("_kind").isin("object", "null"), F.lit(False))
-    judged = parsed.withColumn(
+    return parsed.withColumn(
         "reason", F.when(~readable, F.lit(UNREADABLE)).otherwise(missing)
     ).drop("_kind")
+
+
+def validate_commands(messages: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid with reason)."""
+    judged = judge_commands(messages, column)
     return (
         judged.where(F.col("reason").isNull()).drop("reason"),
         judged.where(F.col("reason").isNotNull()).drop("command"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearthstream.operators.envelope import string_headers
@@ -37,6 +37,16 @@ def allowed_labels(event_type: Column) -> Column:
     return chosen.otherwise(F.array().cast("array<string>"))
 
 
+def allowed_pairs(spark: SparkSession) -> DataFrame:
+    """The accepted labels as rows (event_type, label)."""
+    pairs = [
+        F.struct(F.lit(kind).alias("event_type"), F.lit(label).alias("label"))
+        for kind, labels in ALLOWED_LABELS.items()
+        for label in labels
+    ]
+    return spark.range(1).select(F.inline(F.array(*pairs)))
+
+
 def best_in_array(observations: Column, allowed: Column) -> Column:
     """Most confident observation with an allowed label; ties keep the first, NULL if none."""
     fitting = F.filter(observations, lambda o: F.array_contains(allowed, F.lower(o["label"])))
@@ -75,8 +85,6 @@ def ranked_labels(observations: DataFrame, n: int = 5) -> DataFrame:
 
     ``row_number() <= n`` is cut per map task before the shuffle.
     """
-    from pyspark.sql import Window
-
     by_confidence = Window.partitionBy("image").orderBy(F.desc("confidence"), "position")
     return observations.withColumn("rank", F.row_number().over(by_confidence)).where(
         F.col("rank") <= n

@@ -51,8 +51,8 @@ class Metadata:
     invalid: DataFrame
 
 
-def split_metadata(messages: DataFrame) -> Metadata:
-    """Station messages, device messages, and the rest with a reason.
+def classify_metadata(messages: DataFrame) -> DataFrame:
+    """Add ``doc``, ``class`` (device, station, invalid) and ``reason``.
 
     A ``stations`` array makes a station message; otherwise a numeric ``lsid``
     makes a device message.
@@ -63,17 +63,21 @@ def split_metadata(messages: DataFrame) -> Metadata:
     has_stations = F.coalesce(is_kind(stations, "array"), F.lit(False))
     has_lsid = field(doc, "lsid", "number", "double").isNotNull()
     readable = F.coalesce(is_kind(doc, "object") | is_json_null(doc), F.lit(False))
-    marked = parsed.withColumn(
-        "_class",
-        F.when(has_stations, "station").when(has_lsid, "device").otherwise("invalid"),
-    )
-    invalid = marked.where(F.col("_class") == "invalid").withColumn(
-        "reason", F.when(readable, F.lit(BAD_LSID)).otherwise(F.lit(BAD_METADATA))
+    invalid = F.col("class") == "invalid"
+    return parsed.withColumn(
+        "class", F.when(has_stations, "station").when(has_lsid, "device").otherwise("invalid")
+    ).withColumn(
+        "reason", F.when(invalid & readable, F.lit(BAD_LSID)).when(invalid, F.lit(BAD_METADATA))
     )
+
+
+def split_metadata(messages: DataFrame) -> Metadata:
+    """Station messages, device messages, and the rest with a reason."""
+    marked = classify_metadata(messages)
     return Metadata(
-        devices=marked.where(F.col("_class") == "device").drop("_class"),
-        stations=marked.where(F.col("_class") == "station").drop("_class"),
-        invalid=invalid.drop("_class", "doc"),
+        devices=marked.where(F.col("class") == "device").drop("class", "reason"),
+        stations=marked.where(F.col("class") == "station").drop("class", "reason"),
+        invalid=marked.where(F.col("class") == "invalid").drop("class", "doc"),
     )
 
 

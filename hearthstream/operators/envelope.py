@@ -49,11 +49,18 @@ def with_header_columns(messages: DataFrame) -> DataFrame:
     )
 
 
+def lsid_problem() -> Column:
+    """The reason of a message without a device number, NULL for a usable one."""
+    return F.when(F.col("lsid") == 0, MISSING_LSID)
+
+
 def split_missing_lsid(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable, rejected): a message without a device number is an error, not an orphan."""
-    usable = messages.where(F.col("lsid") != 0)
-    rejected = messages.where(F.col("lsid") == 0).withColumn("reason", F.lit(MISSING_LSID))
-    return usable, rejected
+    judged = messages.withColumn("reason", lsid_problem())
+    return (
+        judged.where(F.col("reason").isNull()).drop("reason"),
+        judged.where(F.col("reason").isNotNull()),
+    )
 
 
 def parse_body(messages: DataFrame) -> DataFrame:

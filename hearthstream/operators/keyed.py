@@ -85,31 +85,39 @@ def upsert(
     merged: dict[str, Column],
     id_column: str | None = "id",
 ) -> DataFrame:
-    """Full outer join of a table with one incoming row per key.
+    """Overwrite known keys and insert new ones; ``incoming`` has one row per key.
 
-    ``merged`` maps columns to expressions over ``old.<c>`` and ``new.<c>``.
-    Columns not named there keep the old value.  New keys receive serial ids.
+    ``merged`` maps columns to expressions over ``old.<c>`` and ``new.<c>``; for
+    an inserted row every old value is NULL.  Columns not named there keep the
+    old value.  New keys receive serial ids.
     """
-    old = existing.withColumn("_old", F.lit(True)).alias("old")
-    new = incoming.withColumn("_new", F.lit(True)).alias("new")
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}"))
-    joined = old.join(new, condition, "full_outer")
-    out = []
-    for c in existing.columns:
-        kind = existing.schema[c].dataType
+    def row(c: str) -> Column:
         if c in keys:
             value = F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}"))
         elif c in merged:
-            value = F.when(F.col("_new"), merged[c]).otherwise(F.col(f"old.{c}"))
+            value = F.when(F.col("new._hit"), merged[c]).otherwise(F.col(f"old.{c}"))
         else:
             value = F.col(f"old.{c}")
-        out.append(value.cast(kind).alias(c))
-    result = joined.select(*out)
-    if id_column is None:
-        return result
-    fresh = result.where(F.col(id_column).isNull()).drop(id_column)
-    kept = result.where(F.col(id_column).isNotNull())
-    numbered = assign_ids(fresh, keys, next_id_base(existing, id_column), id_column)
-    return kept.unionByName(numbered.select(*existing.columns))
+        return value.cast(existing.schema[c].dataType).alias(c)
+
+    def same_key() -> Column:
+        condition = F.lit(True)
+        for k in keys:
+            condition = condition & F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}"))
+        return condition
+
+    new = incoming.withColumn("_hit", F.lit(True)).alias("new")
+    old = existing.alias("old")
+    kept = old.join(new, same_key(), "left").select(*[row(c) for c in existing.columns])
+    nothing = existing.where(F.lit(False)).alias("old")
+    fresh = (
+        new.join(old, same_key(), "left_anti")
+        .alias("new")
+        .join(nothing, same_key(), "left")
+        .select(*[row(c) for c in existing.columns])
+    )
+    if id_column is not None:
+        fresh = assign_ids(
+            fresh.drop(id_column), keys, next_id_base(existing, id_column), id_column
+        ).select(*existing.columns)
+    return kept.unionByName(fresh)

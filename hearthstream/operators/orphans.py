@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthstream.operators.keyed import last_wins, upsert
@@ -20,6 +20,24 @@ def save_orphans(orphans: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(orphans, incoming, ORPHAN_KEYS, overwritten, id_column=None)
 
 
+def latest_versions(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Current orphans out of an append-only log of their versions.
+
+    The latest version counts, except that ``reprocessed`` stays once set: the
+    same outcome as upserting version by version, without rewriting the table
+    for every batch.  ``columns`` limits what has to be shuffled.
+    """
+    rest = [c for c in log.columns if c not in (*ORPHAN_KEYS, "reprocessed")]
+    kept = rest if columns is None else [c for c in rest if c in columns]
+    current = log.groupBy(*ORPHAN_KEYS).agg(
+        F.max_by(F.struct(*kept), "created_at").alias("_v"),
+        F.bool_or("reprocessed").alias("reprocessed"),
+    )
+    return current.select(*ORPHAN_KEYS, "_v.*", "reprocessed").select(
+        *[c for c in log.columns if c in (*ORPHAN_KEYS, *kept, "reprocessed")]
+    )
+
+
 def pending_orphans(orphans: DataFrame) -> DataFrame:
     return orphans.where(~F.col("reprocessed"))
 
@@ -74,7 +92,3 @@ def orphan_reasons(orphans: DataFrame) -> DataFrame:
 def latest_orphans(orphans: DataFrame, n: int = 10) -> DataFrame:
     """The n most recently saved orphans, ties by message position."""
     return orphans.orderBy(F.desc("created_at"), "topic", "partition", F.desc("offset")).limit(n)
-
-
-def now_or(now: Column | None) -> Column:
-    return F.current_timestamp() if now is None else now

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hearthstream.functions import millis_to_seconds, record_date
 from hearthstream.operators.keyed import absent_from
 from hearthstream.operators.ordered import max_before, running_sum, with_chunk
+from hearthstream.session import cut_lineage
 
 # Defaults in seconds and days.
 LEAD = 0
@@ -51,8 +52,11 @@ def session_members(
     ``trail + delay`` seconds after its end, or ``timeout`` seconds after its
     arrival if it never ends.  Both scans run in chunks of arrival time, so one
     camera with a third of all events is spread over many tasks.
+
+    Each scan reads its input twice (chunk summaries, then rows), so the narrow
+    rows are staged before each: the events themselves are read once.
     """
-    collapsed = collapse_events(events).withColumn(
+    collapsed = cut_lineage(collapse_events(events)).withColumn(
         "_due",
         F.coalesce(copy_after(F.col("end_ms"), trail, delay), F.col("arrival") + timeout),
     )
@@ -65,9 +69,8 @@ def session_members(
             F.col("_due_before").isNull() | (F.col("arrival") >= F.col("_due_before")), 1
         ).otherwise(0),
     )
-    return running_sum(starts, GROUP, order, "_starts", "session_no").drop(
-        "_due", "_due_before", "_starts", "_chunk"
-    )
+    staged = cut_lineage(starts.drop("_due", "_due_before"))
+    return running_sum(staged, GROUP, order, "_starts", "session_no").drop("_starts", "_chunk")
 
 
 def session_rollup(members: DataFrame, trail: int = TRAIL, delay: int = COPY_DELAY) -> DataFrame:

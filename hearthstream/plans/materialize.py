@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hearthstream.operators import records as R
+from hearthstream.operators.days import day_bitmap, outside_days
 from hearthstream.operators.envelope import (
     MISSING_LSID,
     melt_fields,
@@ -15,14 +16,9 @@ from hearthstream.operators.envelope import (
     with_header_columns,
 )
 from hearthstream.operators.keyed import assign_ids, next_id_base
-from hearthstream.operators.orphans import (
-    as_messages,
-    mark_reprocessed,
-    replayable,
-    save_orphans,
-)
+from hearthstream.operators.orphans import as_messages, replayable
 from hearthstream.session import cut_lineage, observing
-from hearthstream.sources.tables import NUMBERED_DAYS, Tables
+from hearthstream.sources.tables import Tables
 
 
 NO_LSID = "no_lsid"
@@ -124,20 +120,6 @@ class Summary:
         return int(self.counts.get(name) or 0)
 
 
-def _day_bitmap(ts: Column) -> Column:
-    """The days that occur, as one bitmap of 4 KB however many rows there are."""
-    day = F.floor(ts / 86400)
-    return F.bitmap_construct_agg(
-        F.bitmap_bit_position(F.when(day.between(0, NUMBERED_DAYS - 1), day + 1))
-    )
-
-
-def _days(bitmap: bytes | None) -> list[int]:
-    return [
-        8 * i + bit for i, byte in enumerate(bitmap or b"") for bit in range(8) if byte >> bit & 1
-    ]
-
-
 def materialize(
     messages: DataFrame,
     tables: Tables,
@@ -169,25 +151,23 @@ def materialize(
     )
     first_pass = points_of(observed).observe(
         melted,
-        _day_bitmap(F.col("ts")).alias("days"),
-        F.count_if(~F.col("ts").between(0, NUMBERED_DAYS * 86400 - 1)).alias("beyond"),
+        day_bitmap(F.col("ts")).alias("days"),
+        outside_days(F.col("ts")).alias("outside"),
     )
     with observing(spark):
         fresh_tags = cut_lineage(R.new_tag_rows(R.first_seen_types(first_pass), tags, catalog))
         counts = dict(arrived.get)
-        days, beyond = _days(melted.get["days"]), melted.get["beyond"] > 0
+        days, outside = melted.get["days"], melted.get["outside"] > 0
     if not fresh_tags.isEmpty():
         tags = tables.append_dimension("tags", numbered_tags(fresh_tags, tags, now))
 
-    before = tables.record_counts(tables.records_of_days(days, beyond))
+    before = tables.record_counts(tables.records_of_days(days, outside))
     accepted = R.accepted_records(routed_points(points_of(judged), tags))
-    tables.append_records(R.unrecorded(accepted, tables.records_of_days(days, beyond)))
-    after = tables.record_counts(tables.records_of_days(days, beyond))
+    tables.append_records(R.unrecorded(accepted, tables.records_of_days(days, outside)))
+    after = tables.record_counts(tables.records_of_days(days, outside))
 
     if counts[NO_DEVICE] or (replay and counts[NO_BODY]):
-        known = tables.dimension("orphaned_messages")
-        dead = dead_letters(judged, replay, now)
-        tables.replace_dimension("orphaned_messages", save_orphans(known, dead))
+        tables.append_orphans(dead_letters(judged, replay, now))
 
     # Unknown devices count as processed in a stream and as errors in a replay.
     errors = counts[NO_LSID] + counts[NO_BODY] + (counts[NO_DEVICE] if replay else 0)
@@ -205,8 +185,8 @@ def materialize(
 
 def replay_orphans(tables: Tables, now: Column | None = None) -> Summary:
     """Materialize pending orphans whose device is known by now, and mark them."""
-    orphans = tables.dimension("orphaned_messages")
-    ready = replayable(orphans, tables.dimension("devices"))
+    # Staged: the rows are read by three passes and appended to their own source.
+    ready = cut_lineage(replayable(tables.orphans(), tables.dimension("devices")))
     summary = materialize(as_messages(ready), tables, now=now)
-    tables.replace_dimension("orphaned_messages", mark_reprocessed(orphans, ready))
+    tables.append_orphans(ready.withColumn("reprocessed", F.lit(True)))
     return summary

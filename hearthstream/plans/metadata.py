@@ -6,32 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthstream.operators import dimensions as D
-from hearthstream.operators.orphans import save_orphans
 from hearthstream.operators.records import as_orphans
+from hearthstream.session import cut_lineage
 from hearthstream.sources.tables import Tables
 
 
 def _dead(invalid: DataFrame, tables: Tables, now: Column) -> None:
-    if invalid.isEmpty():
-        return
     plain = invalid.withColumns(
         {"lsid": F.lit(0).cast("bigint"), "record_ts": F.lit(0).cast("bigint")}
     )
-    rows = as_orphans(plain, F.col("reason"), now)
-    tables.replace_dimension(
-        "orphaned_messages", save_orphans(tables.dimension("orphaned_messages"), rows)
-    )
+    tables.append_orphans(as_orphans(plain, F.col("reason"), now))
 
 
 def apply_metadata(messages: DataFrame, tables: Tables, now: Column | None = None) -> None:
     """Device messages are upserted, then station messages update their devices."""
     now = F.current_timestamp() if now is None else now
     split = D.split_metadata(messages)
-    rows = D.device_rows(split.devices)
+    # Staged: the upsert refers to its input several times, the messages are parsed once.
+    rows = cut_lineage(D.device_rows(split.devices))
     if not rows.isEmpty():
         devices = tables.dimension("devices")
         tables.replace_dimension("devices", D.upsert_devices(devices, rows, now))
-    updates = D.station_updates(split.stations)
+    updates = cut_lineage(D.station_updates(split.stations))
     if not updates.isEmpty():
         devices = tables.dimension("devices")
         tables.replace_dimension("devices", D.update_station_info(devices, updates, now))
@@ -44,6 +40,7 @@ def apply_catalog(
     """Upsert catalog entries, then fill in tags that lack a description."""
     now = F.current_timestamp() if now is None else now
     entries, invalid = D.flatten_catalog(messages)
+    entries = cut_lineage(entries)
     if not entries.isEmpty():
         catalog = tables.dimension("sensor_catalog")
         tables.replace_dimension("sensor_catalog", D.upsert_catalog(catalog, entries, now))

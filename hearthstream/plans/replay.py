@@ -53,7 +53,7 @@ def replay_summary(summary: Summary, tables: Tables) -> DataFrame:
     """(metric, value) of a finished replay, with the orphans still pending."""
     rows = [(k, summary[k]) for k in ("processed", "errors", "numeric", "text", "null")]
     spark = tables.spark
-    pending = pending_orphans(tables.dimension("orphaned_messages")).agg(
+    pending = pending_orphans(tables.orphans(["reason"])).agg(
         F.lit("orphaned").alias("metric"), F.count(F.lit(1)).alias("value")
     )
     return spark.createDataFrame(rows, "metric string, value bigint").unionByName(pending)

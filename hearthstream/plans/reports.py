@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hearthstream.functions import epoch_to_timestamp
 from hearthstream.operators.orphans import pending_orphans
 from hearthstream.operators.records import records_view
+from hearthstream.sources.tables import Tables
 
 
 def table_stats(
@@ -119,3 +120,22 @@ def recent_records(
     if lsid is None:
         shown[1:1] = ["lsid", "category"]
     return ranked.withColumn("time", epoch_to_timestamp(F.col("ts"))).select(*shown, "ts")
+
+
+def recent_stored(tables: Tables, lsid: int | None = None, n: int = 20) -> DataFrame:
+    """:func:`recent_records` over stored tables, reading only the newest days.
+
+    The days looked at double until they hold n matching records, so a full scan
+    happens only when there are fewer than n in all.  Records without a valid
+    day are always looked at.
+    """
+    records, tags, devices = tables.records(), tables.dimension("tags"), tables.dimension("devices")
+    days = tables.record_days()
+    width = 1
+    while width < len(days):
+        newest = records.where((F.col("dt") >= days[width - 1]) | F.col("dt").isNull())
+        found = recent_records(newest, tags, devices, lsid, n)
+        if found.count() >= n:
+            return found
+        width *= 2
+    return recent_records(records, tags, devices, lsid, n)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthstream import schemas
@@ -24,11 +24,14 @@ def read_envelope_files(
     return reader.load(path)
 
 
-def publish_to_files(messages: DataFrame, path: str, now=None) -> None:
+def publish_to_files(
+    messages: DataFrame, path: str, now: Column | None = None, day: Column | None = None
+) -> None:
     """Append messages in publishing form to envelope files.
 
     Stands in for a broker: positions are unique but not dense, and depend only
-    on the message, so a retried task writes the same ones.
+    on the message, so a retried task writes the same ones.  ``day`` adds a
+    partition column ``dt``, by which readers can limit themselves.
     """
     stamped = messages.select(
         "topic",
@@ -39,8 +42,12 @@ def publish_to_files(messages: DataFrame, path: str, now=None) -> None:
         "headers",
         "value",
         (F.current_timestamp() if now is None else now).alias("timestamp"),
+        *([] if day is None else [day.alias("dt")]),
     )
-    stamped.write.mode("append").parquet(path)
+    if day is None:
+        stamped.write.mode("append").parquet(path)
+    else:
+        stamped.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(path)
 
 
 def distinct_keys(messages: DataFrame) -> DataFrame:

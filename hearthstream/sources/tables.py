@@ -1,24 +1,20 @@
-"""The table folder: dimension snapshots and the partitioned fact table."""
+"""The table folder: dimension snapshots, the orphan log and the fact table."""
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthstream import schemas
+from hearthstream.operators.days import day_filter
+from hearthstream.operators.orphans import latest_versions
 
 DIMENSIONS = {
     "devices": schemas.DEVICES_DDL,
     "tags": schemas.TAGS_DDL,
     "sensor_catalog": schemas.CATALOG_DDL,
-    "orphaned_messages": schemas.ORPHANS_DDL,
 }
 
-EPOCH_ORDINAL = date(1970, 1, 1).toordinal()
-# Days that a day bitmap can name: 1970-01-01 to 2059-09-18.
-NUMBERED_DAYS = 32768
 
 
 class Tables:
@@ -26,8 +22,8 @@ class Tables:
 
     A dimension is a series of snapshot folders ``version=N``; the newest
     complete one counts, so a table can be rewritten while it is being read and
-    a half-written snapshot is never seen.  Facts are one table partitioned by
-    kind and day.
+    a half-written snapshot is never seen.  Orphans are an append-only log.  Facts
+    are one table partitioned by kind and day.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -89,6 +85,23 @@ class Tables:
         )
         return self.dimension(name)
 
+    # -- orphans ----------------------------------------------------------
+
+    def append_orphans(self, rows: DataFrame) -> None:
+        """Append dead letters; a later version of a position replaces an earlier one."""
+        columns = schemas.empty(self.spark, schemas.ORPHANS_DDL).columns
+        rows.select(*columns).write.mode("append").parquet(f"{self.root}/orphaned_messages")
+
+    def orphans(self, columns: list[str] | None = None) -> DataFrame:
+        """Current orphans: all columns, or the position and ``columns`` only."""
+        if not self._exists("orphaned_messages"):
+            log = schemas.empty(self.spark, schemas.ORPHANS_DDL)
+        else:
+            log = self.spark.read.schema(schemas.ORPHANS_DDL).parquet(
+                f"{self.root}/orphaned_messages"
+            )
+        return latest_versions(log, columns)
+
     # -- facts ------------------------------------------------------------
 
     @property
@@ -101,20 +114,9 @@ class Tables:
             return schemas.empty(self.spark, schemas.RECORDS_DDL)
         return self.spark.read.schema(schemas.RECORDS_DDL).parquet(self.records_path)
 
-    def records_of_days(self, days: list[int], beyond: bool) -> DataFrame:
-        """Stored records of the given days (numbers since 1970-01-01).
-
-        ``beyond`` adds everything outside the numbered days: later ones, and
-        records without a valid day.
-        """
-        stored = self.records()
-        wanted = F.lit(False)
-        if days:
-            wanted = F.col("dt").isin([date.fromordinal(EPOCH_ORDINAL + d) for d in days])
-        if beyond:
-            last = date.fromordinal(EPOCH_ORDINAL + NUMBERED_DAYS - 1)
-            wanted = wanted | (F.col("dt") > last) | F.col("dt").isNull()
-        return stored.where(wanted)
+    def records_of_days(self, bitmap: bytes | None, outside: bool) -> DataFrame:
+        """Stored records of the days a batch touches (see :mod:`operators.days`)."""
+        return self.records().where(day_filter(F.col("dt"), bitmap, outside))
 
     def record_counts(self, records: DataFrame) -> dict[str, int]:
         """Rows per kind.  Only partition columns and file footers are read."""

@@ -23,13 +23,11 @@ def with_observations(images: DataFrame, observations: DataFrame) -> DataFrame:
 def best_crops(images: DataFrame) -> DataFrame:
     """Best allowed detection per image of a known event type; others are dropped."""
     kind = D.event_type_from_path(F.col("path"))
-    best = D.best_in_array(F.col("observations"), D.allowed_labels(F.col("event_type")))
-    return (
-        images.withColumn("event_type", kind)
-        .where(F.col("event_type").isNotNull())
-        .withColumn("best", best)
-        .where(F.col("best").isNotNull())
-    )
+    typed = images.withColumn("event_type", kind).where(F.col("event_type").isNotNull())
+    allowed = typed.withColumn("_allowed", D.allowed_labels(F.col("event_type")))
+    best = D.best_in_array(F.col("observations"), F.col("_allowed"))
+    # Exploding a list of at most one drops images without a hit and ranks once.
+    return allowed.withColumn("best", F.explode(F.array_compact(F.array(best)))).drop("_allowed")
 
 
 def scored_by_table(images: DataFrame, observations: DataFrame, n: int = 5) -> DataFrame:

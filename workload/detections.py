@@ -32,9 +32,7 @@ def best_detection(spark, sf):
     observations = feeds.observations(spark, sf).withColumn(
         "event_type", D.event_type_from_path(F.col("image"))
     )
-    pairs = [(kind, label) for kind, labels in D.ALLOWED_LABELS.items() for label in labels]
-    allowed = spark.createDataFrame(pairs, "event_type string, label string")
-    return D.best_detection(observations, allowed).withColumn(
+    return D.best_detection(observations, D.allowed_pairs(spark)).withColumn(
         "position", F.col("position").cast("bigint")
     )
 

@@ -82,13 +82,9 @@ SELECT CASE event_id % 20 WHEN 1 THEN 'station' WHEN 2 THEN 'failed to parse met
   WHEN 3 THEN 'missing or invalid lsid in metadata' ELSE 'device' END AS class, count(*) AS messages
 FROM events GROUP BY class""")
 def split_metadata(spark, sf):
-    split = D.split_metadata(metadata_messages(spark, sf))
-    classes = (
-        split.devices.select(F.lit("device").alias("class"))
-        .unionByName(split.stations.select(F.lit("station").alias("class")))
-        .unionByName(split.invalid.select(F.col("reason").alias("class")))
-    )
-    return classes.groupBy("class").agg(F.count(F.lit(1)).alias("messages"))
+    classified = D.classify_metadata(metadata_messages(spark, sf))
+    shown = F.coalesce("reason", "class").alias("class")
+    return classified.groupBy(shown).agg(F.count(F.lit(1)).alias("messages"))
 
 
 _DEVICE_COLUMNS = [
@@ -314,7 +310,7 @@ def metadata_phase(spark, sf):
     tables = Tables(spark, scratch_dir(spark, "phase"))
     apply_metadata(metadata_messages(spark, sf), tables, feeds.now())
     return counted(
-        devices=tables.dimension("devices"), orphans=tables.dimension("orphaned_messages")
+        devices=tables.dimension("devices"), orphans=tables.orphans(["reason"])
     )
 
 

@@ -363,10 +363,7 @@ def state_chunks(spark, sf):
 
 @query("PRJ37", "SELECT event_id, reason FROM cmd", "cmd")
 def validate_commands(spark, sf):
-    valid, invalid = M.validate_commands(feeds.commands(spark, sf))
-    return valid.select("event_id", F.lit(None).cast("string").alias("reason")).unionByName(
-        invalid.select("event_id", "reason")
-    )
+    return M.judge_commands(feeds.commands(spark, sf)).select("event_id", "reason")
 
 
 @query("PRJ38", """

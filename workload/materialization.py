@@ -141,13 +141,10 @@ def first_header(spark, sf):
 SELECT off, lsid = 0 AS rejected,
   CASE WHEN lsid = 0 THEN 'missing lsid in message headers' END AS reason FROM m""", "m")
 def missing_lsid(spark, sf):
-    usable, rejected = E.split_missing_lsid(E.with_header_columns(feeds.messages(spark, sf)))
-    return usable.select(
+    return E.with_header_columns(feeds.messages(spark, sf)).select(
         F.col("offset").alias("off"),
-        F.lit(False).alias("rejected"),
-        F.lit(None).cast("string").alias("reason"),
-    ).unionByName(
-        rejected.select(F.col("offset").alias("off"), F.lit(True).alias("rejected"), "reason")
+        E.lsid_problem().isNotNull().alias("rejected"),
+        E.lsid_problem().alias("reason"),
     )
 
 
