@@ -135,6 +135,7 @@ def new_images(
     """
     return (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.jpg")
         .option("recursiveFileLookup", "true")
         .option("latestFirst", str(latest_first).lower())

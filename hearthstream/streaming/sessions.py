@@ -129,20 +129,19 @@ class SessionProcessor(StatefulProcessor):
         session = self._load()
         last = self.counter.get()[0] if self.counter.exists() else 0
         out: list[dict] = []
+        now = timerValues.getCurrentProcessingTimeInMs() // 1000
         if self.by_arrival:
             # Within one micro-batch, whose size the source bounds.
-            ordered = pd.concat(list(rows)).sort_values(["arrival", "event_id"], kind="stable")
-            batches = iter([ordered])
+            frames = iter([pd.concat(list(rows)).sort_values(["arrival", "event_id"], kind="stable")])
         else:
-            batches = rows
-        for frame in batches:
+            # A micro-batch is one tick of the clock: what is due closes before it.
+            session = self._settle(key, session, now, out)
+            frames = rows
+        for frame in frames:
             for event in frame.itertuples(index=False):
-                now = (
-                    int(event.arrival)
-                    if self.by_arrival
-                    else timerValues.getCurrentProcessingTimeInMs() // 1000
-                )
-                session = self._settle(key, session, now, out)
+                if self.by_arrival:
+                    now = int(event.arrival)
+                    session = self._settle(key, session, now, out)
                 open_number = session["number"] if session else None
                 known = (
                     self.session_of.getValue((event.event_id,))[0]
