@@ -109,6 +109,20 @@ def device_rows(device_messages: DataFrame) -> DataFrame:
     return device_messages.select(*[c.alias(n) for n, c in columns.items()], *ARRIVAL)
 
 
+def latest_devices(device_messages: DataFrame) -> DataFrame:
+    """The last message of each device as a typed row.
+
+    Messages are reduced before their fields are read: only the winners are
+    taken apart.
+    """
+    number = field(F.col("doc"), "lsid", "number", "double").cast("bigint")
+    winners = last_wins(
+        device_messages.withColumn("_number", number), ["_number"], F.struct(*ARRIVAL),
+        keep=["doc", *ARRIVAL],
+    )
+    return device_rows(winners)
+
+
 def device_brief(rows: DataFrame) -> DataFrame:
     """The five-column device used by lookups."""
     return rows.select("lsid", "sensor_type", "category", "manufacturer", "product_name")

@@ -65,27 +65,21 @@ def as_orphans(messages: DataFrame, reason: Column, now: Column, tag_name: str =
 
 def melted_points(melted: DataFrame) -> DataFrame:
     """The narrow form that later steps shuffle: values decoded, bodies gone."""
-    return melted.select(
-        "device_id",
-        "lsid",
-        "sensor_type",
-        "data_structure_type",
-        "field",
-        value_kind(F.col("field_value")).alias("value_kind"),
-        as_number(F.col("field_value")).alias("_number"),
-        as_text(F.col("field_value")).alias("_text"),
-        F.col("record_ts").alias("ts"),
-        *ARRIVAL,
-    ).select(
-        "device_id",
-        "lsid",
-        "sensor_type",
-        "data_structure_type",
-        "field",
+    facts = [
+        "device_id", "lsid", "sensor_type", "data_structure_type", "field",
+    ]
+    value, kind = F.col("field_value"), F.col("value_kind")
+    kinds = melted.select(
+        *facts, value_kind(value).alias("value_kind"), value,
+        F.col("record_ts").alias("ts"), *ARRIVAL,
+    )
+    # Guarded by kind: a bare conversion would turn true into 1.0 and "5" into 5.0,
+    # and would render every number as text only to drop it again.
+    return kinds.select(
+        *facts,
         "value_kind",
-        # Guarded by kind: a bare conversion would turn true into 1.0 and "5" into 5.0.
-        F.when(F.col("value_kind") == "number", F.col("_number")).alias("num_value"),
-        F.when(F.col("value_kind") == "string", F.col("_text")).alias("text_value"),
+        F.when(kind == "number", as_number(value)).alias("num_value"),
+        F.when(kind == "string", as_text(value)).alias("text_value"),
         "ts",
         *ARRIVAL,
     )

@@ -23,7 +23,7 @@ def apply_metadata(messages: DataFrame, tables: Tables, now: Column | None = Non
     now = F.current_timestamp() if now is None else now
     split = D.split_metadata(messages)
     # Staged: the upsert refers to its input several times, the messages are parsed once.
-    rows = cut_lineage(D.device_rows(split.devices))
+    rows = cut_lineage(D.latest_devices(split.devices))
     if not rows.isEmpty():
         devices = tables.dimension("devices")
         tables.replace_dimension("devices", D.upsert_devices(devices, rows, now))

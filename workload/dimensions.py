@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hearthstream.operators import dimensions as D
 from hearthstream.operators.envelope import with_header_columns
 from hearthstream.plans.metadata import apply_metadata
-from hearthstream.session import scratch_dir
+from hearthstream.session import cut_lineage, scratch_dir
 from hearthstream.sources import files
 from hearthstream.sources.tables import Tables
 from hearthstream.streaming.tables import catalog_stream, metadata_stream
@@ -127,8 +127,8 @@ SELECT u.*, CASE WHEN d.lsid IS NOT NULL AND u.lsid % 2 = 0 THEN 1 END AS rt, d.
 FROM ({_UPSERTED}) u LEFT JOIN dev d USING (lsid)""", "dev")
 def upsert_devices(spark, sf):
     old = feeds.devices(spark, sf)
-    rows = D.device_rows(D.split_metadata(metadata_messages(spark, sf)).devices)
-    merged = D.upsert_devices(old, rows, feeds.now())
+    messages = D.split_metadata(metadata_messages(spark, sf)).devices
+    merged = D.upsert_devices(old, cut_lineage(D.latest_devices(messages)), feeds.now())
     return _device_view(
         merged,
         F.col("rt_data_structure_type").cast("bigint").alias("rt"),
@@ -285,7 +285,7 @@ SELECT coalesce(u.sensor_type, c.sensor_type) AS sensor_type, coalesce(u.structu
 FROM ({_UPSERTED_CATALOG}) u FULL JOIN cat c
   ON u.sensor_type = c.sensor_type AND u.structure = c.structure AND u.field_name = c.field""", "cat")
 def upsert_catalog(spark, sf):
-    entries, _ = D.flatten_catalog(catalog_payloads(spark, sf))
+    entries = cut_lineage(D.flatten_catalog(catalog_payloads(spark, sf))[0])
     stored = feeds.catalog(spark, sf).withColumn("id", F.lit(0).cast("bigint"))
     return _catalog_view(D.upsert_catalog(stored, entries, feeds.now()))
 
