@@ -11,7 +11,6 @@ from hearthstream.functions import (
     millis_to_seconds,
     nullif_empty,
     sanitize_name,
-    value_kind,
 )
 from hearthstream.operators.envelope import header, string_headers
 
@@ -200,7 +199,3 @@ def frames_from_messages(messages: DataFrame) -> DataFrame:
         )
         .where(F.col("ts").isNotNull())
     )
-
-
-def is_event_object(raw: Column) -> Column:
-    return value_kind(F.try_parse_json(raw)) == "object"

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from hearthstream.functions import (
     as_number,
     as_text,
-    is_json_null,
     merge_json,
     numeric_text,
     record_date,
@@ -291,8 +290,3 @@ def union_records(numeric: DataFrame, text: DataFrame, null: DataFrame) -> DataF
         .unionByName(shaped(text, "text", none, F.col("value")))
         .unionByName(shaped(null, "null", none, none))
     )
-
-
-def null_valued(melted: DataFrame) -> DataFrame:
-    """Points whose value is the JSON null."""
-    return melted.where(is_json_null(F.col("field_value")))

@@ -58,9 +58,25 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
+    _stages.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_stages: list[str] = []
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage tables this process has written; returns how many.
+
+    Call it when no DataFrame built on them is needed any more.
+    """
+    dropped = 0
+    while _stages:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stages.pop())
+        dropped += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return dropped
+
+
 @contextmanager
 def observing(spark: SparkSession) -> Iterator[None]:
     """Keep observed plan nodes in the plan while an observed action runs.

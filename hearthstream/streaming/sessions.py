@@ -17,6 +17,8 @@ OUTPUT_DDL = (
     "copy_after bigint, status string"
 )
 
+EVENT_COLUMNS = ["event_id", "start_ms", "end_ms", "arrival"]
+
 CLOSED = "closed"
 CANCELLED = "cancelled"
 
@@ -131,8 +133,10 @@ class SessionProcessor(StatefulProcessor):
         out: list[dict] = []
         now = timerValues.getCurrentProcessingTimeInMs() // 1000
         if self.by_arrival:
-            # Within one micro-batch, whose size the source bounds.
-            frames = iter([pd.concat(list(rows)).sort_values(["arrival", "event_id"], kind="stable")])
+            # Sorting needs the key's rows of one micro-batch, whose size the source
+            # bounds; only the four narrow columns in use are held.
+            batch = pd.concat([frame[EVENT_COLUMNS] for frame in rows])
+            frames = iter([batch.sort_values(["arrival", "event_id"], kind="stable")])
         else:
             # A micro-batch is one tick of the clock: what is due closes before it.
             session = self._settle(key, session, now, out)

@@ -37,3 +37,15 @@ def test_flagship(spark):
 def test_query_equals_its_twin(spark, name):
     q = all_queries()[name]
     assert compare(spark, SMALL, name, q.build, q.sql).startswith("ok")
+
+
+def test_stages_can_be_dropped(spark):
+    from hearthstream.session import cut_lineage, drop_stages
+
+    drop_stages(spark)
+    assert cut_lineage(spark.range(3)).count() == 3
+    assert drop_stages(spark) == 1
+    # The cached tag tables of the workload were stages as well.
+    from workload import feeds
+
+    feeds._built.clear()
