@@ -88,7 +88,7 @@ def pixel_box(spark, sf):
 
 
 @query("PRJ42", """
-SELECT vec_id, i AS index, CASE WHEN vec_id % 3 = 0 THEN CAST(vec_id AS VARCHAR) || '.jpg'
+SELECT vec_id, CAST(i AS BIGINT) AS index, CASE WHEN vec_id % 3 = 0 THEN CAST(vec_id AS VARCHAR) || '.jpg'
   ELSE CAST(vec_id AS VARCHAR) || '_' || CAST(i AS VARCHAR) || '.jpg' END AS name
 FROM embeddings, (VALUES (0), (1), (2)) v(i) WHERE i <= vec_id % 3""")
 def crop_names(spark, sf):

@@ -123,7 +123,7 @@ QUALIFY row_number() OVER (PARTITION BY lsid ORDER BY off DESC) = 1"""
 
 
 @query("SNK3, DED2, T16", f"""
-SELECT u.*, CASE WHEN d.lsid IS NOT NULL AND u.lsid % 2 = 0 THEN 1 END AS rt, d.lsid IS NOT NULL AS existed
+SELECT u.*, CAST(CASE WHEN d.lsid IS NOT NULL AND u.lsid % 2 = 0 THEN 1 END AS BIGINT) AS rt, d.lsid IS NOT NULL AS existed
 FROM ({_UPSERTED}) u LEFT JOIN dev d USING (lsid)""", "dev")
 def upsert_devices(spark, sf):
     old = feeds.devices(spark, sf)
@@ -445,8 +445,8 @@ def catalog_entries(spark, sf) -> DataFrame:
 
 
 @query("SRC7", """
-SELECT DISTINCT user_id AS sensor_type, 77 AS generated_at,
-  CASE WHEN user_id % 5 <> 0 THEN 3 ELSE 1 END AS structures FROM m""", "m")
+SELECT DISTINCT user_id AS sensor_type, CAST(77 AS BIGINT) AS generated_at,
+  CAST(CASE WHEN user_id % 5 <> 0 THEN 3 ELSE 1 END AS BIGINT) AS structures FROM m""", "m")
 def read_sensor_catalog(spark, sf):
     return catalog_entries(spark, sf).select(
         F.col("sensor_type").cast("bigint").alias("sensor_type"), "generated_at",

@@ -60,7 +60,7 @@ def points(spark, sf) -> DataFrame:
 
 
 POINTS = """
-SELECT m.*, i AS point_pos, CASE WHEN i = 1 AND event_id % 7 = 0 THEN 0 ELSE hts END AS pts
+SELECT m.*, CAST(i AS BIGINT) AS point_pos, CASE WHEN i = 1 AND event_id % 7 = 0 THEN 0 ELSE hts END AS pts
 FROM m, (VALUES (0), (1)) v(i)"""
 
 KEY = "CAST(lsid AS VARCHAR) || ':' || CAST(pts AS VARCHAR)"
@@ -71,7 +71,7 @@ TOPIC = """CASE category WHEN 'ISS' THEN 'weather.iss' WHEN 'Barometer' THEN 'we
 
 
 @query("SRC5, PRJ8", """
-SELECT event_id // 10 AS snapshot, event_id % 10 AS sensor_pos, i AS point_pos, lsid, sensor_type, dst AS data_structure_type
+SELECT event_id // 10 AS snapshot, event_id % 10 AS sensor_pos, CAST(i AS BIGINT) AS point_pos, lsid, sensor_type, dst AS data_structure_type
 FROM m, (VALUES (0), (1)) v(i)""", "m")
 def explode_points(spark, sf):
     exploded = I.explode_points(snapshots(spark, sf))

@@ -46,7 +46,7 @@ def _tables(spark, sf, label: str) -> Tables:
 
 @query("SRC4, SRC1", """
 SELECT topic, CAST(part AS BIGINT) AS partition, count(*) AS messages, min(off) AS low,
-  max(off) AS high, sum(hts) AS seconds
+  max(off) AS high, CAST(sum(hts) AS BIGINT) AS seconds
 FROM m GROUP BY ALL""", "m")
 def envelope_files(spark, sf):
     path = scratch_dir(spark, "envelope")
@@ -282,7 +282,7 @@ def last_wins(spark, sf):
 
 
 @query("WIN1", """
-SELECT count(*) AS tags, count(*) AS distinct_ids, 1 AS low, count(*) AS high FROM seen""", "seen")
+SELECT count(*) AS tags, count(*) AS distinct_ids, CAST(1 AS BIGINT) AS low, count(*) AS high FROM seen""", "seen")
 def assign_ids(spark, sf):
     return feeds.built(spark, sf)["tags"].agg(
         F.count(F.lit(1)).alias("tags"),
@@ -432,7 +432,7 @@ def materialize_metrics(spark, sf):
 
 
 @query("SNK10, SET2", """
-SELECT * FROM (VALUES ('devices', 0), ('tags', 0), ('sensor_catalog', 0), ('records_numeric', 0),
+SELECT table_name, CAST(count AS BIGINT) AS count FROM (VALUES ('devices', 0), ('tags', 0), ('sensor_catalog', 0), ('records_numeric', 0),
   ('records_text', 0), ('records_null', 0)) t(table_name, count)""")
 def truncate_data(spark, sf):
     tables = _tables(spark, sf, "truncate")
@@ -442,7 +442,7 @@ def truncate_data(spark, sf):
 
 
 @query("SNK7", """
-SELECT topic, count(*) AS messages, count(DISTINCT key) AS keys, sum(lsid) AS lsids FROM (
+SELECT topic, count(*) AS messages, count(DISTINCT key) AS keys, CAST(sum(lsid) AS BIGINT) AS lsids FROM (
   SELECT *, CAST(user_id AS VARCHAR) || ':' || CAST(hts AS VARCHAR) AS key FROM m) GROUP BY topic""", "m")
 def publish_messages(spark, sf):
     path = scratch_dir(spark, "published")

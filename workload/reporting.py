@@ -140,7 +140,7 @@ def unit_coverage(spark, sf):
 
 @query("AGG19", """
 SELECT count(DISTINCT lsid) AS sensors, count(DISTINCT hts // 86400) AS days, count(*) AS messages,
-  sum(length(event_type)) AS bytes,
+  CAST(sum(length(event_type)) AS BIGINT) AS bytes,
   round(count(DISTINCT lsid) * (count(*) / count(DISTINCT lsid) / count(DISTINCT hts // 86400)) * 365
     * (sum(length(event_type)) / count(*)) * 0.5 / 1e6, 6) AS mb_per_year
 FROM m""", "m")

@@ -57,8 +57,8 @@ CTES = {
 SELECT event_id, ts, user_id, user_id AS lsid, event_type, value,
   CAST(json_extract(props, '$.k') AS BIGINT) AS k, epoch_us(ts) // 1000000 AS hts,
   'events.' || event_type AS topic, user_id % 3 AS part, event_id AS off,
-  CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3
-    WHEN 'signup' THEN 4 ELSE 5 END AS sensor_type,
+  CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3
+    WHEN 'signup' THEN 4 ELSE 5 END AS BIGINT) AS sensor_type,
   1 + user_id % 2 AS dst
 FROM events""",
     "md": """
@@ -71,7 +71,7 @@ SELECT DISTINCT user_id AS id, user_id AS lsid, 1 + user_id % 5 AS sensor_type,
     WHEN 3 THEN 'HEALTH' ELSE 'Other' END AS category,
   'product ' || CAST(user_id % 4 AS VARCHAR) AS product_name,
   nullif(user_id % 3, 0) AS station_id,
-  CASE WHEN user_id % 2 = 0 THEN 1 END AS rt
+  CAST(CASE WHEN user_id % 2 = 0 THEN 1 END AS BIGINT) AS rt
 FROM m WHERE user_id % 7 <> 3 AND user_id > 0""",
     "cat": """
 SELECT DISTINCT sensor_type, '1' AS structure, f.field, f.field_type, f.units,
