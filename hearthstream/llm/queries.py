@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthstream.llm import bpe, main_text, merkle
+from hearthstream.llm import bpe, main_text, merkle, minhash
 from hearthstream.llm.common import table
 
 QUERIES: dict = {}
@@ -28,6 +28,38 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract_main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+@query
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+ORACLES["op2_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 2 THEN [words[1]]
+    ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS grams
+  FROM w
+), t AS (
+  SELECT doc_id, unnest(grams) AS gram FROM s
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+        FROM t x JOIN t y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN s x ON x.doc_id = p.a JOIN s y ON y.doc_id = p.b
+  WHERE 100 * c >= 80 * (len(x.grams) + len(y.grams) - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = s.doc_id"""
+
+
 @query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_documents(table(spark, sf_dir, "documents"))
