@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthstream.llm import bpe, main_text, merkle, minhash
+from hearthstream.llm import bpe, main_text, merkle, minhash, packing
 from hearthstream.llm.common import table
 
 QUERIES: dict = {}
@@ -68,3 +68,8 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
