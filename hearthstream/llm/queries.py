@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthstream.llm import bpe, main_text, merkle, minhash, packing
+from hearthstream.llm import bpe, main_text, merkle, minhash, packing, repair
 from hearthstream.llm.common import table
 
 QUERIES: dict = {}
@@ -70,6 +70,16 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+VOCABULARY_SIZE = 50_257
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.token_file_digests(
+        table(spark, sf_dir, "documents"), vocabulary_path(), VOCABULARY_SIZE
+    )
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
