@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthstream.llm import bpe, main_text, merkle, minhash, packing, repair, window_dedup
+from hearthstream.llm import bpe, main_text, merkle, minhash, packing, repair, suffix_dedup, window_dedup
 from hearthstream.llm.common import table
 
 QUERIES: dict = {}
@@ -85,6 +85,11 @@ def op8_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_spans(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
