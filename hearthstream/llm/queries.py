@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthstream.llm import bpe, main_text, merkle, minhash, packing, repair, suffix_dedup, window_dedup
+from hearthstream.llm import bpe, ego_join, main_text, merkle, minhash, packing, repair, suffix_dedup, window_dedup
 from hearthstream.llm.common import table
 
 QUERIES: dict = {}
@@ -65,6 +65,29 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op4_similar_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT a AS vec_id, (SELECT count(*) FROM links l WHERE l.a = r.a) AS n_links,
+  min(b) AS component_id, a = min(b) AS kept
+FROM reach r GROUP BY a"""
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary_path())
