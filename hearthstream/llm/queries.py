@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthstream.llm import bpe, ego_join, main_text, merkle, minhash, packing, repair, suffix_dedup, window_dedup
+from hearthstream.llm import bpe, ego_join, main_text, merkle, minhash, packing, repair, suffix_dedup, weak_label, window_dedup
 from hearthstream.llm.common import table
 
 QUERIES: dict = {}
@@ -103,6 +103,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_label.judge_quality(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.remove_repeats(table(spark, sf_dir, "documents"))

@@ -72,7 +72,8 @@ def cells(anchors: np.ndarray, bits: int) -> np.ndarray:
     """One cell per row of the sketch, rows numbered through: shape (DEPTH, n)."""
     rows = []
     for d in range(DEPTH):
-        h = mix64(anchors + np.uint64(d + 1) * _INVERSE) >> np.uint64(64 - bits)
+        salt = np.uint64((d + 1) * int(_INVERSE) % (1 << 64))
+        h = mix64(anchors + salt) >> np.uint64(64 - bits)
         rows.append(h + (np.uint64(d) << np.uint64(bits)))
     return np.array(rows)
 

@@ -252,21 +252,24 @@ def repeated_spans(
 
 def remove_repeated_spans(
     documents: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH,
-    gram: int = GRAM, texts: bool = False,
+    gram: int = GRAM, texts: bool = False, carry: list[str] | None = None,
 ) -> DataFrame:
     """Per document: ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` (and ``kept``).
 
     ``kept`` is the remaining text without characters that lost some of their bytes.
+    Columns named in ``carry`` come along unchanged.
     """
+    carry = carry or []
     spans = repeated_spans(documents, id_column, text, length, gram).groupBy("doc").agg(
         F.collect_list(F.struct("start", "end")).alias("spans")
     )
-    rows = with_id(documents, id_column, text)
+    rows = with_id(documents, id_column, text, *carry)
     joined = rows.join(spans, rows[id_column] == spans["doc"], "left").select(
         rows[id_column].alias("id"), rows[text].alias("text"),
         F.col("spans.start").alias("start"), F.col("spans.end").alias("end"),
+        *[rows[c] for c in carry],
     )
-    schema = pa.schema(
+    own = pa.schema(
         [(id_column, pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
          ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
         + ([("kept", pa.string())] if texts else [])
@@ -274,7 +277,7 @@ def remove_repeated_spans(
 
     def work(batches):
         for batch in batches:
-            out: list[list] = [[] for _ in range(len(schema) - 1)]
+            out: list[list] = [[] for _ in range(len(own) - 1)]
             for t, starts, ends in zip(
                 texts_of(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist(),
                 strict=True,
@@ -293,9 +296,14 @@ def remove_repeated_spans(
                     out, values + [left.decode("utf-8", "ignore")] * texts, strict=True
                 ):
                     column.append(value)
-            yield batch_of(schema, [batch.column(0).cast(pa.int64()), *out])
+            along = range(4, 4 + len(carry))
+            yield batch_of(
+                pa.schema([*own, *(batch.schema.field(i) for i in along)]),
+                [batch.column(0).cast(pa.int64()), *out, *(batch.column(i) for i in along)],
+            )
 
     extra = ", kept string" if texts else ""
+    extra += "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in carry)
     return map_batches(
         joined, work,
         f"`{id_column}` bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
