@@ -32,6 +32,7 @@ SKIPPED = frozenset(
     "head nav header footer aside form menu dialog button select fieldset datalist".split()
 )
 CONTAINERS = frozenset(["article", "main"])
+HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -72,9 +73,14 @@ def _beside(attributes: str) -> bool:
     return bool(_HIDDEN.search(attributes))
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """Lines as (text, characters outside links, beside the article, in a container)."""
-    lines: list[tuple[str, int, bool, bool]] = []
+def _ink(parts: list[str]) -> int:
+    """Characters that are not white space."""
+    return len("".join(entities.unescape("".join(parts)).split()))
+
+
+def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
+    """Lines as (text, ink outside links, beside the article, in a container, heading)."""
+    lines: list[tuple[str, int, bool, bool, bool]] = []
     parts: list[str] = []
     links: list[str] = []
     # Open elements as (name, beside, in container); counters save a scan.
@@ -85,10 +91,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                linked = len("".join(links).split()) and len(
-                    " ".join(entities.unescape("".join(links)).split())
-                )
-                lines.append((text, len(text) - linked, beside > 0, inside > 0))
+                heading = bool(stack) and stack[-1][0] in HEADINGS
+                ink = _ink(parts) - (_ink(links) if links else 0)
+                lines.append((text, ink, beside > 0, inside > 0, heading))
             parts.clear()
             links.clear()
 
@@ -163,14 +168,19 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     return lines
 
 
+def _label(line: tuple[str, int, bool, bool, bool]) -> bool:
+    """A short line that is neither a heading nor a sentence."""
+    return line[1] < SURGE and not line[4] and line[0][-1] not in ".!?\"'”’»。！？"
+
+
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The article of one page."""
     if not page:
         return ""
     lines = lines_of(page)
-    contained = any(n > 0 and inside and not beside for _, n, beside, inside in lines)
+    contained = any(n > 0 and inside and not beside for _, n, beside, inside, _ in lines)
     lengths = [
-        0 if beside or (contained and not inside) else n for _, n, beside, inside in lines
+        0 if beside or (contained and not inside) else n for _, n, beside, inside, _ in lines
     ]
     # Where the page names its article, any text there is a surge.
     threshold = 1 if contained else surge
@@ -186,7 +196,13 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
             end = k
             while end < total and sums[min(total, end + window)] - sums[end] > 0:
                 end += 1
-            best.append((k, end))
+            first, last = k, end
+            # A window reaches over its neighbours: labels at the rim are not prose.
+            while not contained and first < last and _label(lines[first]):
+                first += 1
+            while not contained and first < last and _label(lines[last - 1]):
+                last -= 1
+            best.append((first, last))
             k = end
         else:
             k += 1

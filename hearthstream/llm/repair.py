@@ -48,7 +48,7 @@ def _frequent_pairs(
     """Frequent pair codes, and their places by hash.
 
     Pairs are counted by hash; one pair stands for its hash.  No right symbol is
-    another pair's left one, so chosen pairs never overlap in the sequence.
+    another pair's left one, so different chosen pairs never overlap in the sequence.
     """
     counts = np.bincount(hashed, minlength=1 << HASH_BITS)
     frequent = np.flatnonzero(counts >= least)
@@ -58,7 +58,7 @@ def _frequent_pairs(
     chosen, lefts, rights = [], set(), set()
     for code in stands[frequent].tolist():
         a, b = code >> 32, code & 0xFFFFFFFF
-        if a == b or a in rights or b in lefts:
+        if a in rights or b in lefts or a == b and (a in lefts or b in rights):
             continue
         chosen.append(code)
         lefts.add(a)
@@ -95,6 +95,9 @@ def compress(
         hits = hits[often[at[hits]]]
         if not len(hits):
             break
+        # Only a pair of equal symbols can overlap, with itself: every other one of a run.
+        starts = np.flatnonzero(np.diff(hits, prepend=-2) != 1)
+        hits = hits[(np.arange(len(hits)) - np.repeat(starts, np.diff(np.append(starts, len(hits))))) % 2 == 0]
         rule = np.cumsum(often) - 1
         symbols[hits] = size + rule[at[hits]]
         symbols = np.delete(symbols, hits + 1)
