@@ -84,6 +84,30 @@ def field(document: Column, name: str, kind: str, spark_type: str) -> Column:
     return F.when(is_kind(value, kind), F.try_variant_get(document, f"$.{name}", spark_type))
 
 
+def has_kind_or_none(document: Column, name: str, kind: str) -> Column:
+    """Whether a field is absent, JSON null, or of the wanted kind."""
+    value = F.try_variant_get(document, f"$.{name}", "variant")
+    return value.isNull() | F.is_variant_null(value) | F.coalesce(is_kind(value, kind), F.lit(False))
+
+
+def is_text_list(document: Column, name: str) -> Column:
+    """Whether a field is absent, JSON null, or an array of strings and nulls."""
+    value = F.try_variant_get(document, f"$.{name}", "variant")
+    items = F.try_variant_get(value, "$", "array<variant>")
+    plain = F.forall(
+        items, lambda x: x.isNull() | F.is_variant_null(x) | F.coalesce(is_kind(x, "string"), F.lit(False))
+    )
+    listed = F.coalesce(is_kind(value, "array"), F.lit(False)) & F.coalesce(plain, F.lit(False))
+    return value.isNull() | F.is_variant_null(value) | listed
+
+
+def is_whole_or_none(document: Column, name: str) -> Column:
+    """Whether a field is absent, JSON null, or a number without fraction that fits 64 bits."""
+    value = F.try_variant_get(document, f"$.{name}", "variant")
+    whole = F.schema_of_variant(value).rlike(r"\A(BIGINT|INT|SMALLINT|TINYINT)")
+    return value.isNull() | F.is_variant_null(value) | F.coalesce(whole, F.lit(False))
+
+
 def merge_json(base: Column, overlay: Column) -> Column:
     """Two map<string,variant> as one JSON object with sorted keys.
 

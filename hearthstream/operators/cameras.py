@@ -10,8 +10,15 @@ from hearthstream.functions import (
     first_matching,
     millis_to_seconds,
     nullif_empty,
+    parse_json_value,
     sanitize_name,
 )
+from hearthstream.functions.documents import (
+    has_kind_or_none,
+    is_kind,
+    is_text_list,
+    is_whole_or_none,
+)
 from hearthstream.operators.envelope import header, string_headers
 
 # Detection types, topics and the source header.
@@ -37,8 +44,20 @@ def unwrap_event(raw: DataFrame, column: str = "raw") -> DataFrame:
 
 
 def parse_events(raw: DataFrame, column: str = "raw") -> DataFrame:
-    """Typed event columns next to the raw text; NULL struct for non-events."""
-    return raw.withColumn("event", F.from_json(column, schemas.CAMERA_EVENT_DDL))
+    """Typed event columns next to the raw text; NULL struct for unreadable ones."""
+    return raw.withColumn("event", event_of(F.col(column)))
+
+
+def event_of(text: Column) -> Column:
+    """The typed event, NULL as a whole if any field is of the wrong kind."""
+    document = parse_json_value(text)
+    readable = is_kind(document, "object")
+    for name in ("id", "modelKey", "type", "camera", "device"):
+        readable = readable & has_kind_or_none(document, name, "string")
+    for name in ("start", "end"):
+        readable = readable & is_whole_or_none(document, name)
+    readable = readable & is_text_list(document, "smartDetectTypes")
+    return F.when(readable, F.from_json(text, schemas.CAMERA_EVENT_DDL))
 
 
 def only_events(events: DataFrame) -> DataFrame:
@@ -130,7 +149,7 @@ def archive_events(messages: DataFrame) -> DataFrame:
     else ``unknown`` (a different rule than :func:`classify_event`).  Events
     without id, start or camera are dropped.
     """
-    event = F.from_json(F.col("value").cast("string"), schemas.CAMERA_EVENT_DDL)
+    event = event_of(F.col("value").cast("string"))
     from_key = F.when(F.instr("key", ":") > 1, F.substring_index("key", ":", 1))
     parsed = messages.withColumn("event", event).withColumns(
         {

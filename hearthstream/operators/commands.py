@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hearthstream import schemas
 from hearthstream.functions import nullif_empty, parse_json_value, value_kind
+from hearthstream.functions.documents import has_kind_or_none
 
 UNREADABLE = "failed to parse command"
 
@@ -26,7 +27,11 @@ def judge_commands(messages: DataFrame, column: str = "value") -> DataFrame:
     for name in ("entity_id", "service", "domain"):
         absent = nullif_empty(F.col(f"command.{name}")).isNull()
         missing = F.when(absent, f"{name} is required").otherwise(missing)
+    # A field of the wrong kind makes the whole body unreadable.
     readable = F.coalesce(F.col("_kind").isin("object", "null"), F.lit(False))
+    for name in ("domain", "service", "entity_id"):
+        readable = readable & has_kind_or_none(document, name, "string")
+    readable = readable & has_kind_or_none(document, "data", "object")
     return parsed.withColumn(
         "reason", F.when(~readable, F.lit(UNREADABLE)).otherwise(missing)
     ).drop("_kind")

@@ -20,9 +20,9 @@ from hearthstream.operators.envelope import ARRIVAL
 from hearthstream.operators.keyed import last_wins, upsert
 from hearthstream.operators.records import with_catalog
 
+# Reasons stored with dead letters.
 BAD_METADATA = "failed to parse metadata: not a JSON object"
 BAD_LSID = "missing or invalid lsid in metadata"
-NO_STATIONS = "stations array is empty"
 BAD_CATALOG = "failed to parse catalog: not a JSON object"
 NO_SENSOR_TYPE = "missing sensor_type in catalog message"
 NO_STRUCTURES = "missing data_structures in catalog message"

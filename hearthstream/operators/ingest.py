@@ -22,7 +22,9 @@ SENSORS_TOPIC = "weather.metadata.sensors"
 CATALOG_TOPIC = "weather.metadata.catalog"
 STATION_TOPIC = "weather.metadata.station"
 
-RECORD_TOPICS = list(CATEGORY_TOPICS.values())
+# The publisher of the records also replays only the first group.
+STRICT_RECORD_TOPICS = list(CATEGORY_TOPICS.values())
+RECORD_TOPICS = [*STRICT_RECORD_TOPICS, OTHER_TOPIC]
 METADATA_TOPICS = [SENSORS_TOPIC, CATALOG_TOPIC, STATION_TOPIC]
 
 

@@ -46,16 +46,21 @@ def absent_from(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFra
 
 
 def assign_ids(
-    new_rows: DataFrame, keys: list[str], after: Column, id_column: str = "id", buckets: int = 256
+    new_rows: DataFrame, keys: list[str], after: Column, id_column: str = "id",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Dense serial ids for rows with distinct keys, starting at ``after`` + 1.
 
     Numbering through one global window would drag all rows through one task.
     Instead rows are numbered inside hash buckets, and each bucket starts where
     the ones before it end.  Only the per-bucket counts (at most ``buckets``
-    rows) meet in one place.  The result depends on the keys alone, so a retried
-    task or batch produces the same ids.
+    rows, by default four per shuffle partition) meet in one place.  The result
+    depends on the keys and the number of buckets, so a retried task or batch
+    produces the same ids.
     """
+    if buckets is None:
+        conf = new_rows.sparkSession.conf
+        buckets = max(256, 4 * int(conf.get("spark.sql.shuffle.partitions")))
     bucketed = new_rows.withColumn(
         "_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthstream.operators.keyed import last_wins, upsert
+from hearthstream.operators.records import BAD_BODY
 
 ORPHAN_KEYS = ["topic", "partition", "offset"]
 
@@ -30,7 +31,7 @@ def latest_versions(log: DataFrame, columns: list[str] | None = None) -> DataFra
     rest = [c for c in log.columns if c not in (*ORPHAN_KEYS, "reprocessed")]
     kept = rest if columns is None else [c for c in rest if c in columns]
     current = log.groupBy(*ORPHAN_KEYS).agg(
-        F.max_by(F.struct(*kept), "created_at").alias("_v"),
+        F.max_by(F.struct(*kept), F.struct("created_at", "reason", "tag_name")).alias("_v"),
         F.bool_or("reprocessed").alias("reprocessed"),
     )
     return current.select(*ORPHAN_KEYS, "_v.*", "reprocessed").select(
@@ -43,8 +44,12 @@ def pending_orphans(orphans: DataFrame) -> DataFrame:
 
 
 def replayable(orphans: DataFrame, devices: DataFrame) -> DataFrame:
-    """Pending orphans whose device is known by now."""
-    return pending_orphans(orphans).join(devices.select("lsid"), "lsid", "left_semi")
+    """Pending orphans whose device is known by now and whose body can be read.
+
+    An unreadable body fails again in every replay, so it stays pending.
+    """
+    ready = pending_orphans(orphans).where(F.col("reason") != BAD_BODY)
+    return ready.join(devices.select("lsid"), "lsid", "left_semi")
 
 
 def as_messages(orphans: DataFrame) -> DataFrame:
@@ -65,16 +70,6 @@ def as_messages(orphans: DataFrame) -> DataFrame:
     )
 
 
-def mark_reprocessed(orphans: DataFrame, done: DataFrame) -> DataFrame:
-    """Set ``reprocessed`` on the given message positions."""
-    marked = done.select(*ORPHAN_KEYS).withColumn("_done", F.lit(True))
-    return (
-        orphans.join(marked, ORPHAN_KEYS, "left")
-        .withColumn("reprocessed", F.col("reprocessed") | F.coalesce("_done", F.lit(False)))
-        .select(*orphans.columns)
-    )
-
-
 def orphan_summary(orphans: DataFrame) -> DataFrame:
     """Pending orphans counted by topic, device, tag and reason."""
     return (

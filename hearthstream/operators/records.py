@@ -17,6 +17,7 @@ from hearthstream.functions import (
 from hearthstream.operators.envelope import ARRIVAL, headers_map
 from hearthstream.operators.keyed import first_wins
 
+# Reasons stored with dead letters.
 MISSING_DEVICE = "missing_device"
 BAD_BODY = "failed to parse message body: not a JSON object"
 

@@ -15,8 +15,8 @@ from hearthstream.operators.envelope import (
     parse_body,
     with_header_columns,
 )
-from hearthstream.operators.keyed import assign_ids, next_id_base
-from hearthstream.operators.orphans import as_messages, replayable
+from hearthstream.operators.keyed import absent_from, assign_ids, next_id_base
+from hearthstream.operators.orphans import ORPHAN_KEYS, as_messages, replayable
 from hearthstream.session import cut_lineage, observing
 from hearthstream.sources.tables import Tables
 
@@ -128,9 +128,10 @@ def materialize(
 ) -> Summary:
     """Write a batch of messages into the tables.
 
-    Two passes over the messages.  The first finds new tags and, on the way,
-    counts messages and notes which days occur; the second routes and writes the
-    records.  Dead letters cost a third pass only when there are any.
+    One pass over the messages parses the bodies, counts, notes which days occur
+    and stages the values as narrow rows.  New tags are found and records routed
+    from the staged rows.  Dead letters cost another pass, over the messages
+    without their fields, only when there are any.
 
     Order of writes: tags, records, orphans.  Each is idempotent, so a batch that
     fails half-way is simply run again.
@@ -149,20 +150,32 @@ def materialize(
         F.count(F.lit(1)).alias("messages"),
         *[F.count_if(F.col("verdict") == v).alias(v) for v in (NO_LSID, NO_DEVICE, NO_BODY)],
     )
-    first_pass = points_of(observed).observe(
-        melted,
-        day_bitmap(F.col("ts")).alias("days"),
-        outside_days(F.col("ts")).alias("outside"),
-    )
     with observing(spark):
-        fresh_tags = cut_lineage(R.new_tag_rows(R.first_seen_types(first_pass), tags, catalog))
+        points = cut_lineage(
+            points_of(observed).observe(
+                melted,
+                day_bitmap(F.col("ts")).alias("days"),
+                outside_days(F.col("ts")).alias("outside"),
+            ),
+            "points",
+        )
         counts = dict(arrived.get)
         days, outside = melted.get["days"], melted.get["outside"] > 0
+    fresh_tags = cut_lineage(R.new_tag_rows(R.first_seen_types(points), tags, catalog))
+    new_tags = 0
     if not fresh_tags.isEmpty():
-        tags = tables.append_dimension("tags", numbered_tags(fresh_tags, tags, now))
+        known = tags.count()
+
+        def with_fresh(stored: DataFrame) -> DataFrame:
+            # Another writer may have added some of them since.
+            missing = absent_from(fresh_tags, stored, ["device_id", "tag_name"])
+            return stored.unionByName(numbered_tags(missing, stored, now))
+
+        tags = tables.update_dimension("tags", with_fresh)
+        new_tags = tags.count() - known
 
     before = tables.record_counts(tables.records_of_days(days, outside))
-    accepted = R.accepted_records(routed_points(points_of(judged), tags))
+    accepted = R.accepted_records(routed_points(points, tags))
     tables.append_records(R.unrecorded(accepted, tables.records_of_days(days, outside)))
     after = tables.record_counts(tables.records_of_days(days, outside))
 
@@ -177,16 +190,22 @@ def materialize(
             "messages": counts["messages"],
             "processed": counts["messages"] - errors,
             "errors": errors,
-            "new_tags": fresh_tags.count(),
+            "new_tags": new_tags,
             **inserted,
         }
     )
 
 
 def replay_orphans(tables: Tables, now: Column | None = None) -> Summary:
-    """Materialize pending orphans whose device is known by now, and mark them."""
-    # Staged: the rows are read by three passes and appended to their own source.
-    ready = cut_lineage(replayable(tables.orphans(), tables.dimension("devices")))
+    """Materialize pending orphans whose device is known by now, and mark the good ones.
+
+    An orphan that fails again, whatever its stored reason, stays pending.
+    """
+    # Staged: the rows are read by several passes and appended to their own source.
+    devices = tables.dimension("devices")
+    ready = cut_lineage(replayable(tables.orphans(), devices))
     summary = materialize(as_messages(ready), tables, now=now)
-    tables.append_orphans(ready.withColumn("reprocessed", F.lit(True)))
+    good = judge(as_messages(ready), devices).where(F.col("verdict") == GOOD)
+    done = ready.join(good.select(*ORPHAN_KEYS).distinct(), ORPHAN_KEYS, "left_semi")
+    tables.append_orphans(done.withColumn("reprocessed", F.lit(True)))
     return summary

@@ -15,7 +15,9 @@ def _dead(invalid: DataFrame, tables: Tables, now: Column) -> None:
     plain = invalid.withColumns(
         {"lsid": F.lit(0).cast("bigint"), "record_ts": F.lit(0).cast("bigint")}
     )
-    tables.append_orphans(as_orphans(plain, F.col("reason"), now))
+    rows = as_orphans(plain, F.col("reason"), now)
+    if not rows.isEmpty():
+        tables.append_orphans(rows)
 
 
 def apply_metadata(messages: DataFrame, tables: Tables, now: Column | None = None) -> None:
@@ -25,12 +27,10 @@ def apply_metadata(messages: DataFrame, tables: Tables, now: Column | None = Non
     # Staged: the upsert refers to its input several times, the messages are parsed once.
     rows = cut_lineage(D.latest_devices(split.devices))
     if not rows.isEmpty():
-        devices = tables.dimension("devices")
-        tables.replace_dimension("devices", D.upsert_devices(devices, rows, now))
+        tables.update_dimension("devices", lambda old: D.upsert_devices(old, rows, now))
     updates = cut_lineage(D.station_updates(split.stations))
     if not updates.isEmpty():
-        devices = tables.dimension("devices")
-        tables.replace_dimension("devices", D.update_station_info(devices, updates, now))
+        tables.update_dimension("devices", lambda old: D.update_station_info(old, updates, now))
     _dead(split.invalid, tables, now)
 
 
@@ -42,8 +42,7 @@ def apply_catalog(
     entries, invalid = D.flatten_catalog(messages)
     entries = cut_lineage(entries)
     if not entries.isEmpty():
-        catalog = tables.dimension("sensor_catalog")
-        tables.replace_dimension("sensor_catalog", D.upsert_catalog(catalog, entries, now))
+        tables.update_dimension("sensor_catalog", lambda old: D.upsert_catalog(old, entries, now))
         if enrich:
             # The raw definitions of this batch enrich the metadata; stored
             # entries have none.
@@ -66,10 +65,9 @@ def enrich_stored_tags(
         catalog = fresh.select(*stored.columns).unionByName(rest)
     tags, devices = tables.dimension("tags"), tables.dimension("devices")
     if not D.tags_needing_enrichment(tags, devices).isEmpty():
-        tables.replace_dimension("tags", D.enrich_tags(tags, devices, catalog, now))
+        tables.update_dimension("tags", lambda old: D.enrich_tags(old, devices, catalog, now))
 
 
 def learn_structure_types(messages: DataFrame, tables: Tables) -> None:
     """Store the latest structure type of each device's messages."""
-    devices = tables.dimension("devices")
-    tables.replace_dimension("devices", D.set_rt_type(devices, messages))
+    tables.update_dimension("devices", lambda old: D.set_rt_type(old, messages))

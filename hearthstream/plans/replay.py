@@ -11,6 +11,7 @@ from hearthstream.operators.ingest import (
     RECORD_TOPICS,
     SENSORS_TOPIC,
     STATION_TOPIC,
+    STRICT_RECORD_TOPICS,
 )
 from hearthstream.operators.orphans import pending_orphans
 from hearthstream.plans.materialize import Summary, materialize
@@ -28,15 +29,17 @@ def replay(
     start: int = EARLIEST,
     end: int = LATEST,
     include_metadata: bool = False,
-    partition: int | None = 0,
+    partition: int | None = None,
     now: Column | None = None,
+    strict_topics: bool = False,
 ) -> Summary:
     """Replay a range of offsets.
 
     The metadata phase runs in foreign-key order (sensors, catalog, station)
     before any record is read.  All data topics are then one job: its
-    parallelism is the number of input partitions.  ``partition=None`` reads
-    every partition of a topic.
+    parallelism is the number of input partitions.  Every partition of a topic
+    is read unless one is named; ``strict_topics`` leaves out the topic of
+    uncategorized sensors.
     """
     ranged = offset_range(messages, start, end)
     if partition is not None:
@@ -45,7 +48,7 @@ def replay(
         apply_metadata(ranged.where(F.col("topic") == SENSORS_TOPIC), tables, now)
         apply_catalog(ranged.where(F.col("topic") == CATALOG_TOPIC), tables, False, now)
         apply_metadata(ranged.where(F.col("topic") == STATION_TOPIC), tables, now)
-    data = ranged.where(F.col("topic").isin(topics or RECORD_TOPICS))
+    data = ranged.where(F.col("topic").isin(topics or (STRICT_RECORD_TOPICS if strict_topics else RECORD_TOPICS)))
     return materialize(data, tables, replay=True, now=now)
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,20 +36,24 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SETTINGS` to a session and return it."""
+    """Apply :data:`SETTINGS` to a session, ship the package, and return the session."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    Only where no ``spark.checkpoint.dir`` is configured (a laptop, a unit
-    test) is a local temporary folder used.
+    Only in local mode without ``spark.checkpoint.dir`` (a laptop, a unit test)
+    is a temporary folder used; the executors of a cluster would not share it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
         base = tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/hearthstream-{label}-{uuid.uuid4().hex}"
 
@@ -58,25 +66,73 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    _stages.append(path)
+    _owned().append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _stages: list[str] = []
+_scopes = threading.local()
 
 
-def drop_stages(spark: SparkSession) -> int:
-    """Delete the stage tables this process has written; returns how many.
+def _owned() -> list[str]:
+    """Where the current thread notes its stages: the innermost scope, else the process."""
+    stack = getattr(_scopes, "stack", None)
+    return stack[-1] if stack else _stages
 
-    Call it when no DataFrame built on them is needed any more.
-    """
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     dropped = 0
-    while _stages:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_stages.pop())
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         dropped += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return dropped
 
 
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage tables written outside any scope; returns how many.
+
+    Call it when no DataFrame built on them is needed any more.
+    """
+    return _delete(spark, _stages)
+
+
+@contextmanager
+def own_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete the stages written inside when the block ends, and no others.
+
+    For a micro-batch or any job that leaves nothing but written tables behind.
+    """
+    stack = _scopes.stack = getattr(_scopes, "stack", None) or []
+    mine: list[str] = []
+    stack.append(mine)
+    try:
+        yield
+    finally:
+        stack.remove(mine)
+        _delete(spark, mine)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Needed where they have not installed it: Python functions are pickled by
+    reference to their module.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="spark-")) / "hearthstream.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, str(file.relative_to(root.parent)))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 @contextmanager
 def observing(spark: SparkSession) -> Iterator[None]:
     """Keep observed plan nodes in the plan while an observed action runs.

@@ -9,6 +9,13 @@ from hearthstream import schemas
 from hearthstream.functions import sanitize_name
 
 
+# File streams ignore files this much older than the newest one they have seen.
+# Records may come arbitrarily late, so the default is a century.  A source that
+# keeps millions of files should archive them (``cleanSource``) instead of
+# shortening it, because every path within this age is remembered.
+MAX_FILE_AGE = "36500d"
+
+
 def read_envelope_files(
     spark: SparkSession,
     path: str,
@@ -19,6 +26,8 @@ def read_envelope_files(
     """Envelope rows from files, bounded or as a stream."""
     reader = spark.readStream if stream else spark.read
     reader = reader.schema(schemas.MESSAGE_DDL).format(file_format)
+    if stream:
+        reader = reader.option("maxFileAge", MAX_FILE_AGE)
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
@@ -74,6 +83,7 @@ def stream_current_conditions(spark: SparkSession, path: str, max_files: int = 1
     return (
         spark.readStream.schema(schemas.SNAPSHOT_DDL)
         .option("multiLine", "true")
+        .option("maxFileAge", MAX_FILE_AGE)
         .option("maxFilesPerTrigger", max_files)
         .json(path)
     )
@@ -139,6 +149,7 @@ def new_images(
         .option("pathGlobFilter", "*.jpg")
         .option("recursiveFileLookup", "true")
         .option("latestFirst", str(latest_first).lower())
+        .option("maxFileAge", MAX_FILE_AGE)
         .option("maxFilesPerTrigger", max_files)
         .load(directory)
         .select("path", "modificationTime")

@@ -11,7 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthstream.operators.envelope import DATA_TOPIC_PATTERN
+from hearthstream.operators.envelope import DATA_TOPIC_PATTERN, offset_range
 
 # Fixed values of the publisher.
 PRODUCER_OPTIONS = {
@@ -36,18 +36,28 @@ def source_options(broker: str, topics: list[str] | None = None) -> dict[str, st
     return options
 
 
-def offset_options(topics: list[str], start: int, end: int, partition: int = 0) -> dict[str, str]:
+def offset_options(
+    topics: list[str], start: int, end: int, partitions: list[int] | None = None
+) -> dict[str, str]:
     """Bounded-read options for an offset range.
 
     ``start`` -2 or 0 is the earliest, -1 the latest; ``end`` >= 0 is exclusive,
-    -1 the latest.
+    -1 the latest.  Without ``partitions`` the options cover every partition of the
+    topics; their number is the broker's, so bounds in the middle are then left
+    to a filter on the offset (:func:`read_offset_range`).
     """
     at_start = -2 if start == 0 else start
     at_end = -1 if end < 0 else end
+    if partitions is None:
+        return {
+            "subscribe": ",".join(topics),
+            "startingOffsets": "latest" if at_start == -1 else "earliest",
+            "endingOffsets": "latest",
+        }
     return {
-        "assign": json.dumps({t: [partition] for t in topics}),
-        "startingOffsets": json.dumps({t: {str(partition): at_start} for t in topics}),
-        "endingOffsets": json.dumps({t: {str(partition): at_end} for t in topics}),
+        "assign": json.dumps({t: partitions for t in topics}),
+        "startingOffsets": json.dumps({t: {str(p): at_start for p in partitions} for t in topics}),
+        "endingOffsets": json.dumps({t: {str(p): at_end for p in partitions} for t in topics}),
     }
 
 
@@ -79,12 +89,18 @@ def read_messages(
 
 
 def read_offset_range(
-    spark: SparkSession, broker: str, topics: list[str], start: int, end: int
+    spark: SparkSession,
+    broker: str,
+    topics: list[str],
+    start: int,
+    end: int,
+    partitions: list[int] | None = None,
 ) -> DataFrame:
-    """Envelope rows of an offset range, read in parallel across topics."""
+    """Envelope rows of an offset range of all (or the given) partitions."""
     options = {"kafka.bootstrap.servers": broker, "includeHeaders": "true"}
-    options.update(offset_options(topics, start, end))
-    return _envelope(spark.read.format("kafka").options(**options).load())
+    options.update(offset_options(topics, start, end, partitions))
+    rows = _envelope(spark.read.format("kafka").options(**options).load())
+    return rows if partitions is not None else offset_range(rows, start, end)
 
 
 def published_keys(spark: SparkSession, broker: str, topics: list[str]) -> DataFrame:

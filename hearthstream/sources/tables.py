@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+import time
+import uuid
+from collections import defaultdict
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +21,14 @@ DIMENSIONS = {
     "sensor_catalog": schemas.CATALOG_DDL,
 }
 
+CLAIM_LAPSES_MS = 60_000
+READERS_DONE_MS = 6 * 3600 * 1000
+
+_turns: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
+
+
+def _turn(path: str) -> threading.RLock:
+    return _turns[path]
 
 
 class Tables:
@@ -22,7 +36,8 @@ class Tables:
 
     A dimension is a series of snapshot folders ``version=N``; the newest
     complete one counts, so a table can be rewritten while it is being read and
-    a half-written snapshot is never seen.  Orphans are an append-only log.  Facts
+    a half-written snapshot is never seen.  Facts have one writer at a time:
+    two streams that append the same records at once would both insert them.  Orphans are an append-only log.  Facts
     are one table partitioned by kind and day.
     """
 
@@ -60,30 +75,64 @@ class Tables:
         versions = self._versions(name)
         if not versions:
             return schemas.empty(self.spark, DIMENSIONS[name])
+        return self._snapshot(name, versions[-1])
+
+    def update_dimension(
+        self, name: str, change: Callable[[DataFrame], DataFrame], keep: int = 3
+    ) -> DataFrame:
+        """Replace a dimension by ``change`` of its newest snapshot; returns the new one.
+
+        The one way to change a dimension.  Writers of this process take turns.
+        Between processes the version number is claimed by creating a file, which
+        only one can do; the other starts over from the winner's snapshot.  So no
+        update is lost, and ids taken from the snapshot are never given twice.
+        """
+        columns = schemas.empty(self.spark, DIMENSIONS[name]).columns
+        with _turn(f"{self.root}/{name}"):
+            while True:
+                versions = self._versions(name)
+                base = versions[-1] if versions else 0
+                current = (
+                    self._snapshot(name, base) if versions
+                    else schemas.empty(self.spark, DIMENSIONS[name])
+                )
+                draft = f"draft-{uuid.uuid4().hex}"
+                change(current).select(*columns).write.parquet(f"{self.root}/{name}/{draft}")
+                if self._claim(name, base + 1):
+                    self._fs().rename(self._path(name, draft), self._path(name, f"version={base + 1}"))
+                    break
+                self._delete(name, draft)
+            self._drop_old(name, versions, keep)
+            return self._snapshot(name, base + 1)
+
+    def _snapshot(self, name: str, version: int) -> DataFrame:
         return self.spark.read.schema(DIMENSIONS[name]).parquet(
-            f"{self.root}/{name}/version={versions[-1]}"
+            f"{self.root}/{name}/version={version}"
         )
 
-    def replace_dimension(self, name: str, df: DataFrame, keep: int = 3) -> DataFrame:
-        """Write a new snapshot and return it as read back."""
-        versions = self._versions(name)
-        version = versions[-1] + 1 if versions else 1
-        columns = schemas.empty(self.spark, DIMENSIONS[name]).columns
-        df.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{name}/version={version}")
+    def _claim(self, name: str, version: int) -> bool:
+        """Take a version number; a claim that was never used lapses after a while."""
+        claim = self._path(name, f"_claim-{version}")
+        fs = self._fs()
+        if fs.createNewFile(claim):
+            return True
+        age = time.time() * 1000 - fs.getFileStatus(claim).getModificationTime()
+        if age > CLAIM_LAPSES_MS and not self._exists(name, f"version={version}"):
+            fs.delete(claim, False)
+        return False
+
+    def _drop_old(self, name: str, versions: list[int], keep: int) -> None:
+        """Delete snapshots beyond ``keep`` that no running job should still read."""
         for old in versions[: max(0, len(versions) + 1 - keep)]:
-            self._delete(name, f"version={old}")
-        return self.dimension(name)
+            newer = self._path(name, f"version={old + 1}")
+            replaced = self._fs().getFileStatus(newer).getModificationTime() if self._fs().exists(newer) else 0
+            if time.time() * 1000 - replaced > READERS_DONE_MS:
+                self._delete(name, f"version={old}")
+                self._delete(name, f"_claim-{old}")
 
-    def append_dimension(self, name: str, df: DataFrame) -> DataFrame:
-        """Add rows to the newest snapshot (they appear when the job commits)."""
-        versions = self._versions(name)
-        if not versions:
-            return self.replace_dimension(name, df)
-        columns = self.dimension(name).columns
-        df.select(*columns).write.mode("append").parquet(
-            f"{self.root}/{name}/version={versions[-1]}"
-        )
-        return self.dimension(name)
+    def replace_dimension(self, name: str, df: DataFrame, keep: int = 3) -> DataFrame:
+        """Write a new snapshot whatever the old one holds, and return it as read back."""
+        return self.update_dimension(name, lambda _: df, keep)
 
     # -- orphans ----------------------------------------------------------
 

@@ -186,11 +186,15 @@ def archive_sessions_stream(
     service does.  ``clock="arrival"`` acts at the arrival times of the messages,
     with their watermark as the clock, so that a replay of old messages gives
     the sessions the live run gave.
+
+    The watermark only moves the clock.  The grouped rows do not carry its column,
+    so a message that arrives late is not filtered: it joins the open session, or
+    opens one that the next timer closes.
     """
     by_arrival = clock == "arrival"
     columns = ["camera", "detection_type", "event_id", "start_ms", "end_ms", "arrival"]
     rows = events.select(*columns, "arrived_at")
-    rows = rows.withWatermark("arrived_at", lateness) if by_arrival else rows.drop("arrived_at")
+    rows = (rows.withWatermark("arrived_at", lateness) if by_arrival else rows).drop("arrived_at")
     return rows.groupBy(*S.GROUP).transformWithStateInPandas(
         SessionProcessor(trail, delay, timeout, by_arrival),
         OUTPUT_DDL,

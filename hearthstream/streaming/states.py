@@ -16,6 +16,10 @@ LAST_STATES_DDL = (
 )
 
 
+# Earlier than any poll.
+BEFORE_ALL = -(1 << 62)
+
+
 class LastStates:
     """The last state of every entity, one snapshot folder per batch."""
 
@@ -30,8 +34,11 @@ class LastStates:
         """The states as of the batch before; empty at the start."""
         name = f"{self.path}/batch={batch_id - 1}"
         fs, path = self._fs(name)
-        if batch_id == 0 or not fs.exists(path):
+        if batch_id == 0:
             return schemas.empty(self.spark, LAST_STATES_DDL)
+        if not fs.exists(path):
+            # Going on without it would report every entity as new.
+            raise FileNotFoundError(f"the states before batch {batch_id} are missing: {name}")
         return self.spark.read.schema(LAST_STATES_DDL).parquet(name)
 
     def store(self, batch_id: int, states: DataFrame) -> None:
@@ -47,24 +54,27 @@ def state_change_stream(
 ) -> DataStreamWriter:
     """Append the changes of each batch of polled states to ``output``.
 
-    The state before the batch takes part as the oldest row of each entity, so
-    one scan finds the changes inside the batch and at its border.  A busy
+    Batches follow each other by arrival; inside a batch the time of the poll
+    decides, then the state.  The state before the batch takes part as the first
+    row of each entity whatever the poll times are, so one scan finds the changes
+    inside the batch and at its border, and a late poll has its old state.  A busy
     entity is scanned in chunks over many tasks.  Each batch owns a folder of
     the output, which a repeated batch replaces.
     """
     last = LastStates(states.sparkSession, memory)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        before = last.before(batch_id).withColumn("_known", F.lit(True))
-        rows = batch.select(*STATE_COLUMNS).withColumn("_known", F.lit(False))
+        # _at places rows: the known state before all polls of the batch.
+        before = last.before(batch_id).withColumn("_at", F.lit(BEFORE_ALL))
+        rows = batch.select(*STATE_COLUMNS).withColumn("_at", F.col("polled_at"))
         together = before.unionByName(rows)
-        log = state_change_log(together, ["polled_at", "state"], F.col("polled_at"), chunk)
-        changes = log.where(~F.col("_known"))
-        changes.withColumn("old_state", F.col("old_state").dropFields("_known")).drop(
-            "_known"
+        log = state_change_log(together, ["_at", "state"], F.col("_at"), chunk)
+        changes = log.where(F.col("_at") != BEFORE_ALL)
+        changes.withColumn("old_state", F.col("old_state").dropFields("_at")).drop(
+            "_at"
         ).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
         latest = last_wins(
-            together.drop("_known"), ["entity_id"], F.struct("polled_at", "state")
+            together, ["entity_id"], F.struct("_at", "state"), STATE_COLUMNS[1:]
         )
         last.store(batch_id, latest)
 

@@ -9,11 +9,17 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from hearthstream.plans.materialize import Summary, materialize
 from hearthstream.plans.metadata import apply_catalog, apply_metadata
+from hearthstream.session import own_stages
 from hearthstream.sources.tables import Tables
 
 
 def _foreach(stream: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None]) -> DataStreamWriter:
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        # What a batch stages is deleted with it, and only that.
+        with own_stages(rows.sparkSession):
+            apply(rows, batch_id)
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
 
 
 def materialize_stream(
@@ -32,12 +38,7 @@ def materialize_stream(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # Two passes read the batch, and a broker should be asked only once.
-        kept = batch.persist()
-        try:
-            summary = materialize(kept, tables, replay=replay)
-        finally:
-            kept.unpersist()
+        summary = materialize(batch, tables, replay=replay)
         if on_batch is not None:
             on_batch(batch_id, summary)
 

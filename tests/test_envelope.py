@@ -55,10 +55,12 @@ def test_kafka_options():
     assert kafka.source_options("b:1", ["x", "y"]) == {
         "kafka.bootstrap.servers": "b:1", "includeHeaders": "true", "subscribe": "x,y"}
     assert kafka.source_options("b:1")["subscribePattern"] == E.DATA_TOPIC_PATTERN
-    bounded = kafka.offset_options(["x"], 0, 9)
+    assert kafka.offset_options(["x", "y"], 3, 9) == {
+        "subscribe": "x,y", "startingOffsets": "earliest", "endingOffsets": "latest"}
+    bounded = kafka.offset_options(["x"], 0, 9, [0])
     assert bounded == {
         "assign": '{"x": [0]}', "startingOffsets": '{"x": {"0": -2}}', "endingOffsets": '{"x": {"0": 9}}'}
-    assert kafka.offset_options(["x"], -1, -1)["endingOffsets"] == '{"x": {"0": -1}}'
+    assert kafka.offset_options(["x"], -1, -1, [0])["endingOffsets"] == '{"x": {"0": -1}}'
     assert kafka.PRODUCER_OPTIONS["kafka.compression.type"] == "lz4"
     assert kafka.PRODUCER_OPTIONS["kafka.acks"] == "all"
 

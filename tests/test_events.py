@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from hearthstream import schemas
@@ -149,3 +151,44 @@ def test_climate_commands(spark):
     df = spark.createDataFrame(cases, "s string, v string")
     got = [r[0] and json.loads(r[0])["data"] for r in df.select(M.climate_command(F.col("s"), F.col("v"), F.lit("c"))).collect()]
     assert got == [{"temperature": 72}, {"hvac_mode": "heat"}, {"preset_mode": "away"}, {"fan_mode": "on"}, {}, {}, None, None]
+
+
+def test_state_of_a_late_poll_has_its_old_state(spark, folder):
+    from hearthstream.streaming.states import LastStates, state_change_stream
+
+    ddl = "entity_id string, state string, last_changed string, last_updated string, polled_at bigint"
+    for state, second in (("A", 100), ("B", 50)):
+        spark.createDataFrame([("e", state, state, "", second)], ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(ddl).parquet(f"{folder}/in")
+        state_change_stream(stream, f"{folder}/out", f"{folder}/mem", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
+    log = spark.read.parquet(f"{folder}/out")
+    assert rows(log.select("state", F.col("old_state.state").alias("old"))) == [("A", None), ("B", "A")]
+    assert rows(LastStates(spark, f"{folder}/mem").before(2), "state") == [("B",)]
+    with pytest.raises(FileNotFoundError):
+        LastStates(spark, f"{folder}/mem").before(9)
+
+
+@pytest.mark.parametrize("body, reason", [
+    ('{"domain":5,"service":"s","entity_id":"e"}', "failed to parse command"),
+    ('{"domain":"d","service":"s","entity_id":"e","data":[1]}', "failed to parse command"),
+    ('{"domain":"d","service":"s","entity_id":"e","data":null}', None),
+    ('{"domain":"","service":"s","entity_id":"e"}', "domain is required"),
+    ('[1]', "failed to parse command"),
+])
+def test_commands_of_wrong_kinds(spark, body, reason):
+    from hearthstream.operators.commands import judge_commands
+
+    assert judge_commands(spark.createDataFrame([(body,)], "value string")).first().reason == reason
+
+
+@pytest.mark.parametrize("extra, good", [
+    ('"start":1000', True), ('"start":"oops"', False), ('"start":1000,"end":"bad"', False),
+    ('"start":1000,"end":1.5', False), ('"start":1000,"end":1e400', False), ('"start":1000,"end":null', True),
+    ('"start":1000,"smartDetectTypes":"person"', False), ('"start":1000,"smartDetectTypes":["person",null]', True),
+    ('"start":1000,"smartDetectTypes":[1]', False), ('"start":1000,"type":7', False),
+])
+def test_events_of_wrong_kinds(spark, extra, good):
+    from hearthstream.operators.cameras import only_events, parse_events
+
+    raw = spark.createDataFrame([('{"id":"x","modelKey":"event",' + extra + "}",)], "raw string")
+    assert only_events(parse_events(raw)).count() == good

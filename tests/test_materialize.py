@@ -233,9 +233,73 @@ def test_half_written_snapshot_is_ignored(spark, folder):
     assert tables.dimension("devices").count() == 1
 
 
-def test_old_snapshots_are_dropped(spark, folder):
+def test_old_snapshots_are_dropped(spark, folder, monkeypatch):
     tables = Tables(spark, folder)
+    monkeypatch.setattr("hearthstream.sources.tables.READERS_DONE_MS", -1)
     for n in range(1, 6):
         tables.replace_dimension("devices", devices(spark, *range(n)))
     assert tables._versions("devices") == [3, 4, 5]
     assert tables.dimension("devices").count() == 5
+
+
+def test_orphans_that_fail_again_stay_pending(spark, folder):
+    tables = stored(spark, folder, 1)
+    bad = [record(1, "{bad", lsid=1), record(2, {"a": 2}, lsid=5), record(3, {"a": 3}, lsid=6), record(4, "{bad", lsid=5)]
+    materialize(messages(spark, *bad), tables, replay=True)
+    tables.replace_dimension("devices", devices(spark, 1, 5))
+    replay_orphans(tables)
+    assert rows(tables.orphans(["lsid"]), "offset", "reprocessed") == [(1, False), (2, True), (3, False), (4, False)]
+
+
+def test_concurrent_writers_lose_nothing(spark, folder):
+    """Appends of new tags and rewrites of all tags interleave; ids stay unique."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from hearthstream.plans.metadata import enrich_stored_tags
+
+    tables = stored(spark, folder, 1)
+    batches = [messages(spark, record(i, {f"f{i}": 1, "same": 2}, ts=i)) for i in range(6)]
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [pool.submit(materialize, b, tables) for b in batches]
+        jobs += [pool.submit(enrich_stored_tags, tables) for _ in range(3)]
+        for job in jobs:
+            job.result()
+    tags = tables.dimension("tags").collect()
+    assert sorted(t.tag_name for t in tags) == sorted([f"f{i}" for i in range(6)] + ["same"])
+    assert len({t.id for t in tags}) == 7
+
+
+def test_a_lost_claim_starts_over(spark, folder):
+    """Another process wins the version: its rows are in the snapshot of the second try."""
+    tables, other = stored(spark, folder, 1), Tables(spark, folder)
+    tries = []
+
+    def change(old):
+        tries.append(old.count())
+        if len(tries) == 1:  # as another process would, between reading and claiming
+            other.update_dimension("devices", lambda d: d.unionByName(devices(spark, 2)))
+        return old.unionByName(devices(spark, 3))
+
+    tables.update_dimension("devices", change)
+    assert tries == [1, 2]
+    assert rows(tables.dimension("devices"), "lsid") == [(1,), (2,), (3,)]
+
+
+def test_weather_other_and_all_partitions_are_replayed(spark, folder):
+    data = [record(1, {"a": 1}, ts=1), record(2, {"a": 2}, ts=2, partition=3), record(3, {"a": 3}, ts=3, topic="weather.other")]
+    tables = stored(spark, folder, 1)
+    assert replay(messages(spark, *data), tables)["numeric"] == 3
+    strict = stored(spark, f"{folder}/strict", 1)
+    assert replay(messages(spark, *data), strict, partition=0, strict_topics=True)["numeric"] == 1
+
+
+def test_stages_of_a_scope_go_with_it(spark, folder):
+    import os
+
+    from hearthstream.session import cut_lineage, own_stages
+
+    kept = cut_lineage(spark.range(3))
+    with own_stages(spark):
+        inner = cut_lineage(spark.range(5)).inputFiles()[0]
+        assert os.path.exists(inner.removeprefix("file://"))
+    assert not os.path.exists(inner.removeprefix("file://")) and kept.count() == 3

@@ -168,3 +168,30 @@ def test_stream_by_processing_time(spark, folder):
             (100000, 130000, 2, "closed", "smart/person/cam/100")]
     finally:
         query.stop()
+
+
+def test_stream_keeps_late_messages(spark, folder):
+    got = streamed(spark, folder, [("a", 1000, 1001, 1000)], [("b", 5000, 5001, 5000)], [("c", 3000, 3001, 3000)], [LATER])
+    # The late one joins the session that is open when it arrives.
+    assert got == [(1000000, 1001000, 1, "closed"), (3000000, 5001000, 2, "closed")]
+
+
+def test_file_stream_reads_files_of_any_age(spark, folder):
+    import os
+
+    from helpers import messages, record
+
+    def arrive(i, age):
+        messages(spark, record(i, {"a": 1})).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        for name in os.listdir(f"{folder}/in"):
+            if name.endswith(".parquet") and name not in seen:
+                seen.add(name)
+                then = time.time() - age
+                os.utime(f"{folder}/in/{name}", (then, then))
+        files.read_envelope_files(spark, f"{folder}/in", stream=True).writeStream.format("parquet").option(
+            "path", f"{folder}/out").option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
+
+    seen = set()
+    arrive(1, 0)
+    arrive(2, 400 * 86400)
+    assert rows(spark.read.parquet(f"{folder}/out"), "offset") == [(1,), (2,)]

@@ -378,7 +378,7 @@ def bench_devices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fill_inbox(df: DataFrame, path: str, order: Column, file_format: str = "parquet") -> None:
-    """The rows in two files, the second written after the first and holding what comes later."""
+    """The rows in two groups of files, the second written after the first and holding what comes later."""
     middle = df.agg((F.min(order) + F.max(order)) / 2).first()[0]
     for part in (df.where(order <= middle), df.where(order > middle)):
-        part.coalesce(1).write.mode("append").format(file_format).save(path)
+        part.repartitionByRange(order).write.mode("append").format(file_format).save(path)

@@ -366,6 +366,44 @@ def validate_commands(spark, sf):
     return M.judge_commands(feeds.commands(spark, sf)).select("event_id", "reason")
 
 
+@query("PRJ37", """
+SELECT event_id, CASE event_id % 8 WHEN 0 THEN NULL WHEN 5 THEN 'domain is required' WHEN 6 THEN NULL
+  ELSE 'failed to parse command' END AS reason FROM m""", "m")
+def commands_of_wrong_kinds(spark, sf):
+    bodies = F.array(*[F.lit(b) for b in (
+        '{"domain":"light","service":"turn_on","entity_id":"light.a","data":{"k":1}}',
+        '{"domain":5,"service":"turn_on","entity_id":"light.a"}',
+        '{"domain":"light","service":["turn_on"],"entity_id":"light.a"}',
+        '{"domain":"light","service":"turn_on","entity_id":true}',
+        '{"domain":"light","service":"turn_on","entity_id":"light.a","data":[1]}',
+        '{"domain":null,"service":"turn_on","entity_id":"light.a"}',
+        '{"domain":"light","service":"turn_on","entity_id":"light.a","data":null}',
+        '{"domain":"light","service":"turn_on","entity_id":"light.a"} tail',
+    )])
+    events = feeds.events(spark, sf).select(
+        "event_id", F.get(bodies, (F.col("event_id") % 8).cast("int")).alias("value")
+    )
+    return M.judge_commands(events).select("event_id", "reason")
+
+
+@query("PRJ21, PRJ28", """
+SELECT event_id, hts * 1000 AS start_ms FROM m WHERE event_id % 8 IN (0, 7)""", "m")
+def events_of_wrong_kinds(spark, sf):
+    event = feeds.events(spark, sf).select("event_id", (F.col("hts") * 1000).cast("string").alias("ms"))
+    wrong = F.array(*[F.lit(b) for b in (
+        '', ',"end":"bad"', ',"type":5', ',"smartDetectTypes":[1]', ',"smartDetectTypes":"person"',
+        ',"end":1e400', ',"end":1.5', ',"end":null,"type":null,"smartDetectTypes":[null]',
+    )])
+    raw = event.select(
+        "event_id",
+        F.concat(
+            F.lit('{"id":"x","modelKey":"event","start":'), "ms",
+            F.get(wrong, (F.col("event_id") % 8).cast("int")), F.lit("}"),
+        ).alias("raw"),
+    )
+    return C.only_events(C.parse_events(raw)).select("event_id", F.col("event.start").alias("start_ms"))
+
+
 @query("PRJ38", """
 SELECT event_id, '{"type":"call_service","domain":"climate","service":"set_temperature","target":{"entity_id":"'
   || entity_id || '"}' || CASE WHEN event_id % 2 = 0 THEN ',"service_data":{"temperature":' || CAST(k AS VARCHAR) || '}'

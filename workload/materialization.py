@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +14,15 @@ from hearthstream.operators import keyed as K
 from hearthstream.operators import orphans as O
 from hearthstream.operators import records as R
 from hearthstream.plans.materialize import judge, materialize, points_of
+from hearthstream.plans.materialize import replay_orphans as plans_replay_orphans
+from hearthstream.plans.metadata import apply_catalog, learn_structure_types
 from hearthstream.plans.replay import replay, replay_summary
 from hearthstream.session import scratch_dir
 from hearthstream.sources import files
 from hearthstream.sources.tables import Tables
 from hearthstream.streaming.tables import BatchMetrics, materialize_stream
 from workload import feeds
+from workload.dimensions import catalog_payloads
 from workload.registry import query
 from workload.twins import NUMERIC_TEXT
 
@@ -415,6 +420,75 @@ def replay_range(spark, sf):
     return replay_summary(done, tables)
 
 
+@query("STR4, AGG11, SNK6", """
+SELECT 'processed' AS metric, count(*) AS value FROM known
+UNION ALL SELECT 'errors', count(*) FROM m WHERE lsid NOT IN (SELECT lsid FROM dev)
+UNION ALL SELECT rkind, count(*) FROM rec GROUP BY rkind
+UNION ALL SELECT 'orphaned', count(*) FROM orph""", "known", "rec", "orph")
+def replay_all_partitions(spark, sf):
+    tables = _tables(spark, sf, "replay-all")
+    # The five record topics, in the order of the event topics.
+    topics = dict(zip(
+        ("click", "error", "purchase", "signup", "view"),
+        ("barometer", "health", "indoor", "iss", "other"), strict=True,
+    ))
+    names = F.create_map(*[F.lit(x) for k, v in topics.items() for x in (f"events.{k}", f"weather.{v}")])
+    messages = feeds.messages(spark, sf).withColumn("topic", names[F.col("topic")])
+    return replay_summary(replay(messages, tables, now=feeds.now()), tables)
+
+
+@query("STR7, SRC4", "SELECT topic, count(*) AS messages FROM m GROUP BY topic", "m")
+def late_files_streamed(spark, sf):
+    inbox, seen, offsets = (scratch_dir(spark, x) for x in ("inbox", "seen", "offsets"))
+    messages = feeds.messages(spark, sf)
+
+    def arrive(part: DataFrame, days_ago: int) -> None:
+        part.write.mode("append").parquet(inbox)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(inbox)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for f in fs.listStatus(folder):
+            if f.getPath().getName() not in known:
+                known[f.getPath().getName()] = True
+                fs.setTimes(f.getPath(), f.getModificationTime() - days_ago * 86_400_000, -1)
+        stream = files.read_envelope_files(spark, inbox, stream=True)
+        run = stream.writeStream.format("parquet").option("path", seen)
+        run.option("checkpointLocation", offsets).trigger(availableNow=True).start().awaitTermination()
+
+    known: dict[str, bool] = {}
+    arrive(messages.where("offset % 2 = 0"), 0)
+    arrive(messages.where("offset % 2 = 1"), 30)
+    return spark.read.parquet(seen).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query("SNK3, SNK4, SNK5, STR1, STR2, STR3", """
+SELECT lsid AS device_id, field AS tag_name, data_type, CAST(1 AS BIGINT) AS tags_of_id FROM seen""", "seen")
+def concurrent_dimensions(spark, sf):
+    """Records, device types and catalog written at once: no tag is lost and no id given twice."""
+    tables = _tables(spark, sf, "concurrent")
+    messages = feeds.messages(spark, sf)
+    middle = messages.agg(F.expr("percentile_approx(unix_micros(timestamp), 0.5)")).first()[0]
+    micros = F.unix_micros("timestamp")
+
+    def records() -> None:
+        for part in (messages.where(micros <= middle), messages.where(micros > middle)):
+            materialize(part, tables, now=feeds.now())
+
+    def fields() -> None:
+        for _ in range(2):
+            apply_catalog(catalog_payloads(spark, sf), tables, now=feeds.now())
+
+    def things() -> None:
+        for _ in range(2):
+            learn_structure_types(E.with_header_columns(messages), tables)
+
+    with ThreadPoolExecutor(3) as pool:
+        for done in [pool.submit(f) for f in (records, fields, things)]:
+            done.result()
+    tags = tables.dimension("tags")
+    shared = tags.groupBy("id").agg(F.count(F.lit(1)).alias("tags_of_id"))
+    return tags.join(shared, "id").select("device_id", "tag_name", "data_type", "tags_of_id")
+
+
 @query("AGG9, WIN2", """
 SELECT metric, CAST(sum(n) AS BIGINT) AS total FROM (
   SELECT 'processed' AS metric, count(*) AS n FROM m WHERE lsid <> 0
@@ -502,13 +576,25 @@ def pending_orphans(spark, sf):
 
 
 @query("JN19, T19", """
-SELECT topic, off, lsid, lsid % 2 = 0 AS reprocessed FROM orph""", "orph")
+SELECT topic, off, lsid, lsid % 2 = 0 AND off % 10 <> 0 AS reprocessed FROM orph""", "orph")
 def replay_orphans(spark, sf):
     orphans = feeds.built(spark, sf)["orphans"]
-    # By now the unknown devices with even numbers have appeared.
+    # By now the unknown devices with even numbers have appeared; every tenth of
+    # their bodies cannot be read.
+    broken = (F.col("lsid") % 2 == 0) & (F.col("offset") % 10 == 0)
+    tables = Tables(spark, scratch_dir(spark, "orphans"))
     appeared = orphans.where("lsid % 2 = 0").select("lsid").distinct()
-    ready = O.replayable(orphans, appeared)
-    return O.mark_reprocessed(orphans, ready).select(
+    tables.replace_dimension(
+        "devices",
+        schemas.empty(spark, schemas.DEVICES_DDL).unionByName(
+            appeared.select(F.col("lsid").alias("id"), "lsid"), allowMissingColumns=True
+        ),
+    )
+    tables.append_orphans(
+        orphans.withColumn("message_body", F.when(broken, "{broken").otherwise(F.col("message_body")))
+    )
+    plans_replay_orphans(tables, feeds.now())
+    return tables.orphans(["lsid"]).select(
         "topic", F.col("offset").alias("off"), "lsid", "reprocessed"
     )
 
