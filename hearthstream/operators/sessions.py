@@ -110,7 +110,7 @@ def coalesce_sessions(
 
 # Bucket widths in seconds for the interval join, and the longest session put on
 # each.  A session then covers at most 13 buckets of its width (only one of more
-# than two years covers more), and a frame is looked up once per width.
+# than two years covers more), and a frame is looked up once per width in use.
 BUCKETS = [(300, 3600), (21600, 259200), (1555200, None)]
 
 
@@ -137,6 +137,9 @@ def frames_in_sessions(
             else width.when(length <= longest, seconds)
         )
     spans = spans.withColumn("_width", width.otherwise(BUCKETS[-1][0]).cast("bigint"))
+    # At most three rows per camera: a frame is looked up once for each width its
+    # camera has sessions of, and not at all where there are none.
+    widths = spans.select("camera", "_width").distinct()
     spans = spans.withColumn(
         "_bucket",
         F.explode(
@@ -145,8 +148,7 @@ def frames_in_sessions(
             )
         ),
     )
-    widths = F.array(*[F.lit(s).cast("bigint") for s, _ in BUCKETS])
-    probes = frames.withColumn("_width", F.explode(widths)).withColumn(
+    probes = frames.join(widths, "camera").withColumn(
         "_bucket", F.floor(F.col("ts") / F.col("_width"))
     )
     return (

@@ -92,10 +92,13 @@ def joined_records(records: DataFrame, tags: DataFrame, devices: DataFrame) -> D
 
     Tags and devices are joined first: one lookup of the facts instead of two.
     """
-    labels = tags.join(
+    return records_view(records).join(_labels(tags, devices), "tag_id")
+
+
+def _labels(tags: DataFrame, devices: DataFrame) -> DataFrame:
+    return tags.join(
         devices.select(F.col("id").alias("device_id"), "lsid", "category"), "device_id"
     ).select(F.col("id").alias("tag_id"), "lsid", "category", "tag_name")
-    return records_view(records).join(labels, "tag_id")
 
 
 def recent_records(
@@ -111,10 +114,16 @@ def recent_records(
     """
     if lsid is not None:
         devices = devices.where(F.col("lsid") == lsid)
+    labels = _labels(tags, devices)
+    # Values are put into text for the n chosen records only.
+    chosen = (
+        records.join(labels, "tag_id")
+        .orderBy(F.desc("ts"), "lsid", "tag_name", "kind")
+        .limit(n)
+    )
     ranked = (
-        joined_records(records, tags, devices)
+        records_view(chosen).join(labels, "tag_id")
         .orderBy(F.desc("ts"), "lsid", "tag_name", "value_type")
-        .limit(n)
     )
     shown = ["time", "tag_name", "value", "value_type"]
     if lsid is None:

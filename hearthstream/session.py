@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import threading
@@ -122,9 +123,10 @@ def ship(spark: SparkSession) -> None:
     reference to their module.
     """
     context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
     root = Path(__file__).resolve().parent
+    on_path = str(root.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if context.applicationId in _shipped or on_path:
+        return
     archive = Path(tempfile.mkdtemp(prefix="spark-")) / "hearthstream.zip"
     with zipfile.ZipFile(archive, "w") as out:
         for file in sorted(root.rglob("*.py")):
