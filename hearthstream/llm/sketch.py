@@ -13,12 +13,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthstream.llm.common import batch_of, map_batches, mix64
+from hearthstream.llm.common import batch_of, map_batches, mix64, stage
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 DEPTH = 2
-SEGMENT_BITS = 20
+# The sketch is added up in so many parts, whatever its size, so that the rows of a
+# partial sketch grow with the input and not with its square.
+PARTS_BITS = 6
+LEAST_BITS = 20
 # The sketch sent to every task has at most this many cells a row, one bit each:
 # 2 rows of 2**30 bits are 256 MB.  Beyond it the estimates get looser and more
 # windows go through the exact pass; none is lost.
@@ -80,18 +83,23 @@ def cells(anchors: np.ndarray, bits: int) -> np.ndarray:
 
 def sketch_bits(size: int) -> int:
     """Cells (as a power of two) for about ``size`` distinct anchors."""
-    return min(MOST_BITS, max(SEGMENT_BITS, int(8 * size).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, int(8 * size).bit_length()))
+
+
+def _part_bits(bits: int) -> int:
+    return bits + (DEPTH - 1).bit_length() - PARTS_BITS
 
 
 def merge_sketches(partial: DataFrame, bits: int) -> np.ndarray:
     """Add partial sketches and return the packed bits "counted twice or more".
 
-    ``partial`` has rows (segment, cells): cells of one segment that a part of
-    the input has counted, a cell twice if that part counted it more than once.
-    A segment is added up as its rows stream by.  The result has DEPTH * 2**bits
-    bits at most, whatever the size of the input.
+    ``partial`` has rows (part, cells): the cells of one part of the sketch that a
+    piece of the input has counted, a cell twice if it was counted more than once
+    there.  A part is added up as its rows stream by.  The result has
+    DEPTH * 2**bits bits at most, whatever the size of the input.
     """
-    schema = pa.schema([("segment", pa.int32()), ("twice", pa.binary())])
+    schema = pa.schema([("part", pa.int32()), ("twice", pa.binary())])
+    width = 1 << _part_bits(bits)
 
     def work(batches):
         now, counts = None, None
@@ -100,41 +108,46 @@ def merge_sketches(partial: DataFrame, bits: int) -> np.ndarray:
             return batch_of(schema, [[now], [np.packbits(counts >= 2).tobytes()]])
 
         for batch in batches:
-            for segment, found in zip(
+            for part, found in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
             ):
-                if segment != now:
+                if part != now:
                     if now is not None:
                         yield done()
-                    now, counts = segment, np.zeros(1 << SEGMENT_BITS, np.uint8)
-                more = np.bincount(np.frombuffer(found, "<u4"), minlength=1 << SEGMENT_BITS)
-                counts = np.minimum(counts + np.minimum(more, 2).astype(np.uint8), 2)
+                    now, counts = part, np.zeros(width, np.uint8)
+                # Cells come sorted, an equal one right behind.
+                flat = np.frombuffer(found, "<u4")
+                again = flat[1:][flat[1:] == flat[:-1]]
+                counts[flat] = np.minimum(counts[flat] + 1, 2)
+                counts[again] = 2
         if now is not None:
             yield done()
 
-    merged = map_batches(
-        partial.repartition(F.col("segment")).sortWithinPartitions("segment"), work,
-        "segment int, twice binary",
+    merged = stage(
+        map_batches(
+            partial.repartition(F.col("part")).sortWithinPartitions("part"), work,
+            "part int, twice binary",
+        ),
+        "sketch",
     )
     total = np.zeros((DEPTH << bits) >> 3, np.uint8)
-    width = 1 << (SEGMENT_BITS - 3)
     for row in merged.toLocalIterator():
-        total[row.segment * width : (row.segment + 1) * width] = np.frombuffer(row.twice, np.uint8)
+        total[row.part * (width >> 3) : (row.part + 1) * (width >> 3)] = np.frombuffer(row.twice, np.uint8)
     return total
 
 
 def partial_sketch(anchors: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Rows (segment, cells) of one part; ``anchors`` once per document that has them."""
-    schema = pa.schema([("segment", pa.int32()), ("cells", pa.binary())])
+    """Rows (part, cells) of one piece; ``anchors`` once per document that has them."""
+    schema = pa.schema([("part", pa.int32()), ("cells", pa.binary())])
     found, times = np.unique(cells(anchors, bits).ravel(), return_counts=True)
     flat = np.repeat(found, np.minimum(times, 2))
-    segment = (flat >> np.uint64(SEGMENT_BITS)).astype(np.int64)
-    inner = (flat & np.uint64((1 << SEGMENT_BITS) - 1)).astype("<u4")
-    starts = np.flatnonzero(np.diff(segment, prepend=-1))
+    part = (flat >> np.uint64(_part_bits(bits))).astype(np.int64)
+    inner = (flat & np.uint64((1 << _part_bits(bits)) - 1)).astype("<u4")
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
     ends = np.append(starts[1:], len(flat))
     return batch_of(
         schema,
-        [segment[starts].tolist(), [inner[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]],
+        [part[starts].tolist(), [inner[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]],
     )
 
 

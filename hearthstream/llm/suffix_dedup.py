@@ -180,7 +180,7 @@ def repeated_spans(
                 yield sketch.partial_sketch(chunk.key, bits)
 
     twice = spark.sparkContext.broadcast(
-        sketch.merge_sketches(map_batches(rows, count, "segment int, cells binary"), bits)
+        sketch.merge_sketches(map_batches(rows, count, "part int, cells binary"), bits)
     )
 
     def select(batches):

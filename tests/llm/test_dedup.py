@@ -92,8 +92,8 @@ def test_sketch_never_underestimates(spark):
     parts = [np.concatenate([twice, once[:2500]]), np.concatenate([twice[:250], once[2500:]]), twice[250:]]
     batches = [sketch.partial_sketch(p, 20).to_pandas() for p in parts]
     frame = spark.createDataFrame(
-        [(int(s), bytes(c)) for b in batches for s, c in zip(b.segment, b.cells, strict=True)],
-        "segment int, cells binary",
+        [(int(s), bytes(c)) for b in batches for s, c in zip(b.part, b.cells, strict=True)],
+        "part int, cells binary",
     )
     bits = sketch.merge_sketches(frame, 20)
     assert sketch.repeated(bits, twice, 20).all()
