@@ -9,14 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthstream.session import cut_lineage
+from hearthstream.session import cut_lineage, ship
 
 # Rows per Arrow batch.  Texts can be long, so batches are short.
 BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Keep Arrow batches of long texts small; everything else is the cluster's."""
+    """Ship the package and keep Arrow batches of long texts small."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 

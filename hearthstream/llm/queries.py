@@ -113,6 +113,26 @@ def op8_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op8_window_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), p AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i, words FROM w
+), keyed AS (
+  SELECT doc_id, word, i, CASE WHEN i + 49 <= len(words) THEN md5(array_to_string(words[i:i + 49], ' ')) END AS k FROM p
+), firsts AS (
+  SELECT k, min(doc_id) AS f FROM keyed WHERE k IS NOT NULL GROUP BY k
+), hits AS (
+  SELECT a.doc_id, a.word, a.i, CASE WHEN f < a.doc_id THEN a.i END AS hit FROM keyed a LEFT JOIN firsts USING (k)
+), cut AS (
+  SELECT doc_id, word, i, coalesce(max(hit) OVER (PARTITION BY doc_id ORDER BY i) > i - 50, false) AS gone FROM hits
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(count(i) FILTER (gone) AS BIGINT) AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM w LEFT JOIN cut USING (doc_id) GROUP BY w.doc_id, len(words)"""
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated_spans(table(spark, sf_dir, "documents"))
