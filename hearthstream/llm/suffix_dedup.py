@@ -32,8 +32,8 @@ from hearthstream.llm.suffix_sort import deep_shallow_sort
 
 LENGTH = 200
 GRAM = 40
-CHUNK_BYTES = 1 << 21
-BUCKET_BYTES = 1 << 24
+CHUNK_BYTES = 1 << 20
+BUCKET_BYTES = 1 << 23
 
 _CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
