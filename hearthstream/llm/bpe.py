@@ -5,9 +5,9 @@ queue holds the rank of every adjacent pair; the lowest rank is merged first,
 and entries whose symbols have changed meanwhile are stale and skipped.  Decoding
 concatenates vocabulary strings.
 
-Text is first cut where the tokenizer itself always starts a new piece, at a
-space between two visible characters, so that equal words are encoded once per
-worker.  The word cache has two generations and so a bounded size.
+Text is first cut where the tokenizer itself always starts a new piece, at single
+spaces and line breaks between visible characters, so that equal words are encoded
+once per worker.  The word caches have two generations and so a bounded size.
 
 Defined results: null counts as empty; the empty text has no ids.
 """
@@ -30,7 +30,8 @@ from hearthstream.llm.common import batch_of, map_batches, texts_of
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-CACHE_WORDS = 600_000
+# Words a worker remembers in each of two generations, about 200 bytes each.
+CACHE_WORDS = 300_000
 
 
 def byte_alphabet() -> list[str]:
@@ -127,11 +128,35 @@ class _Words(dict):
         value = self.older.get(word)
         if value is None:
             value = self.encode(self.prefix + word)
+        self.learn(word, value)
+        return value
+
+    def learn(self, word: str, value) -> None:
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         self[word] = value
-        return value
+
+    def unseen(self, words: set[str]) -> list[str]:
+        """Those that neither generation knows."""
+        older = self.older
+        return [w for w in words if w not in self and w not in older]
+
+
+_RUNS = re.compile(r"[^\S\n]\s|\s[^\S\n]")
+_ODD = re.compile(r"[^\S \n]")
+
+
+def irregular(text: str) -> bool:
+    """Whether white space meets white space: the pieces there depend on the whole run.
+
+    Only two line breaks before a visible character are two pieces of their own.
+    """
+    return (
+        "  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
+        or text.endswith("\n\n")
+        or (_ODD.search(text) is not None and _RUNS.search(text) is not None)
+    )
 
 
 class WordwiseEncoder:
@@ -147,19 +172,26 @@ class WordwiseEncoder:
         self.special = special
         names = sorted(special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
-        self.first = _Words(encode, "", size)
+        self.first = _Words(encode, "", max(1, size // 4))
         self.rest = _Words(encode, " ", size)
-        # A space after white space: the pieces there depend on the whole run.
-        self.runs = re.compile(r"\s ")
+        self.newline = encode("\n")
 
     def _part(self, part: str) -> list:
-        if self.runs.search(part):
+        if irregular(part):
             return [self.encode(part)]
-        words = part.split(" ")
-        head = [self.first[words[0]]] if words[0] else []
-        if len(words) > 1:
-            head += map(self.rest.__getitem__, words[1:])
-        return head
+        return self._lines([line.split(" ") for line in part.split("\n")])
+
+    def _lines(self, lines: list[list[str]]) -> list:
+        """Encoded values of a text cut into lines of words."""
+        out: list = []
+        for k, words in enumerate(lines):
+            if k:
+                out.append(self.newline)
+            if words[0]:
+                out.append(self.first[words[0]])
+            if len(words) > 1:
+                out += map(self.rest.__getitem__, words[1:])
+        return out
 
     def __call__(self, text: str) -> list:
         if not text:

@@ -256,10 +256,9 @@ def document_pieces(
     def work(batches):
         for batch in batches:
             out: list[list] = [[] for _ in schema]
-            for i, t in zip(
-                batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True
-            ):
-                ids = token_bytes(vocabulary, t) + end
+            encoded = token_bytes(vocabulary, texts_of(batch.column(1)))
+            for i, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                ids += end
                 for piece, (start, n) in enumerate(cut_points(len(ids) // 4, capacity)):
                     crc = zlib.crc32(ids[4 * start : 4 * (start + n)])
                     for column, value in zip(out, (i, piece, start, n, crc), strict=True):

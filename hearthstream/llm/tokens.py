@@ -1,33 +1,84 @@
-"""Token ids by the tokenizers library, one call per distinct word."""
+"""Token ids by the tokenizers library, each distinct word once per worker.
+
+Words that a worker has not seen are encoded together, line by line, in one call
+for many of them: a line break never joins a neighbour's piece.
+"""
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
-from hearthstream.llm.bpe import WordwiseEncoder
+from hearthstream.llm.bpe import CACHE_WORDS, WordwiseEncoder, _Words, irregular
 
-_encoders: dict[str, WordwiseEncoder] = {}
+LINES = 2000
 
+_encoders: dict[str, BatchEncoder] = {}
 
-def _library(path: str) -> WordwiseEncoder:
-    if path not in _encoders:
+
+class BatchEncoder(WordwiseEncoder):
+    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, path: str, size: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-
-        def encode(part: str) -> bytes:
-            return np.array(tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-
         special = {
             t.content: np.array([i], "<u4").tobytes()
             for i, t in tokenizer.get_added_tokens_decoder().items()
         }
-        _encoders[path] = WordwiseEncoder(encode, special)
-    return _encoders[path]
+        self.line = self._ids("\n")
+        super().__init__(self._one, special, size)
+        self.space = re.compile(r"\s")
+
+    def _ids(self, text: str) -> np.ndarray:
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4")
+
+    def _one(self, part: str) -> bytes:
+        return self._ids(part).tobytes()
 
+    def _learn(self, cache: _Words, words: set[str]) -> None:
+        """Encode unseen words that hold no white space, many at a time."""
+        new = [w for w in cache.unseen(words) if w and not self.space.search(w)]
+        for k in range(0, len(new), LINES):
+            lines = new[k : k + LINES]
+            ids = self._ids(cache.prefix + f"\n{cache.prefix}".join(lines))
+            breaks = np.flatnonzero(ids == self.line[0])
+            if len(self.line) != 1 or len(breaks) != len(lines) - 1:
+                continue  # left to be encoded one by one
+            raw = ids.tobytes()
+            starts = [0, *(4 * (breaks + 1)).tolist()]
+            ends = [*(4 * breaks).tolist(), len(raw)]
+            for word, a, b in zip(lines, starts, ends, strict=True):
+                cache.learn(word, raw[a:b])
 
-def token_bytes(path: str, text: str) -> bytes:
-    """The ids of a text as little-endian unsigned 32-bit integers."""
-    return b"".join(_library(path)(text))
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text."""
+        split = [
+            None if not t or irregular(t) or (self.cut and self.cut.search(t))
+            else [line.split(" ") for line in t.split("\n")]
+            for t in texts
+        ]
+        first: set[str] = set()
+        rest: set[str] = set()
+        for lines in split:
+            for words in lines or ():
+                first.add(words[0])
+                rest.update(words[1:])
+        self._learn(self.first, first)
+        self._learn(self.rest, rest)
+        return [
+            b"".join(self(text) if lines is None else self._lines(lines))
+            for text, lines in zip(texts, split, strict=True)
+        ]
+
+
+def token_bytes(path: str, texts: list[str]) -> list[bytes]:
+    """The ids of texts as little-endian unsigned 32-bit integers."""
+    if path not in _encoders:
+        _encoders[path] = BatchEncoder(path)
+    return _encoders[path].batch(texts)

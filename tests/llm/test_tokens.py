@@ -30,7 +30,7 @@ def test_ids_equal_the_library(library):
     ]:
         want = library.encode(text, add_special_tokens=False).ids
         assert bpe.encode_text(PATH, text) == want, text
-        assert np.frombuffer(token_bytes(PATH, text), "<u4").tolist() == want
+        assert np.frombuffer(token_bytes(PATH, [text])[0], "<u4").tolist() == want
         assert bpe.decode_ids(PATH, want) == library.decode(want, skip_special_tokens=False)
 
 
