@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hearthstream.llm.common import batch_of, map_batches, range_bucket
+from hearthstream.llm.common import batch_of, map_batches, range_bucket, texts_of
 from hearthstream.llm.tokens import token_bytes
 from hearthstream.session import scratch_dir
 
@@ -34,7 +34,7 @@ BLOCK_IDS = 1 << 20
 ROUNDS = 6
 PAIRS_PER_ROUND = 1500
 LEAST_COUNT = 16  # a rule costs three numbers and must save more
-HASH_BITS = 20
+HASH_BITS = 18
 
 
 def _hash(codes: np.ndarray) -> np.ndarray:
@@ -120,7 +120,18 @@ def compress(
 
 
 def expand(symbols: np.ndarray, grammar: dict[str, np.ndarray], base: int) -> np.ndarray:
-    """Ids of some symbols: the layers are undone from the last to the first."""
+    """Ids of some symbols: every rule is written out once, then copied where it stands."""
+    rules = len(grammar["left"])
+    written = np.concatenate([np.arange(base), _undo(np.arange(base, base + rules), grammar, base)])
+    widths = np.concatenate([np.ones(base, np.int64), grammar["spans"]])
+    starts = np.cumsum(widths) - widths
+    n = widths[symbols]
+    ends = np.cumsum(n)
+    return written[np.repeat(starts[symbols] - ends + n, n) + np.arange(int(n.sum()))]
+
+
+def _undo(symbols: np.ndarray, grammar: dict[str, np.ndarray], base: int) -> np.ndarray:
+    """Ids of symbols by undoing the layers from the last to the first."""
     layers = [0, *grammar["layers"].tolist()]
     for begin, end in reversed(list(zip(layers[:-1], layers[1:], strict=True))):
         hit = symbols >= base + begin
@@ -206,14 +217,17 @@ def write_token_files(
     def work(batches):
         now, number, docs_, ids, held = None, 0, [], [], 0
         for batch in batches:
-            for shard, i, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            encoded = token_bytes(vocabulary, texts_of(batch.column(2)))
+            for shard, i, found in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoded, strict=True
+            ):
                 if docs_ and (shard != now or held >= 4 * block_ids):
                     yield _block(now, number, base, docs_, ids)
                     docs_, ids, held, number = [], [], 0, number + 1
                 if shard != now:
                     now, number = shard, 0
                 docs_.append(i)
-                ids.append(token_bytes(vocabulary, t) + end)
+                ids.append(found + end)
                 held += len(ids[-1])
         if docs_:
             yield _block(now, number, base, docs_, ids)
