@@ -5,8 +5,10 @@ that have a window's anchor; the partial sketches are added up.  Counts are neve
 too small, so a window that repeats is always estimated repeated.  Second pass:
 only windows estimated repeated are grouped exactly, by their 64-bit hash and
 their anchor's.  A part of the input first settles its own repeats and sends on
-only the windows of the smallest document it knows, so a passage that many
-documents share travels once for each part.
+only the windows of the smallest document it knows, so the inside of a passage that
+many documents share travels once for each part.  Windows over the edge of such a
+passage differ in every document but share its anchors; the exact groups are
+therefore dealt out by the window hash, which spreads them over all buckets.
 
 Defined results: null and empty texts have no words; documents of fewer words
 than a window lose nothing; rows without an id are left out; repeated rows of an
@@ -109,11 +111,13 @@ def _of_smallest(hashes: np.ndarray, anchors: np.ndarray, docs: np.ndarray) -> n
     return smallest
 
 
-def repeated_windows(
-    documents: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = WINDOW,
-    gram: int = GRAM,
-) -> DataFrame:
-    """Runs of windows that also start in a smaller document: ``doc``, ``first``, ``last``."""
+def packed_windows(
+    documents: DataFrame, id_column: str, text: str, window: int, gram: int
+) -> tuple[DataFrame, int]:
+    """Windows estimated repeated, packed by bucket, and the number of buckets.
+
+    Settled runs come in as many buckets again behind them.
+    """
     spark = documents.sparkSession
     rows = with_id(documents, id_column, text)
     size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
@@ -147,7 +151,7 @@ def repeated_windows(
                 ), strict=True):
                     column.append(value)
             h, a, d, at = h[smallest], a[smallest], d[smallest], at[smallest]
-            bucket = (a % np.uint64(buckets)).astype(np.int64)
+            bucket = (h % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(cuts[:-1] < cuts[1:]).tolist():
@@ -159,6 +163,17 @@ def repeated_windows(
                     column.append(value)
             yield batch_of(_PACKED, rows)
 
+    packed = map_batches(rows, select, "bucket int, a binary, b binary, c binary, d binary")
+    return packed, buckets
+
+
+def repeated_windows(
+    documents: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = WINDOW,
+    gram: int = GRAM,
+) -> DataFrame:
+    """Runs of windows that also start in a smaller document: ``doc``, ``first``, ``last``."""
+    packed, buckets = packed_windows(documents, id_column, text, window, gram)
+
     def group(key, table):
         packed = table.select(list("abcd")).to_pydict()
         if key[0].as_py() >= buckets:
@@ -177,7 +192,6 @@ def repeated_windows(
             d, first, last = runs_of(d[later], at[later])
         return pa.table([pa.array(d), pa.array(first), pa.array(last)], schema=_RUNS)
 
-    packed = map_batches(rows, select, "bucket int, a binary, b binary, c binary, d binary")
     return packed.groupBy("bucket").applyInArrow(group, "doc bigint, first int, last int")
 
 

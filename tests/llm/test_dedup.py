@@ -49,6 +49,25 @@ def test_words(spark):
     assert window_dedup.remove_repeats(cases.documents(spark, [])).count() == 0
 
 
+def test_windows_over_the_edge_of_a_common_passage_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(window_dedup, "BUCKET_WORDS", 1 << 10)
+    rng = random.Random(4)
+    passage = cases.words(rng, 60, 10**6)
+    texts = [
+        (i, " ".join(cases.words(rng, 60, 10**6) + passage + cases.words(rng, 60, 10**6)))
+        for i in range(300)
+    ]
+    packed, buckets = window_dedup.packed_windows(
+        cases.documents(spark, texts), "doc_id", "text", window_dedup.WINDOW, window_dedup.GRAM
+    )
+    sizes = Counter()
+    for r in packed.collect():
+        if r.bucket < buckets:
+            sizes[r.bucket] += len(r.a) // 8
+    assert buckets > 30 and sum(sizes.values()) > 300 * 20
+    assert max(sizes.values()) < 3 * sum(sizes.values()) / buckets
+
+
 def test_bytes(spark):
     for texts, df, again in (
         (cases.texts(), cases.documents(spark), [(8, "one")]), (many_texts(), None, []),
