@@ -91,12 +91,20 @@ def _part_bits(bits: int) -> int:
 
 
 def merge_sketches(partial: DataFrame, bits: int) -> np.ndarray:
+    """The sketch of ``merge_with_frequent`` alone."""
+    return merge_with_frequent(partial, bits, 1)[0]
+
+
+def merge_with_frequent(partial: DataFrame, bits: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Add partial sketches and return the packed bits "counted twice or more".
 
     ``partial`` has rows (part, cells): the cells of one part of the sketch that a
     piece of the input has counted, a cell twice if it was counted more than once
     there.  A part is added up as its rows stream by.  The result has
     DEPTH * 2**bits bits at most, whatever the size of the input.
+
+    Also returns the sorted anchors found ``least`` times or more in the rows of
+    ``sample_rows``, which ``partial`` may have besides.
     """
     schema = pa.schema([("part", pa.int32()), ("twice", pa.binary())])
     width = 1 << _part_bits(bits)
@@ -105,6 +113,9 @@ def merge_sketches(partial: DataFrame, bits: int) -> np.ndarray:
         now, counts = None, None
 
         def done():
+            if now >= 1 << PARTS_BITS:
+                found, times = np.unique(np.concatenate(counts), return_counts=True)
+                return batch_of(schema, [[now], [found[times >= least].tobytes()]])
             return batch_of(schema, [[now], [np.packbits(counts >= 2).tobytes()]])
 
         for batch in batches:
@@ -114,7 +125,11 @@ def merge_sketches(partial: DataFrame, bits: int) -> np.ndarray:
                 if part != now:
                     if now is not None:
                         yield done()
-                    now, counts = part, np.zeros(width, np.uint8)
+                    now = part
+                    counts = [] if part >= 1 << PARTS_BITS else np.zeros(width, np.uint8)
+                if part >= 1 << PARTS_BITS:
+                    counts.append(np.frombuffer(found, "<u8"))
+                    continue
                 # Cells come sorted, an equal one right behind.
                 flat = np.frombuffer(found, "<u4")
                 again = flat[1:][flat[1:] == flat[:-1]]
@@ -131,9 +146,27 @@ def merge_sketches(partial: DataFrame, bits: int) -> np.ndarray:
         "sketch",
     )
     total = np.zeros((DEPTH << bits) >> 3, np.uint8)
+    frequent = [np.empty(0, np.uint64)]
     for row in merged.toLocalIterator():
+        if row.part >= 1 << PARTS_BITS:
+            frequent.append(np.frombuffer(row.twice, "<u8"))
+            continue
         total[row.part * (width >> 3) : (row.part + 1) * (width >> 3)] = np.frombuffer(row.twice, np.uint8)
-    return total
+    return total, np.sort(np.concatenate(frequent))
+
+
+def sample_rows(anchors: np.ndarray, rate: int) -> pa.RecordBatch:
+    """Rows (part, cells) with about one in ``rate`` of the anchors themselves."""
+    schema = pa.schema([("part", pa.int32()), ("cells", pa.binary())])
+    taken = anchors[np.random.default_rng().random(len(anchors)) * rate < 1]
+    part = (taken % np.uint64(1 << PARTS_BITS)).astype(np.int64)
+    return batch_of(
+        schema,
+        [
+            [(1 << PARTS_BITS) + k for k in np.unique(part).tolist()],
+            [taken[part == k].astype("<u8").tobytes() for k in np.unique(part)],
+        ],
+    )
 
 
 def partial_sketch(anchors: np.ndarray, bits: int) -> pa.RecordBatch:

@@ -8,6 +8,12 @@ put into suffix order by deep-shallow sorting; the common prefixes of neighbours
 then tell for every offset of the anchor in the window which windows are equal.
 No pair of occurrences is ever listed.
 
+Anchors that are very frequent are not grouped: at the edge of a passage that many
+documents share every occurrence has its own context, and all would meet in one
+task.  The windows with such an anchor are counted by a 128-bit hash instead, which
+spreads them over all buckets; a part of the input settles those that it has twice.
+Which anchors are frequent is estimated from a sample; results do not depend on it.
+
 Contexts that agree over the whole reach of an anchor are joined before they
 leave a part of the input, and travel once with their places.
 
@@ -23,17 +29,26 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthstream.llm import sketch
 from hearthstream.llm.common import batch_of, map_batches, mix64, texts_of, with_id
 from hearthstream.llm.suffix_sort import deep_shallow_sort
+from hearthstream.llm.window_dedup import runs_of
 
 LENGTH = 200
 GRAM = 40
 CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 1 << 23
+# An anchor is frequent from so many occurrences on, or from some in every chunk:
+# then most of its windows are settled where they are.  The upper bound keeps the
+# largest group small.
+FREQUENT = 1 << 10
+FREQUENT_MOST = 1 << 17
+PER_CHUNK = 4
+SAMPLE = 32
 
 _CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -49,7 +64,7 @@ class Chunk:
         self.ids = np.array(ids, np.int64)
         reach = length - gram
         grams = sketch.Rolling(_CODES[np.frombuffer(self.data, np.uint8)]).runs(gram)
-        least = sketch.sliding(grams, reach + 1)
+        self.least = least = sketch.sliding(grams, reach + 1)
         # Windows that cross documents have no anchor.
         for end in self.ends[:-1].tolist():
             least[max(0, end - length + 1) : end] = 0
@@ -120,6 +135,61 @@ def _pack(chunk: Chunk, keep: np.ndarray, length: int, gram: int, buckets: int):
     return batch_of(_PACKED, out)
 
 
+def _with_anchor(chunk: Chunk, anchors: np.ndarray) -> np.ndarray:
+    """Starts of the windows whose anchor is one of these."""
+    first = np.flatnonzero(np.diff(chunk.least, prepend=~chunk.least[:1]))
+    sizes = np.diff(np.append(first, len(chunk.least)))
+    return np.flatnonzero(np.repeat(np.isin(chunk.least[first], anchors), sizes))
+
+
+def _pack_windows(chunk: Chunk, starts: np.ndarray, length: int, buckets: int):
+    """Rows of window hashes by bucket, each once, and one of the spans settled here."""
+    data = chunk.data
+    hashes = np.frombuffer(
+        b"".join([xxhash.xxh3_128_digest(data[a : a + length]) for a in starts.tolist()]), "<u8"
+    ).reshape(-1, 2)
+    doc = np.searchsorted(chunk.ends, starts, side="right")
+    inner = starts - chunk.starts[doc]
+    order, first, times = _equal_hashes(hashes)
+    many = np.empty(len(starts), bool)
+    many[order] = np.repeat(times > 1, times)
+    out: list[list] = [[] for _ in _PACKED]
+
+    def add(bucket: int, **values: np.ndarray) -> None:
+        out[0].append(bucket)
+        out[1].append(b"")
+        for column, (f, kind) in zip(out[2:], _FIELDS.items(), strict=True):
+            column.append(values[f].astype(kind).tobytes() if f in values else b"")
+
+    d, low, high = runs_of(doc[many], inner[many])
+    if len(d):
+        add(
+            2 * buckets + int(hashes[:, 0].sum()) % buckets,
+            docs=chunk.ids[d], at=low, places=high + length,
+        )
+    rows = order[first]
+    bucket = (hashes[rows, 0] % np.uint64(buckets)).astype(np.int64)
+    by_bucket = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
+    for b in np.flatnonzero(cuts[:-1] < cuts[1:]).tolist():
+        part = by_bucket[cuts[b] : cuts[b + 1]]
+        add(
+            buckets + b, keys=hashes[rows[part]], places=np.minimum(times[part], 2),
+            docs=chunk.ids[doc[rows[part]]], at=inner[rows[part]],
+        )
+    return batch_of(_PACKED, out)
+
+
+def _equal_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the rows, where in it equal ones begin, and how many there are."""
+    order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    found = hashes[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (found[1:] != found[:-1]).any(axis=1)
+    first = np.flatnonzero(new)
+    return order, first, np.diff(np.append(first, len(order)))
+
+
 def _classes(groups: np.ndarray, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Rank of every string in suffix order, and the neighbours' common prefixes."""
     order, prefixes = deep_shallow_sort(groups, strings)
@@ -163,37 +233,73 @@ def equal_windows(
     return context, low, high - 1
 
 
-def repeated_spans(
-    documents: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH,
-    gram: int = GRAM,
-) -> DataFrame:
-    """Byte spans covered by strings of ``length`` bytes that occur elsewhere too."""
+def packed_contexts(
+    documents: DataFrame, id_column: str, text: str, length: int, gram: int
+) -> tuple[DataFrame, int]:
+    """What has to be compared, packed by bucket, and the number of buckets.
+
+    Contexts of anchors come in the first buckets, windows of frequent anchors in as
+    many behind them, and settled spans in as many again.
+    """
     spark = documents.sparkSession
     rows = with_id(documents, id_column, text)
     size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
     bits = sketch.sketch_bits(2 * size // (length - gram + 2))
     buckets = max(1, size // BUCKET_BYTES)
+    rate = SAMPLE
+    many = min(FREQUENT_MOST, max(FREQUENT, PER_CHUNK * (size // CHUNK_BYTES)))
 
     def count(batches):
         for chunk in _chunks(batches, length, gram):
             if len(chunk.key):
                 yield sketch.partial_sketch(chunk.key, bits)
+                yield sketch.sample_rows(chunk.key, rate)
 
-    twice = spark.sparkContext.broadcast(
-        sketch.merge_sketches(map_batches(rows, count, "part int, cells binary"), bits)
+    found = spark.sparkContext.broadcast(
+        sketch.merge_with_frequent(
+            map_batches(rows, count, "part int, cells binary"), bits, max(1, many // rate)
+        )
     )
 
     def select(batches):
         for chunk in _chunks(batches, length, gram):
-            keep = np.flatnonzero(sketch.repeated(twice.value, chunk.key, bits))
+            twice, frequent = found.value
+            often = np.isin(chunk.key, frequent)
+            keep = np.flatnonzero(sketch.repeated(twice, chunk.key, bits) & ~often)
             if len(keep):
                 yield _pack(chunk, keep, length, gram, buckets)
+            if often.any():
+                yield _pack_windows(chunk, _with_anchor(chunk, frequent), length, buckets)
+
+    return map_batches(rows, select, _PACKED_DDL), buckets
+
+
+def repeated_spans(
+    documents: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH,
+    gram: int = GRAM,
+) -> DataFrame:
+    """Byte spans covered by strings of ``length`` bytes that occur elsewhere too."""
+    packed_rows, buckets = packed_contexts(documents, id_column, text, length, gram)
 
     def group(key, table):
         packed = table.select(list(_FIELDS)).to_pydict()
         keys, left, right, places, docs, at = (
             np.frombuffer(b"".join(packed[f]), kind) for f, kind in _FIELDS.items()
         )
+        if key[0].as_py() >= buckets:
+            if key[0].as_py() >= 2 * buckets:
+                doc, start, end = docs, at, places
+            else:
+                order, first, times = _equal_hashes(keys.reshape(-1, 2))
+                sums = np.add.reduceat(places[order], first)
+                rows = order[np.repeat(sums > 1, times)]
+                rows = rows[np.lexsort((at[rows], docs[rows]))]
+                doc, start, last = runs_of(docs[rows], at[rows].astype(np.int64))
+                end = last + length
+            return pa.table(
+                [pa.array(doc), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))],
+                schema=_SPANS,
+            )
         flat = b"".join(table.column("contexts").to_pylist())
         sizes = left.astype(np.int64) + right
         ends = list(accumulate(sizes.tolist()))
@@ -246,8 +352,7 @@ def repeated_spans(
             schema=_SPANS,
         )
 
-    packed = map_batches(rows, select, _PACKED_DDL)
-    return packed.groupBy("bucket").applyInArrow(group, "doc bigint, start int, end int")
+    return packed_rows.groupBy("bucket").applyInArrow(group, "doc bigint, start int, end int")
 
 
 def remove_repeated_spans(

@@ -91,6 +91,40 @@ def test_bytes(spark):
     assert suffix_dedup.remove_repeated_spans(cases.documents(spark, [])).count() == 0
 
 
+def test_bytes_with_frequent_anchors(spark, monkeypatch):
+    # Every anchor found twice takes the way of the frequent ones.
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", 2)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 1 << 13)
+    test_bytes(spark)
+    # Some do.
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", 8)
+    test_bytes(spark)
+
+
+def test_contexts_at_the_edge_of_a_common_passage_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 1 << 14)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 8)
+    rng = random.Random(4)
+    passage = " ".join(cases.words(rng, 60, 10**6))
+    texts = [
+        (i, " ".join([*cases.words(rng, 30, 10**6), passage, *cases.words(rng, 30, 10**6)]))
+        for i in range(1500)
+    ]
+    packed, buckets = suffix_dedup.packed_contexts(
+        cases.documents(spark, texts), "doc_id", "text", suffix_dedup.LENGTH, suffix_dedup.GRAM
+    )
+    contexts, windows = Counter(), Counter()
+    for r in packed.collect():
+        if r.bucket < buckets:
+            contexts[r.bucket] += len(r.lefts) // 2
+        elif r.bucket < 2 * buckets:
+            windows[r.bucket] += len(r["keys"]) // 16
+    assert buckets > 40 and max(contexts.values(), default=0) < 1500
+    assert sum(windows.values()) > 1500 * 100
+    assert max(windows.values()) < 2 * sum(windows.values()) / buckets
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 2), st.binary(max_size=30).map(lambda b: bytes(x % 3 for x in b)))))
 def test_deep_shallow_sort(rows):
