@@ -5,7 +5,13 @@ text outside links; lines of menus, headers, footers, side bars, notices,
 adverts, forms, comments and scripts count nothing.  Sums over a sliding window
 of lines give the distribution: it surges where the article starts and dives to
 nothing where it ends.  Text between a surge and its dive is kept, in page
-order.
+order, lines that are one link too.  Lines that count nothing between two surges
+do not part them, and a linked heading right before a surge belongs to it.
+
+There are two regimes.  Where the page names its article (``article``, ``main``),
+any text in it surges.  Elsewhere a window needs ``SURGE`` characters; as it reaches
+ahead, short lines before the first sentence or heading it reaches are not kept.  If
+nothing surges, the densest block of the page is its text.
 
 Defined results: null, empty or text-free html gives the empty text; unclosed
 tags end with their parent; an unterminated comment or script swallows the rest
@@ -188,31 +194,42 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     sums = [0] * (total + 1)
     for k, n in enumerate(lengths):
         sums[k + 1] = sums[k] + n
+
+    def dive(k: int) -> int:
+        while k < total and sums[min(total, k + window)] - sums[k] > 0:
+            k += 1
+        return k
+
+    def of_article(k: int) -> bool:
+        return not lines[k][2] and (lines[k][3] or not contained)
+
     best: list[tuple[int, int]] = []
+    densest = (0, 0)
     k = 0
     while k < total:
         block = sums[min(total, k + window)] - sums[k]
+        if lengths[k]:
+            densest = max(densest, (block, -k))
         if lengths[k] and block >= threshold:
-            end = k
-            while end < total and sums[min(total, end + window)] - sums[end] > 0:
-                end += 1
-            first, last = k, end
-            # A window reaches over its neighbours: labels at the rim are not prose.
-            while not contained and first < last and _label(lines[first]):
+            first, last = k, dive(k)
+            # The first window reaches ahead: labels before the prose are not part of it.
+            ahead = min(last, k + window) - 1
+            while not contained and first < ahead and _label(lines[first]):
                 first += 1
-            while not contained and first < last and _label(lines[last - 1]):
-                last -= 1
+            while first and lines[first - 1][4] and not lengths[first - 1] and of_article(first - 1):
+                first -= 1
+            if best and sums[first] == sums[best[-1][1]]:
+                first = best.pop()[0]
             best.append((first, last))
-            k = end
+            k = last
         else:
             k += 1
-    kept = [
-        lines[i][0]
-        for a, b in best
-        for i in range(a, b)
-        if not lines[i][2] and (lines[i][3] or not contained)
-        and (lengths[i] or contained)
-    ]
+    if not best and densest[0]:
+        first = -densest[1]
+        while first and lengths[first - 1]:
+            first -= 1
+        best.append((first, dive(first)))
+    kept = [lines[i][0] for a, b in best for i in range(a, b) if of_article(i)]
     return " ".join(kept)
 
 

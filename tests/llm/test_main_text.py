@@ -33,6 +33,28 @@ def test_without_an_article_element_density_decides():
     assert "Imprint" not in got and "Home" not in got
 
 
+LONG = "This sentence is long enough to make the distribution surge at once."
+
+
+def test_linked_lines_of_an_article_without_an_element_are_kept():
+    page = (
+        f"<div><a href=a>Home</a></div><h1><a href=b>Title</a></h1><p>{LONG}</p>"
+        f"<h2><a href=c>Part</a></h2><p>{LONG}</p><p><a href=d>See there</a></p>"
+        + "".join(f"<li><a href=e>Item {k}</a></li>" for k in range(5))
+        + f"<div class=ad>Buy</div><p>{LONG}</p><ul><li>one<li>two</ul><div><a href=f>Imprint</a></div>"
+    )
+    linked = ["See there", *(f"Item {k}" for k in range(5))]
+    assert main_text(page) == " ".join(["Title", LONG, "Part", LONG, *linked, LONG, "one two"])
+    near = f"<p>{LONG}</p><p><a href=d>See there</a></p><p>{LONG}</p>"
+    assert main_text(near) == f"{LONG} See there {LONG}"
+
+
+def test_short_articles_without_an_element_are_kept():
+    page = "<div class=nav>Home of all the news</div><p>It rained.</p><p>Then not</p><footer>Us</footer>"
+    assert main_text(page) == "It rained. Then not"
+    assert main_text("<p>Hello world</p>") == "Hello world"
+
+
 def test_degenerate_pages():
     assert main_text(None) == main_text("") == main_text("<html><body></body></html>") == ""
     assert main_text("<script>x") == main_text("<!-- open") == ""
