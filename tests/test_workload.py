@@ -49,3 +49,14 @@ def test_stages_can_be_dropped(spark):
     from workload import feeds
 
     feeds._built.clear()
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["confidence_percent_of_all", "owned_catalog_of_all"])
+def test_query_over_all_rows_equals_its_twin(spark, name):
+    from workload import feeds
+
+    q = all_queries()[name]
+    assert compare(spark, SMALL, name, q.build, q.sql).startswith("ok")
+    if name == "confidence_percent_of_all":
+        assert q.build(spark, SMALL).count() == feeds.observations(spark, SMALL).count()

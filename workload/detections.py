@@ -126,6 +126,17 @@ def publish_detections(spark, sf):
     )
 
 
+@query("FN14", """
+SELECT image, position, CAST(round(confidence * 100) AS BIGINT) AS percent FROM obs""", "obs")
+def confidence_percent_of_all(spark, sf):
+    from hearthstream.functions import confidence_percent as percent
+
+    return feeds.observations(spark, sf).select(
+        "image", F.col("position").cast("bigint").alias("position"),
+        percent(F.col("confidence")).cast("bigint").alias("percent"),
+    )
+
+
 @query("FN14", """
 SELECT image, position, CAST(round(confidence * 100) AS BIGINT) AS percent FROM obs
 WHERE abs(confidence * 100 - floor(confidence * 100) - 0.5) > 1e-9""", "obs")

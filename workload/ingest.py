@@ -209,6 +209,15 @@ def owned_catalog(spark, sf):
     )
 
 
+@query("JN7", """
+SELECT sensor_type, structure AS data_structure_type, field AS field_name FROM cat
+WHERE sensor_type IN (SELECT sensor_type FROM dev)""", "cat", "dev")
+def owned_catalog_of_all(spark, sf):
+    return I.owned_catalog(feeds.catalog(spark, sf), feeds.devices(spark, sf)).select(
+        F.col("sensor_type").cast("bigint").alias("sensor_type"), "data_structure_type", "field_name"
+    )
+
+
 @query("PRJ13", """
 SELECT DISTINCT user_id AS sensor_type,
   CASE WHEN user_id % 5 <> 0 THEN greatest(user_id % 4, user_id % 7) END AS max_type FROM m""", "m")
