@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthstream.llm import bpe, ego_join, main_text, merkle, minhash, packing, repair, suffix_dedup, weak_label, window_dedup
+from hearthstream.llm import bpe, ego_join, main_text, merkle, minhash, packing, repair, suffix_dedup, url_rules, weak_label, window_dedup
 from hearthstream.llm.common import table
 
 QUERIES: dict = {}
@@ -141,3 +141,39 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+# (verdict, host, path) of the rules that every page is judged by.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+@query
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_rules.rules_frame(spark, URL_RULES)
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules, ["page_id"])
+
+
+ORACLES["op11_url_filter"] = r"""
+WITH rules(verdict, h, p) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+    ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), cut AS (
+  SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+), parts AS (
+  SELECT row_number() OVER () AS k, page_id,
+    translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM cut
+), won AS (
+  SELECT k, arg_max(h || p, length(h || p)) AS rule, arg_max(r.verdict, length(h || p)) AS verdict
+  FROM parts, rules r
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY k
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN won USING (k)"""
