@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthstream.llm import bpe, ego_join, main_text, merkle, minhash, packing, repair, suffix_dedup, url_rules, weak_label, window_dedup
+from hearthstream.llm import bpe, ego_join, main_text, merkle, minhash, packing, repair, suffix_dedup, url_rules, weak_label, whitening, window_dedup
 from hearthstream.llm.common import table
 
 QUERIES: dict = {}
@@ -177,3 +177,8 @@ WITH rules(verdict, h, p) AS (
   GROUP BY k
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN won USING (k)"""
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_vectors(table(spark, sf_dir, "embeddings"))
