@@ -1,84 +1,171 @@
 """Token ids by the tokenizers library, each distinct word once per worker.
 
-Words that a worker has not seen are encoded together, line by line, in one call
-for many of them: a line break never joins a neighbour's piece.
+A batch of texts is cut into words and dictionary-encoded by Arrow, so Python sees
+only the distinct words of a batch.  Ids of known words lie in one array of small
+integers; a text's ids are gathered from there.  Words that a worker has not seen
+are encoded together, line by line, in one call for many of them: a line break never
+joins a neighbour's piece.  What a worker remembers has two generations and so a
+bounded size.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from hearthstream.llm.bpe import CACHE_WORDS, WordwiseEncoder, _Words, irregular
+from hearthstream.llm.bpe import irregular
 
-LINES = 2000
+LINES = 500
+# Words of a generation, about 150 bytes each.
+CACHE_WORDS = 800_000
+CUT = "\0"
 
-_encoders: dict[str, BatchEncoder] = {}
 
+class Generation:
+    """Encoded words: where the ids of each begin in one array, and how many it has."""
 
-class BatchEncoder(WordwiseEncoder):
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    def __init__(self):
+        self.slots: dict[str, int] = {}
+        self.starts = np.zeros(1024, np.int64)
+        self.lengths = np.zeros(1024, np.int64)
+        self.ids = np.zeros(4096, np.uint32)
+        self.used = 0
 
-    def __init__(self, path: str, size: int = CACHE_WORDS):
+    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Learn new words; ``ids`` are those of all of them, one after the other."""
+        first, last = len(self.slots), len(self.slots) + len(words)
+        if last > len(self.starts):
+            self.starts = np.resize(self.starts, 2 * last)
+            self.lengths = np.resize(self.lengths, 2 * last)
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
+        self.slots.update(zip(words, range(first, last), strict=True))
+        self.lengths[first:last] = lengths
+        self.starts[first:last] = self.used + np.cumsum(lengths) - lengths
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+
+def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The slices of ``values`` at ``starts``, one after the other."""
+    ends = np.cumsum(lengths)
+    return values[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class BatchEncoder:
+    """Ids of whole texts; with ``plain`` the strings of special tokens are ordinary text."""
+
+    def __init__(self, path: str, size: int = CACHE_WORDS, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        special = {
-            t.content: np.array([i], "<u4").tobytes()
-            for i, t in tokenizer.get_added_tokens_decoder().items()
-        }
-        self.line = self._ids("\n")
-        super().__init__(self._one, special, size)
+        tokenizer.encode_special_tokens = plain
+        special = [] if plain else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.space = re.compile(r"\s")
+        self.line = self._ids("\n")
+        self.size = size
+        self.now, self.older = Generation(), Generation()
 
     def _ids(self, text: str) -> np.ndarray:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, "<u4")
-
-    def _one(self, part: str) -> bytes:
-        return self._ids(part).tobytes()
-
-    def _learn(self, cache: _Words, words: set[str]) -> None:
-        """Encode unseen words that hold no white space, many at a time."""
-        new = [w for w in cache.unseen(words) if w and not self.space.search(w)]
+        return np.array(found.ids, np.uint32)
+
+    def _alone(self, lines: list[str], block: str) -> bool:
+        """Whether no word holds white space but a space in front."""
+        if block.isascii() and not any(c in block for c in "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"):
+            found = block.count(" ") + block.count("\n")
+        else:
+            found = len(self.space.findall(block))
+        return found == len(lines) - 1 + sum(w[0] == " " for w in lines)
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember words, each with the space before it if it has one."""
+        older, known, new = self.older.slots, [], []
+        for w in words:
+            (known if w in older else new).append(w)
+        if known:
+            at = np.array([older[w] for w in known])
+            lengths = self.older.lengths[at]
+            self.now.add(known, gather(self.older.ids, self.older.starts[at], lengths), lengths)
         for k in range(0, len(new), LINES):
             lines = new[k : k + LINES]
-            ids = self._ids(cache.prefix + f"\n{cache.prefix}".join(lines))
-            breaks = np.flatnonzero(ids == self.line[0])
-            if len(self.line) != 1 or len(breaks) != len(lines) - 1:
-                continue  # left to be encoded one by one
-            raw = ids.tobytes()
-            starts = [0, *(4 * (breaks + 1)).tolist()]
-            ends = [*(4 * breaks).tolist(), len(raw)]
-            for word, a, b in zip(lines, starts, ends, strict=True):
-                cache.learn(word, raw[a:b])
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text."""
-        split = [
-            None if not t or irregular(t) or (self.cut and self.cut.search(t))
-            else [line.split(" ") for line in t.split("\n")]
-            for t in texts
-        ]
-        first: set[str] = set()
-        rest: set[str] = set()
-        for lines in split:
-            for words in lines or ():
-                first.add(words[0])
-                rest.update(words[1:])
-        self._learn(self.first, first)
-        self._learn(self.rest, rest)
-        return [
-            b"".join(self(text) if lines is None else self._lines(lines))
-            for text, lines in zip(texts, split, strict=True)
-        ]
+            block = "\n".join(lines)
+            if len(self.line) == 1 and all(lines) and self._alone(lines, block):
+                ids = self._ids(block)
+                breaks = np.flatnonzero(ids == self.line[0])
+                if len(breaks) == len(lines) - 1:
+                    lengths = np.diff(np.concatenate([[-1], breaks, [len(ids)]])) - 1
+                    self.now.add(lines, np.delete(ids, breaks), lengths)
+                    continue
+            for w in lines:
+                ids = self._ids(w) if w else np.zeros(0, np.uint32)
+                self.now.add([w], ids, np.array([len(ids)]))
+
+    def _slots(self, words: list[str]) -> np.ndarray:
+        """Where the current generation has these distinct words."""
+        if len(self.now.slots) + len(words) > self.size:
+            self.older, self.now = self.now, Generation()
+        known = self.now.slots
+        found = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = [words[k] for k in missing.tolist()]
+            self._learn(new)
+            found[missing] = np.fromiter(map(known.__getitem__, new), np.int64, len(new))
+        return found
+
+    def _regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts whose words are parted by single spaces and line breaks, and their number for each."""
+        # A cut before every space and around every line break: words keep the space before them.
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", CUT + " "), "\n", f"{CUT}\n{CUT}")
+        lists = pc.split_pattern(marked, CUT)
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        coded = lists.flatten().dictionary_encode()
+        # Through numpy: to_pylist makes a scalar of every word first.
+        slot = self._slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        at = slot[coded.indices.to_numpy(zero_copy_only=False)]
+        lengths = self.now.lengths[at]
+        counts = np.diff(np.concatenate([[0], np.cumsum(lengths)[ends - 1]])) if len(ends) else ends
+        return gather(self.now.ids, self.now.starts[at], lengths), counts
+
+    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each text has."""
+        odd = np.array(
+            [irregular(t) or CUT in t or bool(self.special and self.special.search(t)) for t in texts], bool
+        )
+        plain = np.flatnonzero(~odd)
+        ids, counts = self._regular(pa.array([texts[k] for k in plain], pa.large_string()))
+        if len(plain) == len(texts):
+            return ids, counts
+        parts: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        ends = np.cumsum(counts)
+        for k, a, b in zip(plain.tolist(), (ends - counts).tolist(), ends.tolist(), strict=True):
+            parts[k] = ids[a:b]
+        for k in np.flatnonzero(odd).tolist():
+            parts[k] = self._ids(texts[k])
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
+
+_encoders: dict[tuple[str, bool], BatchEncoder] = {}
+
+
+def encoder(path: str, plain: bool = False) -> BatchEncoder:
+    """This worker's encoder."""
+    if (path, plain) not in _encoders:
+        _encoders[path, plain] = BatchEncoder(path, plain=plain)
+    return _encoders[path, plain]
 
 
 def token_bytes(path: str, texts: list[str]) -> list[bytes]:
     """The ids of texts as little-endian unsigned 32-bit integers."""
-    if path not in _encoders:
-        _encoders[path] = BatchEncoder(path)
-    return _encoders[path].batch(texts)
+    ids, counts = encoder(path).batch(texts)
+    raw = ids.astype("<u4").tobytes()
+    ends = 4 * np.cumsum(counts)
+    return [raw[a:b] for a, b in zip((ends - 4 * counts).tolist(), ends.tolist(), strict=True)]
