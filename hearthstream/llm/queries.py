@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthstream.llm import bpe, ego_join, main_text, merkle, minhash, packing, repair, suffix_dedup, url_rules, weak_label, whitening, window_dedup
+from hearthstream.llm import bpe, cross_tokens, ego_join, main_text, merkle, minhash, packing, repair, suffix_dedup, url_rules, weak_label, whitening, window_dedup
 from hearthstream.llm.common import table
 
 QUERIES: dict = {}
@@ -179,6 +179,19 @@ WITH rules(verdict, h, p) AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN won USING (k)"""
 
 
+def piece_model_path() -> str:
+    """The sentencepiece model of the installed tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op12_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return cross_tokens.align_documents(documents, vocabulary_path(), piece_model_path())
+
+
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_vectors(table(spark, sf_dir, "embeddings"))
