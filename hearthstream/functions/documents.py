@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, however many later steps use it.
+
+    A generator is a border for the optimizer: neither a filter nor a projection above
+    repeats the expression.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def enveloped(text: Column) -> Column:
     """The text parsed inside ``{"v":[text],"end":true}``, NULL on a syntax error.
 
@@ -26,7 +42,7 @@ def only_value(envelope: Column) -> Column:
 
 def parse_json_value(text: Column) -> Column:
     """One whole JSON value as VARIANT, NULL when the text is not exactly that."""
-    return only_value(enveloped(text))
+    return bound(enveloped(text), only_value)
 
 
 def value_kind(value: Column) -> Column:

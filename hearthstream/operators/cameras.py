@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthstream import schemas
 from hearthstream.functions import (
     first_matching,
     millis_to_seconds,
@@ -14,10 +13,12 @@ from hearthstream.functions import (
     sanitize_name,
 )
 from hearthstream.functions.documents import (
+    bound,
     has_kind_or_none,
     is_kind,
     is_text_list,
     is_whole_or_none,
+    with_once,
 )
 from hearthstream.operators.envelope import header, string_headers
 
@@ -35,29 +36,42 @@ FRAME_SOURCE = "unifi-protect-video"
 
 def unwrap_event(raw: DataFrame, column: str = "raw") -> DataFrame:
     """``{type, item}`` envelopes become their item; blank lines are dropped."""
-    parsed = F.try_parse_json(F.col(column))
-    item = F.try_variant_get(parsed, "$.item", "variant")
-    inner = F.when(item.isNotNull(), F.to_json(item))
-    return raw.where(F.col(column).rlike(r"\S")).withColumn(
-        column, F.coalesce(inner, F.col(column))
+    item = bound(
+        F.try_parse_json(F.col(column)), lambda parsed: F.try_variant_get(parsed, "$.item", "variant")
     )
+    inner = bound(item, lambda i: F.when(i.isNotNull(), F.to_json(i)))
+    return with_once(raw.where(F.col(column).rlike(r"\S")), column, F.coalesce(inner, F.col(column)))
 
 
 def parse_events(raw: DataFrame, column: str = "raw") -> DataFrame:
     """Typed event columns next to the raw text; NULL struct for unreadable ones."""
-    return raw.withColumn("event", event_of(F.col(column)))
+    return with_event(raw, F.col(column))
 
 
-def event_of(text: Column) -> Column:
-    """The typed event, NULL as a whole if any field is of the wrong kind."""
-    document = parse_json_value(text)
+def with_event(df: DataFrame, text: Column) -> DataFrame:
+    """Add ``event``: the typed event in a JSON text, parsed once."""
+    return with_once(df, "event", bound(parse_json_value(text), event_of))
+
+
+def event_of(document: Column) -> Column:
+    """The typed event of a parsed document, NULL as a whole if any field is of the wrong kind."""
     readable = is_kind(document, "object")
     for name in ("id", "modelKey", "type", "camera", "device"):
         readable = readable & has_kind_or_none(document, name, "string")
     for name in ("start", "end"):
         readable = readable & is_whole_or_none(document, name)
     readable = readable & is_text_list(document, "smartDetectTypes")
-    return F.when(readable, F.from_json(text, schemas.CAMERA_EVENT_DDL))
+
+    def value(name: str, kind: str = "string") -> Column:
+        return F.try_variant_get(document, f"$.{name}", kind).alias(name)
+
+    return F.when(
+        readable,
+        F.struct(
+            value("id"), value("modelKey"), value("type"), value("start", "bigint"), value("end", "bigint"),
+            value("smartDetectTypes", "array<string>"), value("camera"), value("device"),
+        ),
+    )
 
 
 def only_events(events: DataFrame) -> DataFrame:
@@ -149,9 +163,8 @@ def archive_events(messages: DataFrame) -> DataFrame:
     else ``unknown`` (a different rule than :func:`classify_event`).  Events
     without id, start or camera are dropped.
     """
-    event = event_of(F.col("value").cast("string"))
     from_key = F.when(F.instr("key", ":") > 1, F.substring_index("key", ":", 1))
-    parsed = messages.withColumn("event", event).withColumns(
+    parsed = with_event(messages, F.col("value").cast("string")).withColumns(
         {
             "camera": F.coalesce(nullif_empty(header("camera_name")), from_key),
             "detection_type": F.coalesce(

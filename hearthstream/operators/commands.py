@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hearthstream import schemas
 from hearthstream.functions import nullif_empty, parse_json_value, value_kind
-from hearthstream.functions.documents import has_kind_or_none
+from hearthstream.functions.documents import has_kind_or_none, with_once
 
 UNREADABLE = "failed to parse command"
 
@@ -19,10 +19,10 @@ def judge_commands(messages: DataFrame, column: str = "value") -> DataFrame:
     and entity id.
     """
     body = F.col(column).cast("string")
-    document = parse_json_value(body)
-    parsed = messages.withColumn("_kind", value_kind(document)).withColumn(
-        "command", F.from_json(body, schemas.COMMAND_DDL)
-    )
+    parsed = with_once(messages, "_document", parse_json_value(body))
+    document = F.col("_document")
+    parsed = with_once(parsed, "_kind", value_kind(document))
+    parsed = with_once(parsed, "command", F.from_json(body, schemas.COMMAND_DDL))
     missing = F.lit(None).cast("string")
     for name in ("entity_id", "service", "domain"):
         absent = nullif_empty(F.col(f"command.{name}")).isNull()
@@ -34,7 +34,7 @@ def judge_commands(messages: DataFrame, column: str = "value") -> DataFrame:
     readable = readable & has_kind_or_none(document, "data", "object")
     return parsed.withColumn(
         "reason", F.when(~readable, F.lit(UNREADABLE)).otherwise(missing)
-    ).drop("_kind")
+    ).drop("_kind", "_document")
 
 
 def validate_commands(messages: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:

@@ -110,11 +110,6 @@ STATE_EVENT_DDL = (
     "context struct<id:string,parent_id:string,user_id:string>"
 )
 
-CAMERA_EVENT_DDL = (
-    "id string, modelKey string, type string, start bigint, `end` bigint, "
-    "smartDetectTypes array<string>, camera string, device string"
-)
-
 COMMAND_DDL = "domain string, service string, entity_id string, data map<string,variant>"
 
 DETECTION_DDL = "ts bigint, image_path string, top array<struct<label:string,confidence:double>>"

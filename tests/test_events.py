@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 
@@ -192,3 +193,16 @@ def test_events_of_wrong_kinds(spark, extra, good):
 
     raw = spark.createDataFrame([('{"id":"x","modelKey":"event",' + extra + "}",)], "raw string")
     assert only_events(parse_events(raw)).count() == good
+
+
+@pytest.mark.parametrize("build", [
+    lambda df: C.only_events(C.parse_events(C.unwrap_event(df))).select("event.id", "event.start", "event.type"),
+    lambda df: C.archive_events(C.camera_event_messages(
+        df, df.sparkSession.createDataFrame([], "id string, name string"), F.lit(5)
+    ).withColumn("timestamp", F.lit(5).cast("timestamp"))),
+    lambda df: M.judge_commands(df, "raw").where("reason is null").select("command.service"),
+])
+def test_every_text_is_parsed_once(spark, build):
+    """A parse per step: unwrapping, reading the event, reading the archived message."""
+    plan = build(raw(spark, EVENT))._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= len(re.findall("parse_?json", plan, re.I)) <= 3 and len(plan) < 40_000
