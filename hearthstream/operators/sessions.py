@@ -95,6 +95,24 @@ def session_rollup(members: DataFrame, trail: int = TRAIL, delay: int = COPY_DEL
     )
 
 
+def session_event_ids(members: DataFrame, size: int = 1000, chunk_seconds: int = 3600) -> DataFrame:
+    """The event ids of every session in order of arrival, in arrays of ``size`` at most.
+
+    (camera, detection_type, session_no, part, event_ids): part 0 holds the first ``size``
+    ids.  Ranks come from a chunked scan, so a session with a third of all events is many
+    arrays in many tasks.  ``members`` are rows of :func:`session_members`.
+    """
+    keys = [*GROUP, "session_no"]
+    narrow = members.select(*keys, "arrival", "event_id").withColumn("_one", F.lit(1))
+    staged = cut_lineage(with_chunk(narrow, F.col("arrival"), chunk_seconds))
+    ranked = running_sum(staged, keys, ["arrival", "event_id"], "_one", "_rank")
+    return (
+        ranked.groupBy(*keys, F.floor((F.col("_rank") - 1) / size).cast("int").alias("part"))
+        .agg(F.array_sort(F.collect_list(F.struct("_rank", "event_id"))).alias("_ids"))
+        .select(*keys, "part", F.col("_ids.event_id").alias("event_ids"))
+    )
+
+
 def coalesce_sessions(
     events: DataFrame,
     trail: int = TRAIL,

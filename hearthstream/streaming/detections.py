@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthstream.operators import detections as D
+from hearthstream.sources.files import new_images
 
 SCORED_DDL = "path string, top array<struct<label:string,confidence:double>>"
 
@@ -42,3 +43,33 @@ def scored_by_model(images: DataFrame, scorer: Scorer) -> DataFrame:
     return images.select("path").mapInPandas(scorer, SCORED_DDL).select(
         F.col("path").alias("image_path"), "top"
     )
+
+
+def detection_stream(
+    spark: SparkSession, directory: str, score: Callable[[DataFrame], DataFrame], now: Column, **options
+) -> DataFrame:
+    """Messages of every image that appears below ``directory``, once each.
+
+    ``score`` turns images (path) into (image_path, top): :func:`scored_by_table` with a
+    static table, :func:`scored_by_model`, or the caller's own.  Images without labels
+    publish nothing.
+    """
+    return D.detection_messages(score(new_images(spark, directory, **options)), now)
+
+
+def publish_once(messages: DataFrame, path: str, checkpoint: str):
+    """A writer of a message stream that a repeated micro-batch does not write twice.
+
+    A batch owns the folder of its number and replaces it, so one that failed
+    half-way, or that is repeated after a restart, leaves each message once.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The messages below ``path``; the number of their batch is dropped."""
+    return spark.read.parquet(path).drop("batch")

@@ -19,6 +19,9 @@ OUTPUT_DDL = (
 
 EVENT_COLUMNS = ["event_id", "start_ms", "end_ms", "arrival"]
 
+# Seconds for which the ids of closed sessions are remembered.
+KEEP_IDS = 7 * 86400
+
 CLOSED = "closed"
 CANCELLED = "cancelled"
 
@@ -27,18 +30,20 @@ class SessionProcessor(StatefulProcessor):
     """One open session per (camera, detection type).
 
     State: the open session; and per event id the number of the session it
-    belongs to.  An id of an earlier session is done and ignored.  The id map is
-    a state map, so its entries are single rows of the state store however many
-    there are.
+    belongs to and when it was last seen.  An id of an earlier session is done and
+    ignored, until it has not been seen for ``keep`` seconds: then it is forgotten,
+    so the state holds the ids of that time and no more.  The id map is a state map, so
+    its entries are single rows of the state store however many there are; a batch
+    reads and writes each of its ids once, and the map is swept once in ``keep``.
 
     A session is due ``trail + delay`` seconds after its latest end.  If it was
     opened by an event without end, and that event is still alone in it after
     ``timeout`` seconds, the session is cancelled; then its id is forgotten.
     """
 
-    def __init__(self, trail: int, delay: int, timeout: int, by_arrival: bool):
+    def __init__(self, trail: int, delay: int, timeout: int, by_arrival: bool, keep: int = KEEP_IDS):
         self.trail, self.delay, self.timeout = trail, delay, timeout
-        self.by_arrival = by_arrival
+        self.by_arrival, self.keep = by_arrival, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -47,8 +52,10 @@ class SessionProcessor(StatefulProcessor):
             "number bigint, start_ms bigint, end_ms bigint, due bigint, events bigint, "
             "first_id string, waiting_since bigint",
         )
-        self.counter = handle.getValueState("counter", "number bigint")
-        self.session_of = handle.getMapState("session_of", "event_id string", "number bigint")
+        self.counter = handle.getValueState("counter", "number bigint, swept bigint")
+        self.session_of = handle.getMapState(
+            "session_of", "event_id string", "number bigint, seen bigint"
+        )
 
     # -- helpers ----------------------------------------------------------
 
@@ -63,14 +70,21 @@ class SessionProcessor(StatefulProcessor):
             "status": status,
         }
 
-    def _settle(self, key: Any, session: dict | None, now: int, out: list[dict]) -> dict | None:
-        """Cancel or close the session if its time has come."""
+    def _settle(
+        self, key: Any, session: dict | None, now: int, out: list[dict], known: dict | None = None
+    ) -> dict | None:
+        """Cancel or close the session if its time has come.
+
+        The id of a cancelled one is forgotten, in the state and among the ids in hand.
+        """
         if session is None:
             return None
         if session["waiting_since"] is not None and now > session["waiting_since"] + self.timeout:
             session["waiting_since"] = None
             if session["end_ms"] == 0 and session["events"] == 1:
                 self.session_of.removeKey((session["first_id"],))
+                if known is not None:
+                    known[session["first_id"]] = None
                 out.append(self._row(key, session, CANCELLED))
                 return None
         if session["end_ms"] > 0 and now >= session["due"]:
@@ -120,6 +134,16 @@ class SessionProcessor(StatefulProcessor):
         if alarms:
             self.handle.registerTimer(min(alarms) * 1000)
 
+    def _sweep(self, now: int, open_number: int | None) -> None:
+        """Forget the ids of earlier sessions that have not been seen for ``keep`` seconds."""
+        old = [
+            event_id
+            for (event_id,), (number, seen) in self.session_of.iterator()
+            if number != open_number and seen < now - self.keep
+        ]
+        for event_id in old:
+            self.session_of.removeKey((event_id,))
+
     @staticmethod
     def _frame(rows: list[dict]) -> Iterator[pd.DataFrame]:
         if rows:
@@ -129,9 +153,10 @@ class SessionProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         session = self._load()
-        last = self.counter.get()[0] if self.counter.exists() else 0
-        out: list[dict] = []
         now = timerValues.getCurrentProcessingTimeInMs() // 1000
+        last, swept = self.counter.get() if self.counter.exists() else (0, None)
+        out: list[dict] = []
+        known: dict[str, tuple[int, int] | None] = {}
         if self.by_arrival:
             # Sorting needs the key's rows of one micro-batch, whose size the source
             # bounds; only the four narrow columns in use are held.
@@ -139,26 +164,32 @@ class SessionProcessor(StatefulProcessor):
             frames = iter([batch.sort_values(["arrival", "event_id"], kind="stable")])
         else:
             # A micro-batch is one tick of the clock: what is due closes before it.
-            session = self._settle(key, session, now, out)
+            session = self._settle(key, session, now, out, known)
             frames = rows
+        changed: set[str] = set()
         for frame in frames:
             for event in frame.itertuples(index=False):
                 if self.by_arrival:
                     now = int(event.arrival)
-                    session = self._settle(key, session, now, out)
-                open_number = session["number"] if session else None
-                known = (
-                    self.session_of.getValue((event.event_id,))[0]
-                    if self.session_of.containsKey((event.event_id,))
-                    else None
-                )
-                if known is not None and known != open_number:
+                    session = self._settle(key, session, now, out, known)
+                if event.event_id not in known:
+                    known[event.event_id] = self.session_of.getValue((event.event_id,))
+                member = known[event.event_id]
+                elsewhere = member is not None and (session is None or member[0] != session["number"])
+                if elsewhere and member[1] >= now - self.keep:
                     continue
                 if session is None:
                     last += 1
                 session = self._add(session, last, event, now)
-                self.session_of.updateValue((event.event_id,), (session["number"],))
-        self.counter.update((last,))
+                known[event.event_id] = (session["number"], now)
+                changed.add(event.event_id)
+        for event_id in changed:
+            if known[event_id] is not None:
+                self.session_of.updateValue((event_id,), known[event_id])
+        if swept is None or now >= swept + self.keep:
+            self._sweep(now, session["number"] if session else None)
+            swept = now
+        self.counter.update((last, swept))
         self._save(session)
         yield from self._frame(out)
 
@@ -179,6 +210,7 @@ def archive_sessions_stream(
     timeout: int = S.END_TIMEOUT,
     clock: str = "processing",
     lateness: str = "10 seconds",
+    keep: int = KEEP_IDS,
 ) -> DataFrame:
     """Closed and cancelled sessions of a stream of archive events.
 
@@ -196,7 +228,7 @@ def archive_sessions_stream(
     rows = events.select(*columns, "arrived_at")
     rows = (rows.withWatermark("arrived_at", lateness) if by_arrival else rows).drop("arrived_at")
     return rows.groupBy(*S.GROUP).transformWithStateInPandas(
-        SessionProcessor(trail, delay, timeout, by_arrival),
+        SessionProcessor(trail, delay, timeout, by_arrival, keep),
         OUTPUT_DDL,
         "append",
         "EventTime" if by_arrival else "ProcessingTime",

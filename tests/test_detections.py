@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from hearthstream.operators import detections as D
 from hearthstream.operators import cameras as C
-from hearthstream.streaming.detections import best_crops, scored_by_model
+from hearthstream.streaming.detections import best_crops, detection_stream, publish_once, published, scored_by_model, scored_by_table
 from helpers import rows
 
 OBS = "path string, observations array<struct<label:string,confidence:double>>"
@@ -67,3 +67,30 @@ def test_frame_messages_round_trip(spark):
     assert rows(C.frames_from_messages(msgs), "camera", "ts", "path") == [("front", 5, "video.front/0/3")]
     broken = msgs.withColumn("key", F.lit("id1:x"))
     assert C.frames_from_messages(broken).isEmpty()
+
+
+def test_stream_of_images_publishes_each_once(spark, folder):
+    import os
+
+    seen = "substring_index(path, '/', -1)"
+    table = spark.createDataFrame([("1.jpg", [("car", 0.2), ("dog", 0.9)]), ("2.jpg", [("cat", 0.5)]), ("3.jpg", [])], OBS)
+
+    def put(name):
+        os.makedirs(f"{folder}/in/cam", exist_ok=True)
+        open(f"{folder}/in/cam/{name}", "wb").write(b"jpeg")
+
+    def run():
+        messages = detection_stream(spark, f"{folder}/in", lambda df: scored_by_table(df.withColumn("path", F.expr(seen)), table), F.lit(5))
+        publish_once(messages, f"{folder}/out", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
+        return [json.loads(r.value)["top"][0]["label"] for r in published(spark, f"{folder}/out").orderBy("key").collect()]
+
+    for name in ("1.jpg", "3.jpg", "unknown.jpg"):
+        put(name)
+    assert run() == ["dog"] and run() == ["dog"]
+    put("2.jpg")
+    assert run() == ["dog", "cat"]
+    # A batch whose commit is lost is repeated, and replaces what it wrote.
+    for name in os.listdir(f"{folder}/ck/commits"):
+        if name.strip(".").split(".")[0] == "1":
+            os.remove(f"{folder}/ck/commits/{name}")
+    assert run() == ["dog", "cat"]

@@ -154,6 +154,20 @@ def test_stream_ignores_messages_of_closed_sessions(spark, folder):
     assert got == [(100000, 110000, 1, "closed"), (200000, 210000, 1, "closed")]
 
 
+def test_stream_forgets_ids_after_a_while(spark, folder):
+    # The third message comes when the first session's id is forgotten, the fourth before the second's is.
+    batches = [[("a", 100, 110, 100)], [("b", 3000, 3001, 3000)], [("a", 5000, 5001, 5000)], [("b", 6000, 6001, 6000)], [LATER]]
+    got = streamed(spark, folder, *batches, keep=3500)
+    assert got == [(100000, 110000, 1, "closed"), (3000000, 3001000, 1, "closed"), (5000000, 5001000, 1, "closed")]
+
+
+def test_event_ids_in_chunks(spark):
+    values = [(f"e{i:02}", 100 + i, 200, 100 + i) for i in range(7)] + [("z", 900, 901, 900), ("y", 900, 901, 900)]
+    members = S.session_members(events(spark, *values), chunk_seconds=2)
+    got = rows(S.session_event_ids(members, size=3, chunk_seconds=2), "session_no", "part", "event_ids")
+    assert got == [(1, 0, ["e00", "e01", "e02"]), (1, 1, ["e03", "e04", "e05"]), (1, 2, ["e06"]), (2, 0, ["y", "z"])]
+
+
 def test_stream_by_processing_time(spark, folder):
     events(spark, ("a", 100, 110, 100), ("b", 105, 130, 105)).coalesce(1).write.parquet(f"{folder}/in")
     source = spark.readStream.schema(DDL).parquet(f"{folder}/in")

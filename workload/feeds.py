@@ -243,11 +243,9 @@ def cameras(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def session_events(spark: SparkSession, sf: str, ended_only: bool = False) -> DataFrame:
-    """Archive events of all purchases: one detection type, five cameras."""
+def session_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Archive events of all purchases: one detection type, five cameras; one in eleven never ends."""
     ev = events(spark, sf).where("event_type = 'purchase'")
-    if ended_only:
-        ev = ev.where("event_id % 11 <> 0")
     return ev.select(
         F.concat(F.lit("cam_"), (F.col("user_id") % 5).cast("string")).alias("camera"),
         F.lit("person").alias("detection_type"),
@@ -302,6 +300,24 @@ def observations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def place_images(images: DataFrame, directory: str) -> None:
+    """A small file for each ``path`` of ``images``, below ``directory``, written by the tasks."""
+
+    def write(batches):
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(directory)
+        for batch in batches:
+            for path in batch["path"]:
+                target = f"{root}/{path}"
+                store.create_dir(target.rsplit("/", 1)[0])
+                with store.open_output_stream(target) as out:
+                    out.write(path.encode())
+            yield batch
+
+    images.select("path").mapInPandas(write, "path string").write.format("noop").mode("append").save()
+
+
 def observed_images(spark: SparkSession, sf: str) -> DataFrame:
     """The same with the observations of an image as one array."""
     labels = F.array(*[F.lit(x) for x in LABELS])

@@ -205,6 +205,7 @@ def with_ctes(body: str, *names: str) -> str:
             queue.extend(NEEDS.get(name, []))
     parts = [f"{name} AS ({CTES[name].strip()})" for name in CTES if name in wanted]
     body = body.strip()
-    if body.startswith("WITH ") and parts:
-        return f"WITH {', '.join(parts)},\n{body[len('WITH '):]}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(start) and parts:
+            return f"{start}{', '.join(parts)},\n{body[len(start):]}"
     return (f"WITH {', '.join(parts)}\n" if parts else "") + body

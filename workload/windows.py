@@ -29,6 +29,19 @@ def coalesce_sessions(spark, sf):
     return S.coalesce_sessions(feeds.session_events(spark, sf), chunk_seconds=86400)
 
 
+@query("AGG17", """
+SELECT camera, detection_type, CAST(session_no AS BIGINT) AS session_no, (r - 1) // 3 AS part,
+  string_agg(eid, ',' ORDER BY r) AS event_ids
+FROM (SELECT *, row_number() OVER (PARTITION BY camera, detection_type, session_no ORDER BY arrival, eid) AS r FROM members)
+GROUP BY ALL""", "members")
+def session_event_ids(spark, sf):
+    members = S.session_members(feeds.session_events(spark, sf), chunk_seconds=86400)
+    return S.session_event_ids(members, size=3, chunk_seconds=86400).select(
+        "camera", "detection_type", "session_no", F.col("part").cast("bigint").alias("part"),
+        F.array_join("event_ids", ",").alias("event_ids"),
+    )
+
+
 @query("WIN4", """
 SELECT 'cam_' || CAST(user_id % 5 AS VARCHAR) AS camera, 'e' || CAST(event_id AS VARCHAR) AS event_id, hts * 1000 AS start_ms
 FROM m WHERE event_type = 'purchase'""", "m")
@@ -146,27 +159,96 @@ def frame_topic_retention(spark, sf):
     return S.retain(frames, F.lit(1706400000)).select("camera", "ts")
 
 
-@query("STR6, T28, T30", """
-WITH se AS (SELECT * FROM se_all WHERE end_ms IS NOT NULL),
-d AS (SELECT *, end_ms // 1000 + 5 AS due FROM se),
-p AS (SELECT *, max(due) OVER (PARTITION BY camera ORDER BY arrival, eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM d),
-n AS (SELECT *, sum(CASE WHEN before IS NULL OR arrival >= before THEN 1 ELSE 0 END) OVER (PARTITION BY camera ORDER BY arrival, eid ROWS UNBOUNDED PRECEDING) AS no FROM p)
-SELECT camera, detection_type, min(start_ms) AS start_ms, max(end_ms) AS end_ms, count(*) AS event_count,
-  max(due) AS copy_after, 'closed' AS status
-FROM n GROUP BY camera, detection_type, no
-HAVING max(due) <= (SELECT max(arrival) FROM se) - 10 OR no < (SELECT max(no) FROM n x WHERE x.camera = n.camera)
-""".replace("se_all", "(SELECT 'cam_' || CAST(user_id % 5 AS VARCHAR) AS camera, 'person' AS detection_type, 'e' || CAST(event_id AS VARCHAR) AS eid, hts * 1000 AS start_ms, CASE WHEN event_id % 11 <> 0 THEN hts * 1000 + CAST(floor(value) AS BIGINT) * 60000 END AS end_ms, hts AS arrival FROM m WHERE event_type = 'purchase')"), "m")
-def sessions_streamed(spark, sf):
-    inbox = scratch_dir(spark, "inbox")
-    feeds.fill_inbox(feeds.session_events(spark, sf, ended_only=True), inbox, F.col("arrival"))
-    stream = (
-        spark.readStream.schema(spark.read.parquet(inbox).schema)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(inbox)
+# Sessions as the stream finds them, one message or timer after the other.  A group of
+# messages is one micro-batch; timers fire after it at the watermark before it, and then at
+# the one after it.
+_STREAMED = """
+WITH RECURSIVE e AS (
+  SELECT 'cam_' || CAST(user_id % 5 AS VARCHAR) AS camera, 'e' || CAST(event_id AS VARCHAR) AS eid,
+    hts * 1000 AS start_ms, CASE WHEN event_id % 11 <> 0 THEN hts * 1000 + CAST(floor(value) AS BIGINT) * 60000 ELSE 0 END AS end_ms,
+    hts AS arrival, {group} AS g
+  FROM (SELECT *, min(hts) OVER () AS lo, max(hts) OVER () AS hi FROM m WHERE event_type = 'purchase')
+), marks AS (
+  SELECT g, max(max(arrival)) OVER (ORDER BY g) - 10 AS after,
+    max(max(arrival)) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 10 AS before
+  FROM e GROUP BY g
+), items AS (
+  SELECT camera, g, 0 AS part, arrival AS t, eid, start_ms, end_ms FROM e
+  UNION ALL
+  SELECT camera, g, part, CASE part WHEN 1 THEN before ELSE after END, NULL, NULL, NULL
+  FROM (SELECT DISTINCT camera FROM e), marks, (VALUES (1), (2)) p(part)
+), steps AS (
+  SELECT *, row_number() OVER (PARTITION BY camera ORDER BY g, part, t, eid) AS k FROM items
+), run AS (
+  SELECT camera, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS s, CAST(0 AS BIGINT) AS e, CAST(0 AS BIGINT) AS n,
+    CAST(NULL AS BIGINT) AS w, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS BIGINT) AS os, CAST(NULL AS BIGINT) AS oe,
+    CAST(NULL AS BIGINT) AS oc
+  FROM (SELECT DISTINCT camera FROM e)
+  UNION ALL
+  SELECT camera, k,
+    CASE WHEN eid IS NULL THEN s ELSE least(coalesce(s, start_ms), start_ms) END,
+    CASE WHEN eid IS NULL THEN e ELSE greatest(e, end_ms) END,
+    CASE WHEN eid IS NULL THEN n ELSE n + 1 END,
+    CASE WHEN eid IS NOT NULL AND s IS NULL AND end_ms = 0 THEN t ELSE w END,
+    status, os, oe, oc
+  FROM (
+    SELECT camera, k, eid, t, start_ms, end_ms, status, os, oe, oc,
+      CASE WHEN status IS NULL THEN s END AS s, CASE WHEN status IS NULL THEN e ELSE 0 END AS e,
+      CASE WHEN status IS NULL THEN n ELSE 0 END AS n,
+      CASE WHEN status IS NULL AND NOT (w IS NOT NULL AND now > w + 60) THEN w END AS w
+    FROM (
+      SELECT *, s AS os, e AS oe, n AS oc,
+        CASE WHEN s IS NULL THEN NULL
+          WHEN w IS NOT NULL AND now > w + 60 AND e = 0 AND n = 1 THEN 'cancelled'
+          WHEN e > 0 AND now >= e // 1000 + 5 THEN 'closed' END AS status
+      FROM (
+        SELECT r.camera, x.k, x.eid, x.t, x.start_ms, x.end_ms, r.s, r.e, r.n, r.w,
+          -- A message acts at its arrival, a timer at its own time, if the watermark has reached it.
+          CASE WHEN x.eid IS NOT NULL THEN x.t
+            WHEN least(coalesce(r.w + 61, 9e18), CASE WHEN r.e > 0 THEN r.e // 1000 + 5 ELSE 9e18 END) <= x.t
+            THEN CAST(least(coalesce(r.w + 61, 9e18), CASE WHEN r.e > 0 THEN r.e // 1000 + 5 ELSE 9e18 END) AS BIGINT)
+            ELSE -1 END AS now
+        FROM run r JOIN steps x ON x.camera = r.camera AND x.k = r.k + 1
+      )
     )
-    out = scratch_dir(spark, "sessions")
-    run = archive_sessions_stream(stream, clock="arrival").writeStream.format("parquet").option(
-        "path", out
-    ).option("checkpointLocation", scratch_dir(spark, "offsets"))
-    run.trigger(availableNow=True).start().awaitTermination()
+  )
+)
+SELECT camera, 'person' AS detection_type, os AS start_ms, oe AS end_ms, oc AS event_count,
+  CASE WHEN oe > 0 THEN oe // 1000 + 5 ELSE 0 END AS copy_after, status
+FROM run WHERE status IS NOT NULL"""
+
+
+def _sessions_in_groups(spark, sf, group):
+    """The session stream over messages that arrive in groups, with a restart after each."""
+    events = feeds.session_events(spark, sf)
+    span = events.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi")).first()
+    numbered = events.withColumn("_group", group(F.col("arrival"), span.lo, span.hi))
+    inbox, out, offsets = (scratch_dir(spark, x) for x in ("inbox", "sessions", "offsets"))
+    for g in range(3):
+        # Files of one group are one micro-batch, and so in any order.
+        numbered.where(F.col("_group") == g).drop("_group").write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(events.schema).parquet(inbox)
+        run = archive_sessions_stream(stream, clock="arrival").writeStream.format("parquet").option(
+            "path", out
+        ).option("checkpointLocation", offsets)
+        run.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out)
+
+
+def _third(arrival, lo, hi):
+    return F.floor((arrival - lo) * 3 / (hi - lo + 1)).cast("int")
+
+
+@query("STR6, T28, T30", _STREAMED.format(group="(hts - lo) * 3 // (hi - lo + 1)"), "m")
+def sessions_streamed(spark, sf):
+    return _sessions_in_groups(spark, sf, _third)
+
+
+@query("STR6, STR7", _STREAMED.format(
+    group="least(2, (hts - lo) * 3 // (hi - lo + 1) + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END)"), "m")
+def sessions_streamed_late(spark, sf):
+    """One message in thirteen comes a micro-batch late, behind the watermark."""
+    late = F.when(F.substring("event_id", 2, 20).cast("bigint") % 13 == 0, 1).otherwise(0)
+    return _sessions_in_groups(
+        spark, sf, lambda arrival, lo, hi: F.least(F.lit(2), _third(arrival, lo, hi) + late)
+    )
