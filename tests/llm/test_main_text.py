@@ -1,4 +1,11 @@
-from hearthstream.llm.main_text import extract_main_text, main_text
+import time
+from html.parser import HTMLParser
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+
+from hearthstream.llm.main_text import INLINE, VOID, extract_main_text, main_text
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{a:b}</style></head><body>
 <header><h1>Site name of the publisher</h1></header>
@@ -72,3 +79,81 @@ def test_frame_keeps_keys_and_repeats(spark):
     n = len(main_text(PAGE))
     assert found == [(0, 0, 0), (1, n, n), (1, n, n), (2, 0, 0)]
     assert extract_main_text(pages.where("false"), ["page_id"]).count() == 0
+
+
+BODY = "<article><p>Body text of the page.</p></article>"
+
+
+def test_names_that_describe_the_page_do_not_hide_it():
+    for names in ("has-sidebar", "single-comment", "no-comments", "page-with-header", "home nav-closed",
+                  "js cookie-ok", "ad-free"):
+        assert main_text(f'<html><body class="{names}">{BODY}</body></html>') == "Body text of the page.", names
+        assert main_text(f'<body><div class="{names}">{BODY}</div></body>') == "Body text of the page.", names
+    assert main_text('<article class="post-header-top"><p>Body text of the page.</p></article>') == "Body text of the page."
+    assert main_text(f'<form id=aspnet><div class="header"><a href=x>Us</a></div>{BODY}</form>') == "Body text of the page."
+    long = " ".join([LONG] * 3)
+    assert main_text(f'<form><div class="has-sidebar"><p>{long}</p></div></form>') == long
+
+
+def test_sections_of_an_article_stay_and_its_boxes_go():
+    page = (
+        f'<article><p>{LONG} {LONG}</p><section class="related-work"><p>Others did this.</p></section>'
+        '<div class="share-of-market"><p>Half of it.</p></div>'
+        '<div class="share-buttons"><a href=a>Tell</a> <a href=b>Send</a></div>'
+        '<div class="site-notice"><p>Read this</p></div><div class="related"><a href=c>More of it</a></div>'
+        f'<p>End.</p><div class="comments"><p>{LONG} {LONG} {LONG}</p></div></article>'
+    )
+    assert main_text(page) == f"{LONG} {LONG} Others did this. Half of it. End."
+
+
+def test_short_first_paragraph_without_a_full_stop():
+    assert main_text(f"<div><div>Menu</div><p>By the river</p><p>{LONG}</p></div>") == f"By the river {LONG}"
+
+
+def test_broken_markup_takes_linear_time():
+    began = time.process_time()
+    size = 1_000_000
+    for piece in ("<a ", '<p x="', "<div>", "</x>", "<span id=a>", '<p x=">', "<", "<!-", "<p><span class=ad>", "&amp", "<script>x</script>"):
+        main_text(piece * (size // len(piece)))
+    main_text("<p><div>" + "<span id=ad>" * 40_000 + "<p></p>" * 60_000)
+    main_text("<div>" * 100_000 + "</p></section>" * 40_000)
+    assert time.process_time() - began < 36
+
+
+def simple_main_text(page):
+    """The article of a page that marks it well: a tree by the standard parser, without windows or scores."""
+    out, skip, inside, line = [], 0, 0, []
+
+    class Reader(HTMLParser):
+        def flush(self):
+            text = " ".join("".join(line).split())
+            if text:
+                out.append(text)
+            line.clear()
+
+        def handle_starttag(self, tag, attrs):
+            nonlocal skip, inside
+            if tag not in INLINE:
+                self.flush()
+            skip += tag in ("script", "style", "nav", "footer") or bool(skip and tag not in VOID)
+            inside += tag == "article"
+
+        def handle_endtag(self, tag):
+            nonlocal skip, inside
+            if tag not in INLINE:
+                self.flush()
+            skip -= bool(skip)
+            inside -= tag == "article"
+
+        def handle_data(self, data):
+            if inside and not skip:
+                line.append(data)
+
+    Reader().feed(page)
+    return " ".join(out)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01/pages.parquet").exists(), reason="no data")
+def test_given_pages_against_a_plain_reader():
+    for page in pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist():
+        assert main_text(page) == simple_main_text(page or "")
