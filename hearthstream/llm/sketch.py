@@ -156,9 +156,14 @@ def merge_with_frequent(partial: DataFrame, bits: int, least: int) -> tuple[np.n
 
 
 def sample_rows(anchors: np.ndarray, rate: int) -> pa.RecordBatch:
-    """Rows (part, cells) with about one in ``rate`` of the anchors themselves."""
+    """Rows (part, cells) with about one in ``rate`` of the anchors themselves.
+
+    Drawn by a generator whose seed is a hash of the anchors and of their places, so that
+    a repeated task, and a second pass over the same piece, draw the same ones.
+    """
     schema = pa.schema([("part", pa.int32()), ("cells", pa.binary())])
-    taken = anchors[np.random.default_rng().random(len(anchors)) * rate < 1]
+    seed = np.bitwise_xor.reduce(mix64(anchors ^ mix64(np.arange(1, len(anchors) + 1)))) if len(anchors) else 0
+    taken = anchors[np.random.default_rng(int(seed)).random(len(anchors)) * rate < 1]
     part = (taken % np.uint64(1 << PARTS_BITS)).astype(np.int64)
     return batch_of(
         schema,

@@ -121,7 +121,8 @@ def test_contexts_at_the_edge_of_a_common_passage_do_not_meet(spark, monkeypatch
         elif r.bucket < 2 * buckets:
             windows[r.bucket] += len(r["keys"]) // 16
     assert buckets > 40 and max(contexts.values(), default=0) < 1500
-    assert sum(windows.values()) > 1500 * 100
+    # Windows with an anchor that the sample finds often, spread over the buckets.
+    assert sum(windows.values()) > 1500 * buckets / 4
     assert max(windows.values()) < 2 * sum(windows.values()) / buckets
 
 
