@@ -38,7 +38,8 @@ SHARD_PIECES = 4096
 ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 12
-POPULATION = 6
+POPULATION = 4
+SUBSET_BINS = 160  # bins that are opened at a time to be filled by subset sums
 REOPEN = 0.97  # bins filled less than this are packed again on the next level
 
 Bins = list[list[int]]
@@ -50,15 +51,20 @@ def cut_points(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
+def load(b: list[int], lengths: list[int]) -> int:
+    """Tokens in a bin."""
+    return sum(map(lengths.__getitem__, b))
+
+
 def best_fit(
-    items: list[int], lengths: list[int], capacity: int, bins: Bins | None = None
+    items: list[int], lengths: list[int], capacity: int, bins: Bins | None = None, in_order: bool = False
 ) -> Bins:
-    """Put items, longest first, into the fullest bin that takes them."""
+    """Put items, longest first or in their order, into the fullest bin that takes them."""
     bins = [list(b) for b in bins or []]
     space: list[tuple[int, int]] = sorted(
-        (capacity - sum(lengths[i] for i in b), k) for k, b in enumerate(bins)
+        (capacity - load(b, lengths), k) for k, b in enumerate(bins)
     )
-    for i in sorted(items, key=lambda x: (-lengths[x], x)):
+    for i in items if in_order else sorted(items, key=lambda x: (-lengths[x], x)):
         at = bisect_left(space, (lengths[i], -1))
         if at < len(space):
             room, k = space.pop(at)
@@ -73,7 +79,7 @@ def best_fit(
 
 def fitness(bins: Bins, lengths: list[int], capacity: int) -> tuple[int, float]:
     """Fewer bins first, then the mean squared filling, higher is better."""
-    fill = [sum(lengths[i] for i in b) / capacity for b in bins]
+    fill = [load(b, lengths) / capacity for b in bins]
     return -len(bins), sum(f * f for f in fill) / max(1, len(bins))
 
 
@@ -81,8 +87,8 @@ def crossover(
     mother: Bins, father: Bins, lengths: list[int], capacity: int, rng: random.Random
 ) -> Bins:
     """The mother's bins with whole well-filled bins of the father injected."""
-    ranked = sorted(father, key=lambda b: -sum(lengths[i] for i in b))
-    well = [b for b in ranked if sum(lengths[i] for i in b) >= 0.99 * capacity] or ranked[:1]
+    well = [b for b in father if load(b, lengths) >= 0.99 * capacity]
+    well = well or [max(father, key=lambda b: load(b, lengths))]
     injected = rng.sample(well, max(1, len(well) // 3))
     taken = {i for b in injected for i in b}
     child, displaced = [], []
@@ -94,44 +100,86 @@ def crossover(
     return mutate(child + injected, displaced, lengths, capacity, rng)
 
 
+def subset_fill(items: list[int], lengths: list[int], capacity: int) -> Bins:
+    """Fill one bin after the other as full as a subset with the longest item left can.
+
+    Reachable sums are the bits of a number; the subset is read off backwards.
+    """
+    left = sorted(items, key=lambda x: (-lengths[x], x))
+    bins: Bins = []
+    while left:
+        first, rest = left[0], left[1:]
+        room = capacity - lengths[first]
+        mask = (1 << (room + 1)) - 1
+        sums = [1]
+        for i in rest:
+            if sums[-1] >> room & 1:
+                break  # filled to the last place
+            sums.append((sums[-1] | sums[-1] << lengths[i]) & mask)
+        total = sums[-1].bit_length() - 1
+        taken = [first]
+        for k in range(len(sums) - 1, 0, -1):
+            if not sums[k - 1] >> total & 1:
+                taken.append(rest[k - 1])
+                total -= lengths[rest[k - 1]]
+        gone = set(taken)
+        left = [i for i in rest if i not in gone]
+        bins.append(taken)
+    return bins
+
+
 def mutate(
     bins: Bins, displaced: list[int], lengths: list[int], capacity: int, rng: random.Random
 ) -> Bins:
-    """Open the emptiest bins and a few random ones; place everything again best fit."""
-    bins = sorted(bins, key=lambda b: -sum(lengths[i] for i in b))
-    for _ in range(min(len(bins), 2 + len(bins) // 50)):
-        displaced += bins.pop()
-    for _ in range(min(len(bins), 2)):
-        displaced += bins.pop(rng.randrange(len(bins)))
-    return best_fit(displaced, lengths, capacity, bins)
+    """Put displaced items back best fit; then fill anew, by subset sums, the emptiest bins and some others.
+
+    The others are well-filled ones drawn at random: they lend the lengths that the
+    emptiest bins lack.
+    """
+    bins = best_fit(displaced, lengths, capacity, bins) if displaced else [list(b) for b in bins]
+    bins.sort(key=lambda b: load(b, lengths))
+    some = min(len(bins), SUBSET_BINS // 2)
+    opened, bins = bins[:some], bins[some:]
+    for _ in range(min(len(bins), SUBSET_BINS - some)):
+        k = rng.randrange(len(bins))
+        bins[k], bins[-1] = bins[-1], bins[k]
+        opened.append(bins.pop())
+    filled = subset_fill([i for b in opened for i in b], lengths, capacity)
+    return bins + (filled if len(filled) <= len(opened) else opened)
 
 
 def evolve(
     lengths: list[int], capacity: int, seed: int, elite: Bins | None = None,
     generations: int = GENERATIONS, population: int = POPULATION,
 ) -> Bins:
-    """One island's epoch: the best set of bins found."""
+    """One island's epoch: the best set of bins found.
+
+    The population starts from random orders, so the bins come from injection and
+    repair.  Packing longest first is compared with what was found at the end, and
+    taken only if it needs fewer bins.
+    """
     rng = random.Random(seed)
     everything = list(range(len(lengths)))
     least = -(-sum(lengths) // capacity)
-    best = best_fit(everything, lengths, capacity)
-    if elite and fitness(elite, lengths, capacity) > fitness(best, lengths, capacity):
-        best = elite
-    if len(best) <= least:
-        return best
-    pool = [best] + ([elite] if elite else [])
+    if elite and len(elite) <= least:
+        return elite
+    pool = [elite] if elite else []
     while len(pool) < population:
-        pool.append(mutate(best, [], lengths, capacity, rng))
+        pool.append(best_fit(rng.sample(everything, len(everything)), lengths, capacity, in_order=True))
     for _ in range(generations):
         pool.sort(key=lambda b: fitness(b, lengths, capacity), reverse=True)
-        if len(pool[0]) <= least:
+        half = pool[: max(1, population // 2)]
+        children = []
+        while len(half) + len(children) < population and (not children or len(children[-1]) > least):
+            children.append(crossover(rng.choice(half), rng.choice(pool), lengths, capacity, rng))
+        pool = half + children
+        if min(map(len, pool)) <= least:
             break
-        half = pool[: population // 2]
-        pool = half + [
-            crossover(rng.choice(half), rng.choice(pool), lengths, capacity, rng)
-            for _ in range(population - len(half))
-        ]
-    return max(pool, key=lambda b: fitness(b, lengths, capacity))
+    best = max(pool, key=lambda b: fitness(b, lengths, capacity))
+    if len(best) > least:
+        plain = best_fit(everything, lengths, capacity)
+        best = plain if len(plain) < len(best) else best
+    return best
 
 
 def _flat(bins: Bins, n: int) -> np.ndarray:

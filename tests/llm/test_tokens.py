@@ -140,3 +140,31 @@ def test_crossover_keeps_every_document_once():
         assert sorted(i for b in child for i in b) == list(range(200))
         assert all(sum(lengths[i] for i in b) <= 2048 for b in child)
         first, second = second, child
+
+
+def test_subset_fill_is_as_full_as_any_subset():
+    rng = random.Random(8)
+    for _ in range(60):
+        lengths = [rng.randrange(1, 40) for _ in range(rng.randrange(1, 11))]
+        items = list(range(len(lengths)))
+        bins = packing.subset_fill(items, lengths, 60)
+        assert sorted(i for b in bins for i in b) == items
+        longest = max(items, key=lambda i: (lengths[i], -i))
+        sums = {lengths[longest]}
+        for i in items:
+            if i != longest:
+                sums |= {s + lengths[i] for s in sums if s + lengths[i] <= 60}
+        assert packing.load(bins[0], lengths) == max(sums)
+
+
+def test_search_beats_packing_longest_first():
+    """Lengths that fill every bin exactly: longest first misses it, the search from random orders finds it."""
+    rng = random.Random(5)
+    lengths = []
+    for _ in range(60):
+        a, b = rng.randrange(300, 1100), rng.randrange(200, 600)
+        lengths += [a, b, 2048 - a - b]
+    plain = packing.best_fit(list(range(len(lengths))), lengths, 2048)
+    found = packing.evolve(lengths, 2048, 1)
+    assert len(found) <= len(plain) and len(found) <= 61
+    assert sorted(i for b in found for i in b) == list(range(len(lengths)))
