@@ -40,7 +40,8 @@ from hearthstream.llm.bpe import Vocabulary
 from hearthstream.llm.common import batch_of, map_batches, stage
 from hearthstream.llm.tokens import encoder, gather
 
-PIECE_BYTES = 2 << 20  # texts aligned at a time
+PIECE_BYTES = 1 << 20  # texts aligned at a time
+CACHE_WORDS = 300_000  # words remembered in each of two generations
 CHUNK_BYTES = 8 << 20  # texts whose pairs are written together
 
 
@@ -66,7 +67,7 @@ class Aligner:
     def __init__(self, first: str, second: str):
         import sentencepiece
 
-        self.a = encoder(first, plain=True)
+        self.a = encoder(first, plain=True, size=CACHE_WORDS)
         vocabulary = Vocabulary(first)
         self.a_bytes = ByteTable([vocabulary.strings.get(i, b"") for i in range(max(vocabulary.strings) + 1)])
         self.b = sentencepiece.SentencePieceProcessor(model_file=second)

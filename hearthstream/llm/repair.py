@@ -2,7 +2,8 @@
 
 Documents are dealt to shards by ranges of their id and written in id order.  A
 shard is a series of blocks; a block holds whole documents.  In a block frequent
-pairs of ids are replaced by nonterminals, over and over; the block stores the
+pairs of ids are replaced by nonterminals, until no pair is left that would pay for
+its rule (``LEAST_COUNT``); the block stores the
 rules, the expansion length of every rule, the final symbols and where each
 document starts, so one document can be decoded without the others.
 
@@ -31,81 +32,123 @@ from hearthstream.llm.tokens import token_bytes
 from hearthstream.session import scratch_dir
 
 BLOCK_IDS = 1 << 20
-ROUNDS = 6
-PAIRS_PER_ROUND = 1500
-LEAST_COUNT = 16  # a rule costs three numbers and must save more
+SHARD_BYTES = 64 << 20
+PAIRS_PER_ROUND = 6000
+# A rule takes 12 bytes and saves two for each occurrence; with fewer occurrences than this
+# the rules of a block would also outgrow two-byte symbols.
+LEAST_COUNT = 16
 HASH_BITS = 18
+EXACT_BELOW = 1 << 16  # so few places are counted by sorting them
 
 
-def _hash(codes: np.ndarray) -> np.ndarray:
-    mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+def _cells(left: np.ndarray, right: np.ndarray, turn: int) -> np.ndarray:
+    """A hash of pairs; another one every turn, so that no two pairs share cells for long."""
+    odd = np.uint32((2654435761 + 2246822507 * turn) & 0xFFFFFFFF | 1)
+    mixed = left * odd
+    mixed ^= mixed >> np.uint32(15)
+    mixed += right
+    mixed *= np.uint32(2246822507)
+    return (mixed >> np.uint32(32 - HASH_BITS)).astype(np.int64)
 
 
-def _frequent_pairs(
-    codes: np.ndarray, hashed: np.ndarray, most: int, least: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent pair codes, and their places by hash.
+def _compatible(left: np.ndarray, right: np.ndarray, most: int) -> list[int]:
+    """Indices of pairs, the first ones first, of which no right symbol is another one's left.
 
-    Pairs are counted by hash; one pair stands for its hash.  No right symbol is
-    another pair's left one, so different chosen pairs never overlap in the sequence.
+    Different chosen pairs then never overlap in the sequence.
     """
-    counts = np.bincount(hashed, minlength=1 << HASH_BITS)
-    frequent = np.flatnonzero(counts >= least)
-    frequent = frequent[np.argsort(-counts[frequent], kind="stable")[: 4 * most]]
-    stands = np.zeros(1 << HASH_BITS, np.int64)
-    stands[hashed] = codes
     chosen, lefts, rights = [], set(), set()
-    for code in stands[frequent].tolist():
-        a, b = code >> 32, code & 0xFFFFFFFF
+    for k, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
         if a in rights or b in lefts or a == b and (a in lefts or b in rights):
             continue
-        chosen.append(code)
+        chosen.append(k)
         lefts.add(a)
         rights.add(b)
         if len(chosen) == most:
             break
-    pairs = np.array(chosen, np.int64)
-    place = np.full(1 << HASH_BITS, -1, np.int32)
-    place[_hash(pairs)] = np.arange(len(pairs))
-    return pairs, place
+    return chosen
+
+
+def _counted(
+    symbols: np.ndarray, live: np.ndarray, most: int, least: int, turn: int, exact: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Left and right symbols of frequent pairs, commonest first, and the places that stay in question.
+
+    Counting by hash overestimates: it may name a pair that is not frequent, and hide one
+    behind another of its cell, but drops no place of a frequent pair.
+    """
+    if exact:
+        codes = symbols[live].astype(np.uint64) << np.uint64(32) | symbols[live + 1]
+        pairs, group, counts = np.unique(codes, return_inverse=True, return_counts=True)
+        frequent = np.flatnonzero(counts >= least)
+        order = frequent[np.argsort(-counts[frequent], kind="stable")[: 4 * most]]
+        left, right = (pairs[order] >> np.uint64(32)).astype(np.uint32), pairs[order].astype(np.uint32)
+        return left, right, live[counts[group] >= least]
+    cell = _cells(symbols[live], symbols[live + 1], turn)
+    counts = np.bincount(cell, minlength=1 << HASH_BITS)
+    frequent = np.flatnonzero(counts >= least)
+    order = frequent[np.argsort(-counts[frequent], kind="stable")[: 4 * most]]
+    stands = np.zeros(1 << HASH_BITS, np.int64)
+    stands[cell] = live
+    at = stands[order]
+    return symbols[at], symbols[at + 1], live[counts[cell] >= least]
 
 
 def compress(
-    ids: np.ndarray, base: int, rounds: int = ROUNDS, most: int = PAIRS_PER_ROUND,
-    least: int = LEAST_COUNT,
+    ids: np.ndarray, base: int, most: int = PAIRS_PER_ROUND, least: int = LEAST_COUNT
 ) -> dict[str, np.ndarray]:
-    """The grammar of one block of ids below ``base``."""
-    symbols = ids.astype(np.int64)
+    """The grammar of one block of ids below ``base``: no pair that is left occurs ``least`` times.
+
+    A round replaces many pairs that cannot overlap.  Counts of old pairs only fall, so a
+    place whose pair is rare is not looked at again until a neighbour is replaced.
+    """
+    symbols = ids.astype(np.uint32)
     left, right, layers = [], [], []
-    size = base
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        codes = (symbols[:-1] << 32) | symbols[1:]
-        hashed = _hash(codes)
-        pairs, place = _frequent_pairs(codes, hashed, most, least)
-        if not len(pairs):
-            break
-        at = place[hashed]
-        hits = np.flatnonzero(at >= 0)
-        hits = hits[pairs[at[hits]] == codes[hits]]
-        # Hashes overestimate: only pairs that are frequent themselves become rules.
-        often = np.bincount(at[hits], minlength=len(pairs)) >= least
-        hits = hits[often[at[hits]]]
+    size, turn, exact = base, 0, False
+    live = np.arange(max(0, len(symbols) - 1))
+    while len(live):
+        turn += 1
+        exact = exact or len(live) < EXACT_BELOW
+        a, b, live = _counted(symbols, live, most, least, turn, exact)
+        chosen = _compatible(a, b, most)
+        a, b = a[chosen], b[chosen]
+        # Where the chosen pairs stand: one pair for a cell, the others wait for another turn.
+        place = np.full(1 << HASH_BITS, -1, np.int32)
+        place[_cells(a, b, turn)[::-1]] = np.arange(len(a), dtype=np.int32)[::-1]
+        which = place[_cells(symbols[live], symbols[live + 1], turn)]
+        hit = np.flatnonzero(which >= 0)
+        hits, which = live[hit], which[hit]
+        same = (a[which] == symbols[hits]) & (b[which] == symbols[hits + 1])
+        hits, which = hits[same], which[same]
+        often = np.bincount(which, minlength=len(a)) >= least
+        hits, which = hits[often[which]], which[often[which]]
         if not len(hits):
-            break
+            if exact:
+                break
+            exact = True  # the cells named only rare pairs
+            continue
+        exact = False
         # Only a pair of equal symbols can overlap, with itself: every other one of a run.
         starts = np.flatnonzero(np.diff(hits, prepend=-2) != 1)
-        hits = hits[(np.arange(len(hits)) - np.repeat(starts, np.diff(np.append(starts, len(hits))))) % 2 == 0]
+        odd = (np.arange(len(hits)) - np.repeat(starts, np.diff(np.append(starts, len(hits))))) % 2 == 1
+        hits, which = hits[~odd], which[~odd]
         rule = np.cumsum(often) - 1
-        symbols[hits] = size + rule[at[hits]]
-        symbols = np.delete(symbols, hits + 1)
-        pairs = pairs[often]
-        left.append(pairs >> 32)
-        right.append(pairs & 0xFFFFFFFF)
-        size += len(pairs)
+        symbols[hits] = size + rule[which]
+        stay = np.ones(len(symbols), bool)
+        stay[hits + 1] = False
+        asked = np.zeros(len(symbols), bool)
+        asked[live] = True
+        asked[hits] = True
+        asked[hits[hits > 0] - 1] = True
+        # The place before a replaced pair may be the removed half of another one.
+        before = hits[(hits > 1)]
+        asked[before[~stay[before - 1]] - 2] = True
+        symbols, asked = symbols[stay], asked[stay]
+        live = np.flatnonzero(asked[:-1])
+        left.append(a[often].astype(np.int64))
+        right.append(b[often].astype(np.int64))
+        size += int(often.sum())
         layers.append(size - base)
+    symbols = symbols.astype(np.int64)
     rules = np.concatenate(left) if left else np.empty(0, np.int64)
     tails = np.concatenate(right) if right else np.empty(0, np.int64)
     spans = np.ones(size, np.int64)
@@ -196,13 +239,17 @@ def write_token_files(
 ) -> None:
     """Write the ids of all documents, in ascending id order, below ``path``.
 
-    ``base`` is the size of the vocabulary.  Shards are cut at quantiles of the
-    ids, one per shuffle partition; a task holds one block at a time.
+    ``base`` is the size of the vocabulary.  Shards are cut at quantiles of the ids, at
+    least one per shuffle partition and one per ``SHARD_BYTES`` of text, so a task
+    does not grow with the table; it holds one block at a time.
     """
     docs = documents.select(
         F.col(id_column).cast("bigint").alias("id"), F.coalesce(text, F.lit("")).alias("text")
     ).where("id is not null")
-    parts = max(2, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(
+        2, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES)
+    )
     cuts = docs.agg(
         F.percentile_approx("id", [k / parts for k in range(1, parts)], 20 * parts)
     ).first()[0]

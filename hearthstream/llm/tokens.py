@@ -21,7 +21,7 @@ from hearthstream.llm.bpe import irregular
 
 LINES = 500
 # Words of a generation, about 150 bytes each.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 CUT = "\0"
 
 
@@ -156,10 +156,10 @@ class BatchEncoder:
 _encoders: dict[tuple[str, bool], BatchEncoder] = {}
 
 
-def encoder(path: str, plain: bool = False) -> BatchEncoder:
-    """This worker's encoder."""
+def encoder(path: str, plain: bool = False, size: int = CACHE_WORDS) -> BatchEncoder:
+    """This worker's encoder, which remembers ``size`` words in each generation."""
     if (path, plain) not in _encoders:
-        _encoders[path, plain] = BatchEncoder(path, plain=plain)
+        _encoders[path, plain] = BatchEncoder(path, size, plain)
     return _encoders[path, plain]
 
 

@@ -168,3 +168,22 @@ def test_search_beats_packing_longest_first():
     found = packing.evolve(lengths, 2048, 1)
     assert len(found) <= len(plain) and len(found) <= 61
     assert sorted(i for b in found for i in b) == list(range(len(lengths)))
+
+
+@pytest.mark.parametrize("least", [2, 3, 16])
+def test_grammar_goes_on_until_no_pair_pays(least):
+    rng = np.random.default_rng(least)
+    for size in (1, 5, 100, 30_000, 200_000):
+        ids = np.concatenate([rng.zipf(1.2, size) % 3000, np.tile(rng.integers(0, 50, 7), size // 9), np.full(size // 3, 4)])
+        grammar = repair.compress(ids.astype("<u4"), 3000, least=least)
+        s = grammar["symbols"]
+        assert (repair.expand(s, grammar, 3000) == ids).all()
+        counts = {}
+        last = None
+        for k, pair in enumerate(zip(s[:-1].tolist(), s[1:].tolist())):
+            if pair[0] == pair[1] and last == (pair, k - 1):
+                last = None  # overlaps the one before
+                continue
+            counts[pair] = counts.get(pair, 0) + 1
+            last = (pair, k)
+        assert max(counts.values(), default=0) < least
