@@ -2,82 +2,73 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from hearthstream.operators.states import STATE_FIELDS
 
-from hearthstream import schemas
-from hearthstream.operators.keyed import last_wins
-from hearthstream.operators.states import state_change_log
+VALUES = ["state", "last_changed", "last_updated"]
+VALUES_DDL = "state string, last_changed string, last_updated string, polled_at bigint"
+CHANGES_DDL = f"entity_id string, {VALUES_DDL}, old_state struct<{VALUES_DDL.replace(' string', ':string').replace(' bigint', ':bigint')}>"
 
-STATE_COLUMNS = ["entity_id", "state", "last_changed", "last_updated", "polled_at"]
-LAST_STATES_DDL = (
-    "entity_id string, state string, last_changed string, last_updated string, polled_at bigint"
-)
 
+class ChangeProcessor(StatefulProcessor):
+    """Remembers the last state of an entity and reports what differs from it.
 
-# Earlier than any poll.
-BEFORE_ALL = -(1 << 62)
+    Batches follow each other by arrival.  Inside a batch ``order`` decides: the time of
+    the poll, then what the caller adds for equal times.  A poll that comes late
+    is compared with the state known when it arrives, and becomes the known one.
+    """
 
+    def __init__(self, order: list[str]):
+        self.order = order
 
-class LastStates:
-    """The last state of every entity, one snapshot folder per batch."""
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", VALUES_DDL)
 
-    def __init__(self, spark, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        newest = initialState.sort_values("polled_at", kind="stable").iloc[-1]
+        self.last.update(self._values(newest))
 
-    def _fs(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+    @staticmethod
+    def _values(row) -> tuple:
+        return (*(None if pd.isna(row[c]) else row[c] for c in VALUES), int(row["polled_at"]))
 
-    def before(self, batch_id: int) -> DataFrame:
-        """The states as of the batch before; empty at the start."""
-        name = f"{self.path}/batch={batch_id - 1}"
-        fs, path = self._fs(name)
-        if batch_id == 0:
-            return schemas.empty(self.spark, LAST_STATES_DDL)
-        if not fs.exists(path):
-            # Going on without it would report every entity as new.
-            raise FileNotFoundError(f"the states before batch {batch_id} are missing: {name}")
-        return self.spark.read.schema(LAST_STATES_DDL).parquet(name)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # The source bounds a micro-batch, and so the polls of one entity in it.
+        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        known = tuple(self.last.get()) if self.last.exists() else None
+        compared = [VALUES.index(c) for c in STATE_FIELDS]
+        found = []
+        for row in batch.to_dict("records"):
+            now = self._values(row)
+            if known is None or any(now[c] != known[c] for c in compared):
+                found.append((key[0], *now, known and dict(zip([*VALUES, "polled_at"], known, strict=True))))
+            known = now
+        self.last.update(known)
+        if found:
+            yield pd.DataFrame(found, columns=["entity_id", *VALUES, "polled_at", "old_state"])
 
-    def store(self, batch_id: int, states: DataFrame) -> None:
-        states.select(*STATE_COLUMNS).write.mode("overwrite").parquet(
-            f"{self.path}/batch={batch_id}"
-        )
-        fs, path = self._fs(f"{self.path}/batch={batch_id - 3}")
-        fs.delete(path, True)
+    def close(self) -> None:
+        pass
 
 
 def state_change_stream(
-    states: DataFrame, output: str, memory: str, checkpoint: str, chunk: int = 3600
-) -> DataStreamWriter:
-    """Append the changes of each batch of polled states to ``output``.
-
-    Batches follow each other by arrival; inside a batch the time of the poll
-    decides, then the state.  The state before the batch takes part as the first
-    row of each entity whatever the poll times are, so one scan finds the changes
-    inside the batch and at its border, and a late poll has its old state.  A busy
-    entity is scanned in chunks over many tasks.  Each batch owns a folder of
-    the output, which a repeated batch replaces.
+    states: DataFrame, order: list[str] | None = None, known: DataFrame | None = None
+) -> DataFrame:
+    """The changes in a stream of polled states, each with the entity's ``old_state``.
+
+    The last state of an entity is a row of the state store; a batch touches only the
+    entities it has polls of.  ``order`` are columns that order the polls of one batch, by
+    default their time.  ``known`` (entity_id, state, last_changed, last_updated,
+    polled_at) are states to start from.
     """
-    last = LastStates(states.sparkSession, memory)
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        # _at places rows: the known state before all polls of the batch.
-        before = last.before(batch_id).withColumn("_at", F.lit(BEFORE_ALL))
-        rows = batch.select(*STATE_COLUMNS).withColumn("_at", F.col("polled_at"))
-        together = before.unionByName(rows)
-        log = state_change_log(together, ["_at", "state"], F.col("_at"), chunk)
-        changes = log.where(F.col("_at") != BEFORE_ALL)
-        changes.withColumn("old_state", F.col("old_state").dropFields("_at")).drop(
-            "_at"
-        ).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-        latest = last_wins(
-            together, ["entity_id"], F.struct("_at", "state"), STATE_COLUMNS[1:]
-        )
-        last.store(batch_id, latest)
-
-    return states.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-
-
+    columns = ["entity_id", *VALUES, "polled_at"]
+    extra = [c for c in order or [] if c not in columns]
+    return states.select(*columns, *extra).groupBy("entity_id").transformWithStateInPandas(
+        ChangeProcessor(order or ["polled_at"]), CHANGES_DDL, "append", "None",
+        initialState=None if known is None else known.select(*columns).groupBy("entity_id"),
+    )

@@ -129,7 +129,7 @@ def test_state_stream_remembers_across_batches(spark, folder):
     def poll(*states):
         spark.createDataFrame([(e, s, "x", "x", t) for e, s, t in states], ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(ddl).parquet(f"{folder}/in")
-        state_change_stream(stream, f"{folder}/out", f"{folder}/mem", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
+        append(state_change_stream(stream), folder)
         return rows(spark.read.parquet(f"{folder}/out").select("entity_id", "polled_at", "state", "old_state.state"))
 
     assert poll(("a", "1", 10), ("a", "1", 20), ("b", "1", 10)) == [("a", 10, "1", None), ("b", 10, "1", None)]
@@ -154,19 +154,32 @@ def test_climate_commands(spark):
     assert got == [{"temperature": 72}, {"hvac_mode": "heat"}, {"preset_mode": "away"}, {"fan_mode": "on"}, {}, {}, None, None]
 
 
+STATES = "entity_id string, state string, last_changed string, last_updated string, polled_at bigint"
+
+
+def append(changes, folder):
+    changes.writeStream.format("parquet").option("path", f"{folder}/out").option(
+        "checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
+
+
 def test_state_of_a_late_poll_has_its_old_state(spark, folder):
-    from hearthstream.streaming.states import LastStates, state_change_stream
+    for state, second in (("A", 100), ("B", 50), ("B", 60), ("A", 55)):
+        spark.createDataFrame([("e", state, state, "", second)], STATES).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        append(state_change_stream(spark.readStream.schema(STATES).parquet(f"{folder}/in")), folder)
+    log = spark.read.parquet(f"{folder}/out")
+    assert sorted(rows(log.select("polled_at", "state", F.col("old_state.state").alias("old"))), key=repr) == [
+        (100, "A", None), (50, "B", "A"), (55, "A", "B")]
 
-    ddl = "entity_id string, state string, last_changed string, last_updated string, polled_at bigint"
-    for state, second in (("A", 100), ("B", 50)):
-        spark.createDataFrame([("e", state, state, "", second)], ddl).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        stream = spark.readStream.schema(ddl).parquet(f"{folder}/in")
-        state_change_stream(stream, f"{folder}/out", f"{folder}/mem", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
+
+def test_state_stream_orders_equal_times_and_starts_from_known_states(spark, folder):
+    ddl = STATES + ", n int"
+    polls = [("e", "on", "x", "x", 5, 2), ("e", "off", "x", "x", 5, 1), ("e", None, "x", "x", 5, 3), ("f", "on", "x", "x", 1, 1)]
+    spark.createDataFrame(polls, ddl).coalesce(1).write.parquet(f"{folder}/in")
+    known = spark.createDataFrame([("f", "on", "x", "x", 0), ("g", "on", "x", "x", 0)], STATES)
+    append(state_change_stream(spark.readStream.schema(ddl).parquet(f"{folder}/in"), ["polled_at", "n"], known), folder)
     log = spark.read.parquet(f"{folder}/out")
-    assert rows(log.select("state", F.col("old_state.state").alias("old"))) == [("A", None), ("B", "A")]
-    assert rows(LastStates(spark, f"{folder}/mem").before(2), "state") == [("B",)]
-    with pytest.raises(FileNotFoundError):
-        LastStates(spark, f"{folder}/mem").before(9)
+    assert sorted(rows(log.select("entity_id", "state", F.col("old_state.state").alias("old"))), key=repr) == [
+        ("e", "off", None), ("e", "on", "off"), ("e", None, "on")]
 
 
 @pytest.mark.parametrize("body, reason", [

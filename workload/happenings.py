@@ -329,24 +329,23 @@ def state_change_log(spark, sf):
     return log.select("entity_id", "event_id", "state", F.col("old_state.state").alias("old"))
 
 
-@query("STR8, WIN3", """
-SELECT entity_id, polled_at, state, old FROM (
-  SELECT *, lag(state) OVER w AS old, lag(last_changed) OVER w AS oldc FROM (
-    SELECT * FROM st QUALIFY row_number() OVER (PARTITION BY entity_id, polled_at ORDER BY event_id) = 1)
-  WINDOW w AS (PARTITION BY entity_id ORDER BY polled_at))
-WHERE old IS NULL OR old <> state OR oldc <> last_changed""", "st")
+@query("STR8, WIN3", _LOG.replace("event_id, state", "event_id, polled_at, state", 1).replace(
+    "SELECT entity_id, event_id, polled_at", "SELECT entity_id, polled_at", 1), "st")
 def state_changes_streamed(spark, sf):
-    from hearthstream.operators.keyed import first_wins
-
-    states = first_wins(feeds.states(spark, sf), ["entity_id", "polled_at"], F.col("event_id"))
-    inbox = scratch_dir(spark, "inbox")
-    feeds.fill_inbox(states.drop("event_id", "k"), inbox, F.col("polled_at"))
-    stream = spark.readStream.schema(
-        "entity_id string, state string, last_changed string, last_updated string, polled_at bigint"
-    ).option("maxFilesPerTrigger", 1).parquet(inbox)
-    out = scratch_dir(spark, "changes")
-    run = state_change_stream(stream, out, scratch_dir(spark, "last"), scratch_dir(spark, "offsets"), 86400)
-    run.trigger(availableNow=True).start().awaitTermination()
+    """Three groups of polls, with a restart after each; equal times in order of arrival."""
+    states = feeds.states(spark, sf).select(
+        "entity_id", "state", "last_changed", "last_updated", "polled_at", "event_id"
+    )
+    span = states.agg(F.min("polled_at").alias("lo"), F.max("polled_at").alias("hi")).first()
+    group = F.floor((F.col("polled_at") - span.lo) * 3 / (span.hi - span.lo + 1))
+    inbox, out, offsets = (scratch_dir(spark, x) for x in ("inbox", "changes", "offsets"))
+    for g in range(3):
+        states.where(group == g).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(states.schema).parquet(inbox)
+        changes = state_change_stream(stream, ["polled_at", "event_id"])
+        changes.writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", offsets
+        ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).select(
         "entity_id", "polled_at", "state", F.col("old_state.state").alias("old")
     )
