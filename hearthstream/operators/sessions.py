@@ -186,6 +186,13 @@ def unarchived(matches: DataFrame, archived: DataFrame) -> DataFrame:
     return absent_from(matches, archived, ["detection_type", "camera", "start_sec", "ts"])
 
 
+def archive_target() -> Column:
+    """Path of an archived frame below the archive."""
+    return F.concat_ws(
+        "/", F.lit("smart"), "detection_type", "camera", "start_sec", F.concat("ts", F.lit(".jpg"))
+    )
+
+
 def archive_rows(matches: DataFrame) -> DataFrame:
     """Archive index rows: type, camera, start second, frame second, target path."""
     keep = [c for c in ("path", "content") if c in matches.columns]
@@ -194,14 +201,10 @@ def archive_rows(matches: DataFrame) -> DataFrame:
         "camera",
         millis_to_seconds(F.col("start_ms")).alias("start_sec"),
         "ts",
-        F.concat(
-            archive_base(F.col("detection_type"), F.col("camera"), F.col("start_ms")),
-            F.lit("/"),
-            F.col("ts").cast("string"),
-            F.lit(".jpg"),
-        ).alias("target"),
         *keep,
-    ).dropDuplicates(["detection_type", "camera", "start_sec", "ts"])
+    ).withColumn("target", archive_target()).dropDuplicates(
+        ["detection_type", "camera", "start_sec", "ts"]
+    )
 
 
 def retain(frames: DataFrame, now: Column, max_age_seconds: int = FRAME_SECONDS) -> DataFrame:
@@ -216,3 +219,20 @@ def retain_archive(sessions: DataFrame, now: Column, days: int = ARCHIVE_DAYS) -
 
 def with_frame_date(frames: DataFrame) -> DataFrame:
     return frames.withColumn("dt", record_date(F.col("ts")))
+
+
+def with_frame_slot(frames: DataFrame, seconds: int = FRAME_SECONDS) -> DataFrame:
+    """Add ``slot``, the number of the half hour (or ``seconds``) of a frame, to partition by."""
+    return frames.withColumn("slot", F.floor(F.col("ts") / seconds))
+
+
+def retained_frames(
+    stored: DataFrame, now: int, max_age_seconds: int = FRAME_SECONDS, seconds: int = FRAME_SECONDS
+) -> DataFrame:
+    """Frames of a table with slots that are not older than ``max_age_seconds``, to the second.
+
+    The slot at the border is filtered; older ones are not opened, whether or not they have
+    been dropped yet.
+    """
+    oldest = now - max_age_seconds
+    return stored.where((F.col("slot") >= oldest // seconds) & (F.col("ts") >= oldest)).drop("slot")

@@ -212,6 +212,26 @@ class Tables:
                     doomed.append("/".join(parts))
         return sorted(doomed)
 
+    def expire_slots(self, table: str, below: int) -> list[str]:
+        """Delete whole partitions ``slot < below``; returns what was deleted."""
+        doomed = [
+            c for c in self._children(table)
+            if c.startswith("slot=") and not c[5:].startswith("__") and int(c[5:]) < below
+        ]
+        for name in doomed:
+            self._delete(table, name)
+        return sorted(doomed)
+
+    def replace_records(self, rows: DataFrame, partitions: list[tuple[str, str | None]]) -> None:
+        """Put ``rows``, staged before, in place of all that the named (kind, day) partitions hold."""
+        rows.hint("rebalance", "kind", "dt").sortWithinPartitions("kind", "dt", "tag_id", "ts").write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "dynamic").partitionBy("kind", "dt").parquet(self.records_path)
+        filled = {(r.kind, r.dt) for r in rows.select("kind", "dt").distinct().collect()}
+        for kind, day in partitions:
+            if (kind, day) not in filled:
+                self._delete("records", f"kind={kind}", f"dt={day or '__HIVE_DEFAULT_PARTITION__'}")
+
     def truncate(self) -> None:
         """Empty facts and dimensions; orphans stay."""
         self._delete("records")

@@ -154,3 +154,33 @@ def test_delete_device_cascade(spark):
     facts = spark.createDataFrame([(1, 9), (2, 9), (1, 8)], "tag_id bigint, ts bigint")
     left = D.delete_device_cascade(devices(spark, 5, 6), t, facts, 5)
     assert [rows(left[0], "lsid"), rows(left[1], "id"), rows(left[2], "tag_id")] == [[(6,)], [(2,)], [(2,)]]
+
+
+def test_deleting_a_device_rewrites_only_its_partitions(spark, folder):
+    import os
+
+    from hearthstream.plans.deletion import delete_device
+
+    def table(ddl, *values):
+        columns = [c.split()[0] for c in ddl.split(", ")]
+        partial = spark.createDataFrame(*values)
+        return schemas.empty(spark, ddl).unionByName(partial, allowMissingColumns=True).select(*columns)
+
+    tables = Tables(spark, folder)
+    tables.replace_dimension("devices", table(schemas.DEVICES_DDL, [(1, 10), (2, 20)], "id bigint, lsid bigint"))
+    tables.replace_dimension("tags", table(schemas.TAGS_DDL, [(1, 1, "a"), (2, 2, "a"), (3, 2, "b")], "id bigint, device_id bigint, tag_name string"))
+    facts = [(1, 5, 1.0, None, "numeric"), (2, 5, 2.0, None, "numeric"), (3, 90000, 3.0, None, "numeric"),
+             (1, 200000, 4.0, None, "numeric"), (3, 5, None, None, "null"), (2, 1 << 50, 5.0, None, "numeric"), (1, 1 << 50, 6.0, None, "numeric")]
+    tables.append_records(spark.createDataFrame(facts, "tag_id bigint, ts bigint, num_value double, text_value string, kind string")
+                          .withColumn("dt", F.when(F.col("ts") < 1 << 40, F.to_date(F.timestamp_seconds("ts")))))
+
+    def files(day):
+        return sorted(os.listdir(f"{folder}/records/kind=numeric/dt={day}"))
+
+    untouched = files("1970-01-03")
+    assert delete_device(tables, 20) == 4
+    left = sorted(map(tuple, tables.records().select("tag_id", "ts", "num_value").collect()))
+    assert left == [(1, 5, 1.0), (1, 200000, 4.0), (1, 1 << 50, 6.0)]
+    assert files("1970-01-03") == untouched and not os.path.exists(f"{folder}/records/kind=null/dt=1970-01-01")
+    assert rows(tables.dimension("tags"), "id") == [(1,)] and rows(tables.dimension("devices"), "lsid") == [(10,)]
+    assert delete_device(tables, 20) == 0

@@ -3,7 +3,7 @@ import time
 from pyspark.sql import functions as F
 
 from hearthstream.operators import sessions as S
-from hearthstream.plans.archive import read_archive, write_archive
+from hearthstream.plans.archive import expire_archive, read_archive, write_archive
 from hearthstream.sources import files
 from hearthstream.sources.tables import Tables
 from hearthstream.streaming.sessions import archive_sessions_stream, with_archive_base
@@ -85,6 +85,32 @@ def test_archive_has_no_double_copies(spark, folder):
     assert rows(S.retain_archive(read_archive(spark, path), F.lit(1500 + 30 * 86400)), "ts") == [(102,)]
 
 
+def test_archive_forgets_whole_sessions_by_their_last_write(spark, folder):
+    import os
+
+    day = 86400
+    spans = [("a", 100, 110), ("b", 500, 510), ("c", day + 5, day + 9), ("d", 3 * day, 3 * day + 5)]
+    s = S.coalesce_sessions(events(spark, *[(i, a, b, a) for i, a, b in spans]))
+    f = spark.createDataFrame([("cam", t, f"p{t}") for _, a, _ in spans for t in (a + 1, a + 2)], "camera string, ts bigint, path string")
+    path = f"{folder}/archive"
+    # The second frame of session b is written late: it keeps the first one.
+    write_archive(f.where("ts <> 502"), s, path, 1000)
+    write_archive(f, s, path, 40 * day, read_archive(spark, path))
+    assert expire_archive(spark, path, 50 * day) == 3
+    assert rows(read_archive(spark, path), "ts", "archived_at") == [(501, 1000), (502, 40 * day)]
+    assert [d for d in os.listdir(path) if d.startswith("dt=")] == ["dt=1970-01-01"]
+    assert expire_archive(spark, path, 50 * day) == 0
+
+
+def test_frames_expire_to_the_second(spark, folder):
+    f = spark.createDataFrame([("c", t, "p") for t in (0, 1799, 1800, 3599, 3600, 5000)], "camera string, ts bigint, path string")
+    S.with_frame_slot(f).write.partitionBy("slot").parquet(f"{folder}/frames")
+    assert Tables(spark, folder).expire_slots("frames", (5400 - 1800) // 1800) == ["slot=0", "slot=1"]
+    stored = spark.read.parquet(f"{folder}/frames")
+    assert rows(S.retained_frames(stored, 5400), "ts") == [(3600,), (5000,)]
+    assert rows(S.retained_frames(stored, 5401), "ts") == [(5000,)]
+
+
 def test_frame_retention_by_row_and_by_day(spark, folder):
     f = spark.createDataFrame([("c", t, "p") for t in (0, 86400, 90000, 200000)], "camera string, ts bigint, path string")
     assert rows(S.retain(f, F.lit(91000)), "ts") == [(200000,), (90000,)]

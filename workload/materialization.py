@@ -17,7 +17,7 @@ from hearthstream.plans.materialize import judge, materialize, points_of
 from hearthstream.plans.materialize import replay_orphans as plans_replay_orphans
 from hearthstream.plans.metadata import apply_catalog, learn_structure_types
 from hearthstream.plans.replay import replay, replay_summary
-from hearthstream.session import scratch_dir
+from hearthstream.session import cut_lineage, scratch_dir
 from hearthstream.sources import files
 from hearthstream.sources.tables import Tables
 from hearthstream.streaming.tables import BatchMetrics, materialize_stream
@@ -506,13 +506,18 @@ def materialize_metrics(spark, sf):
 
 
 @query("SNK10, SET2", """
-SELECT table_name, CAST(count AS BIGINT) AS count FROM (VALUES ('devices', 0), ('tags', 0), ('sensor_catalog', 0), ('records_numeric', 0),
-  ('records_text', 0), ('records_null', 0)) t(table_name, count)""")
+SELECT table_name, CAST(before AS BIGINT) AS before, CAST(0 AS BIGINT) AS after FROM (
+  SELECT 'devices' AS table_name, (SELECT count(*) FROM dev) AS before
+  UNION ALL SELECT 'tags', (SELECT count(*) FROM seen) UNION ALL SELECT 'sensor_catalog', (SELECT count(*) FROM cat)
+  UNION ALL SELECT 'records_' || k, (SELECT count(*) FROM rec WHERE rkind = k)
+  FROM (VALUES ('numeric'), ('text'), ('null')) v(k))""", "rec", "cat")
 def truncate_data(spark, sf):
     tables = _tables(spark, sf, "truncate")
     materialize(feeds.messages(spark, sf), tables, now=feeds.now())
+    before = tables.counts().withColumnRenamed("count", "before")
+    before = cut_lineage(before)
     tables.truncate()
-    return tables.counts()
+    return before.join(tables.counts().withColumnRenamed("count", "after"), "table_name")
 
 
 @query("SNK7", """

@@ -9,6 +9,9 @@ from hearthstream.operators import audit as A
 from hearthstream.operators import dimensions as D
 from hearthstream.operators.envelope import with_header_columns
 from hearthstream.plans import reports
+from hearthstream.plans.deletion import delete_device
+from hearthstream.session import scratch_dir
+from hearthstream.sources.tables import Tables
 from workload import feeds
 from workload.registry import query
 from workload.twins import NUMERIC_TEXT
@@ -40,12 +43,11 @@ def device_list(spark, sf):
 
 @query("AGG3, JN13", """
 SELECT dev.lsid, category, count(s.field) AS tag_count
-FROM dev LEFT JOIN (SELECT * FROM seen WHERE lsid % 2 = 0) s ON dev.lsid = s.lsid
+FROM dev LEFT JOIN seen s ON dev.lsid = s.lsid
 GROUP BY dev.lsid, category ORDER BY dev.lsid""", "seen")
 def tags_per_device(spark, sf):
     devices, tags, _, _ = _dims(spark, sf)
-    # Odd devices lose their tags here, so that zero counts occur.
-    return reports.tags_per_device(devices, tags.where("device_id % 2 = 0"))
+    return reports.tags_per_device(devices, tags)
 
 
 @query("AGG4, JN14", """
@@ -140,14 +142,15 @@ def unit_coverage(spark, sf):
 
 @query("AGG19", """
 SELECT count(DISTINCT lsid) AS sensors, count(DISTINCT hts // 86400) AS days, count(*) AS messages,
-  CAST(sum(length(event_type)) AS BIGINT) AS bytes,
+  CAST(sum(strlen(props)) AS BIGINT) AS bytes,
   round(count(DISTINCT lsid) * (count(*) / count(DISTINCT lsid) / count(DISTINCT hts // 86400)) * 365
-    * (sum(length(event_type)) / count(*)) * 0.5 / 1e6, 6) AS mb_per_year
-FROM m""", "m")
+    * (sum(strlen(props)) / count(*)) * 0.5 / 1e6, 6) AS mb_per_year
+FROM m JOIN (SELECT event_id, props FROM events) USING (event_id)""", "m")
 def storage_projection(spark, sf):
-    messages = with_header_columns(feeds.messages(spark, sf))
-    # The topic's last part stands in for the body, whose bytes SQL cannot see.
-    sized = messages.withColumn("value", F.substring_index("topic", ".", -1).cast("binary"))
+    # The bodies are the JSON documents of the table, as they are.
+    events = feeds.table(spark, sf, "events").select("event_id", F.col("props").cast("binary").alias("value"))
+    messages = with_header_columns(feeds.messages(spark, sf)).drop("value")
+    sized = messages.join(events, F.col("offset") == F.col("event_id"))
     return A.storage_projection(sized, 0.5).withColumn(
         "mb_per_year", F.round("mb_per_year", 6)
     )
@@ -195,15 +198,33 @@ def metric_deltas(spark, sf):
 @query("SRC11", """
 SELECT s.lsid AS device_id, s.field AS tag_name, s.data_type FROM seen s""", "seen")
 def load_tags(spark, sf):
-    _, tags, _, _ = _dims(spark, sf)
-    return tags.select("device_id", "tag_name", "data_type")
+    tables = Tables(spark, scratch_dir(spark, "tags"))
+    tables.replace_dimension("tags", _dims(spark, sf)[1])
+    return tables.dimension("tags").select("device_id", "tag_name", "data_type")
 
 
 @query("SRC11", """
 SELECT sensor_type, structure AS data_structure_type, field AS field_name, field_type, units, description
 FROM cat""", "cat")
 def load_catalog(spark, sf):
+    tables = Tables(spark, scratch_dir(spark, "catalog"))
+    tables.replace_dimension("sensor_catalog", feeds.catalog(spark, sf))
     columns = [c.split()[0] for c in schemas.CATALOG_DDL.split(", ")][1:7]
-    return feeds.catalog(spark, sf).select(
+    return tables.dimension("sensor_catalog").select(
         *[F.col(c).cast("bigint").alias(c) if c == "sensor_type" else F.col(c) for c in columns]
     )
+
+
+@query("JN21", """
+SELECT 'devices' AS table_name, count(*) AS count FROM dev WHERE lsid <> 8
+UNION ALL SELECT 'tags', count(*) FROM seen WHERE lsid <> 8
+UNION ALL SELECT 'records_' || k, (SELECT count(*) FROM rec WHERE rkind = k AND lsid <> 8)
+FROM (VALUES ('numeric'), ('text'), ('null')) v(k)""", "rec")
+def delete_stored_device(spark, sf):
+    devices, tags, records, _ = _dims(spark, sf)
+    tables = Tables(spark, scratch_dir(spark, "deletion"))
+    tables.replace_dimension("devices", devices)
+    tables.replace_dimension("tags", tags)
+    tables.append_records(records)
+    delete_device(tables, 8)
+    return tables.counts().where("table_name <> 'sensor_catalog'")

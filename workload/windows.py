@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hearthstream.operators import cameras as C
 from hearthstream.operators import sessions as S
-from hearthstream.plans.archive import read_archive, write_archive
+from hearthstream.plans.archive import expire_archive, read_archive, write_archive
 from hearthstream.session import scratch_dir
 from hearthstream.sources import files
 from hearthstream.streaming.sessions import archive_sessions_stream
@@ -100,12 +100,30 @@ def retain_frames(spark, sf):
     return S.retain(feeds.frames(spark, sf), F.lit(1706400000), 86400)
 
 
-@query("STR10", """
-SELECT camera, session_no FROM sess WHERE end_ms // 1000 >= 1706400000 - 10 * 86400""", "sess")
+@query("STR10, SNK8", """
+SELECT detection_type, camera, start_ms // 1000 AS start_sec, count(DISTINCT ts) AS frames FROM fis
+GROUP BY ALL HAVING max(ts) >= 1706400000 - 10 * 86400""", "fis")
 def retain_archive(spark, sf):
+    """Frames archived as they come; then sessions go that had none for ten days."""
+    path = scratch_dir(spark, "archive")
     sessions = S.coalesce_sessions(feeds.session_events(spark, sf), chunk_seconds=86400)
-    aged = sessions.withColumn("archived_at", F.floor(F.col("end_ms") / 1000))
-    return S.retain_archive(aged, F.lit(1706400000), 10).select("camera", "session_no")
+    write_archive(feeds.frames(spark, sf), sessions, path, F.col("ts"))
+    expire_archive(spark, path, 1706400000, 10)
+    return read_archive(spark, path).groupBy("detection_type", "camera", "start_sec").agg(
+        F.count(F.lit(1)).alias("frames")
+    )
+
+
+@query("STR9, STR11", "SELECT camera, ts, path FROM fr WHERE ts >= 1706400000 - 1800", "fr")
+def expire_frames(spark, sf):
+    """Frames stored by half hours; those older than half an hour go, to the second."""
+    from hearthstream.sources.tables import Tables
+
+    tables = Tables(spark, scratch_dir(spark, "frames"))
+    path = f"{tables.root}/frames"
+    S.with_frame_slot(feeds.frames(spark, sf)).hint("rebalance", "slot").write.partitionBy("slot").parquet(path)
+    tables.expire_slots("frames", (1706400000 - 1800) // 1800)
+    return S.retained_frames(spark.read.parquet(path), 1706400000).select("camera", "ts", "path")
 
 
 @query("STR9, SNK1", """
