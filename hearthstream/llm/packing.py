@@ -37,7 +37,7 @@ CAPACITY = 2048
 SHARD_PIECES = 4096
 ISLANDS = 2
 EPOCHS = 2
-GENERATIONS = 12
+GENERATIONS = 8
 POPULATION = 4
 SUBSET_BINS = 160  # bins that are opened at a time to be filled by subset sums
 REOPEN = 0.97  # bins filled less than this are packed again on the next level
@@ -108,8 +108,10 @@ def subset_fill(items: list[int], lengths: list[int], capacity: int) -> Bins:
     left = sorted(items, key=lambda x: (-lengths[x], x))
     bins: Bins = []
     while left:
-        first, rest = left[0], left[1:]
+        first = left[0]
         room = capacity - lengths[first]
+        # Longest first; what is longer than the room cannot help.
+        rest = left[max(1, bisect_left(left, -room, key=lambda i: -lengths[i])) :]
         mask = (1 << (room + 1)) - 1
         sums = [1]
         for i in rest:
@@ -123,7 +125,7 @@ def subset_fill(items: list[int], lengths: list[int], capacity: int) -> Bins:
                 taken.append(rest[k - 1])
                 total -= lengths[rest[k - 1]]
         gone = set(taken)
-        left = [i for i in rest if i not in gone]
+        left = [i for i in left if i not in gone]
         bins.append(taken)
     return bins
 
