@@ -32,7 +32,7 @@ from hearthstream.llm.tokens import token_bytes
 from hearthstream.session import scratch_dir
 
 BLOCK_IDS = 1 << 20
-SHARD_BYTES = 64 << 20
+SHARD_DOCUMENTS = 20_000
 PAIRS_PER_ROUND = 6000
 # A rule takes 12 bytes and saves two for each occurrence; with fewer occurrences than this
 # the rules of a block would also outgrow two-byte symbols.
@@ -240,15 +240,15 @@ def write_token_files(
     """Write the ids of all documents, in ascending id order, below ``path``.
 
     ``base`` is the size of the vocabulary.  Shards are cut at quantiles of the ids, at
-    least one per shuffle partition and one per ``SHARD_BYTES`` of text, so a task
-    does not grow with the table; it holds one block at a time.
+    least one per shuffle partition and one per ``SHARD_DOCUMENTS``, so a task does not
+    grow with the table; it holds one block at a time.
     """
     docs = documents.select(
         F.col(id_column).cast("bigint").alias("id"), F.coalesce(text, F.lit("")).alias("text")
     ).where("id is not null")
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(
-        2, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES)
+        2, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        -(-docs.count() // SHARD_DOCUMENTS),
     )
     cuts = docs.agg(
         F.percentile_approx("id", [k / parts for k in range(1, parts)], 20 * parts)

@@ -21,7 +21,7 @@ from hearthstream.llm.bpe import irregular
 
 LINES = 500
 # Words of a generation, about 150 bytes each.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 450_000
 CUT = "\0"
 
 

@@ -7,7 +7,10 @@ number of texts per pattern of votes.  The posterior of each pattern then labels
 bounded sample, on which a linear scorer over hashed word shapes is trained, and
 the scorer judges every text.
 
-Defined results: null, empty and very short texts get no bad vote and are kept
+Bad votes need ``SHORT`` words, those on marks and repeats five, those on how often words
+occur forty.
+
+Defined results: null, empty and shorter texts get no bad vote and are kept
 unless their shapes speak against them; rows without an id are left out; repeated
 rows are judged alike; the empty table gives the empty table.
 """
@@ -30,7 +33,10 @@ from hearthstream.llm.common import batch_of, map_batches, stage, texts_of, with
 DIMENSIONS = 1 << 16
 SAMPLE = 20_000  # most texts the scorer is trained on
 GOOD, BAD, SILENT = 1, -1, 0
-SHORT = 16  # texts of fewer words say too little for a bad vote
+# Texts of fewer words say too little for a bad vote: a number or a name weighs too much in
+# them.  Marks behind words speak earlier.
+SHORT = 16
+SHORTEST = {"marks": 5, "repeats": 5}
 
 _CLASS = bytes(
     ord("X") if 65 <= b <= 90 else ord("9") if 48 <= b <= 57
@@ -119,7 +125,8 @@ LABELLERS = {
 
 def votes(p: Profile) -> list[int]:
     return [
-        SILENT if p.n < SHORT and v == BAD else v for v in (f(p) for f in LABELLERS.values())
+        SILENT if v == BAD and p.n < SHORTEST.get(name, SHORT) else v
+        for name, v in ((name, f(p)) for name, f in LABELLERS.items())
     ]
 
 

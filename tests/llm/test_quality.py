@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from hearthstream.llm import weak_label
 from tests.llm import cases
@@ -33,3 +34,12 @@ def test_label_model_recovers_accuracies():
     good, accuracy = weak_label.fit_label_model(patterns, counts)
     assert np.abs(accuracy - right).max() < 0.05
     assert ((good[inverse] >= 0.5) == truth).mean() > 0.94
+
+
+def test_short_junk_is_found_and_short_prose_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    short = docs.withColumn("n", F.size(F.split(F.trim("text"), r"\s+"))).where("n between 5 and 15").select("doc_id")
+    got = weak_label.judge_quality(docs).join(short, "doc_id").join(labels, "doc_id").collect()
+    bad, good = [[not r.kept for r in got if r.quality == q] for q in (0, 1)]
+    assert len(bad) >= 9 and np.mean(bad) >= 0.85 and np.mean(good) < 0.02, (bad, np.mean(good))
