@@ -136,17 +136,58 @@ def upsert_devices(spark, sf):
     )
 
 
-@query("STR2, SNK3", _UPSERTED, "m")
-def metadata_streamed(spark, sf):
+def _metadata_twin() -> str:
+    """Devices after three batches: each upserts its devices, then its stations claim theirs."""
+    parts = [
+        "span AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM m)",
+        f"r AS (SELECT *, (off - lo) * 3 // (hi - lo + 1) AS g FROM ({_DEVICE_ROWS}), span)",
+        "s AS (SELECT event_id AS off, user_id % 3 AS sid, 'station ' || CAST(event_id AS VARCHAR) AS name, "
+        "(event_id - lo) * 3 // (hi - lo + 1) AS g FROM m, span WHERE event_id % 20 = 1)",
+    ]
+    for g in range(3):
+        before = f"UNION ALL SELECT * FROM b{g - 1} WHERE lsid NOT IN (SELECT lsid FROM u{g})" if g else ""
+        parts += [
+            f"u{g} AS (SELECT * EXCLUDE (off, g, lo, hi) FROM r WHERE g = {g} "
+            "QUALIFY row_number() OVER (PARTITION BY lsid ORDER BY off DESC) = 1)",
+            f"a{g} AS (SELECT *, CAST(NULL AS BIGINT) AS station_id, CAST(NULL AS VARCHAR) AS station_name FROM u{g} {before})",
+            f"b{g} AS (SELECT a.* REPLACE (CASE WHEN l.sid IS NULL THEN station_id_uuid END AS station_id_uuid, "
+            "coalesce(l.sid, station_id) AS station_id, coalesce(l.name, station_name) AS station_name) "
+            f"FROM a{g} a LEFT JOIN (SELECT sid, arg_max(name, off) AS name FROM s WHERE g = {g} GROUP BY sid) l "
+            f"ON coalesce(a.station_id, (SELECT arg_min(sid, off) FROM s WHERE g = {g})) = l.sid)",
+        ]
+    return f"WITH {', '.join(parts)}\nSELECT * FROM b2"
+
+
+def _metadata_run(spark, sf) -> Tables:
+    """All metadata messages through the stream in three groups, with a restart after each."""
     tables = Tables(spark, scratch_dir(spark, "metadata"))
-    inbox = scratch_dir(spark, "inbox")
-    # Device messages only: stations would act on devices between the two batches.
-    devices = D.split_metadata(metadata_messages(spark, sf)).devices.drop("doc")
-    feeds.fill_inbox(devices, inbox, F.col("offset"))
-    stream = files.read_envelope_files(spark, inbox, stream=True, max_files_per_trigger=1)
-    run = metadata_stream(stream, tables, scratch_dir(spark, "offsets"))
-    run.trigger(availableNow=True).start().awaitTermination()
-    return _device_view(tables.dimension("devices"))
+    messages = metadata_messages(spark, sf)
+    span = messages.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    group = F.floor((F.col("offset") - span.lo) * 3 / (span.hi - span.lo + 1))
+    inbox, offsets = scratch_dir(spark, "inbox"), scratch_dir(spark, "offsets")
+    for g in range(3):
+        messages.where(group == g).write.mode("append").parquet(inbox)
+        stream = files.read_envelope_files(spark, inbox, stream=True)
+        run = metadata_stream(stream, tables, offsets)
+        run.trigger(availableNow=True).start().awaitTermination()
+    return tables
+
+
+@query("STR2, SNK3, JN15", _metadata_twin(), "m")
+def metadata_streamed(spark, sf):
+    return _device_view(
+        _metadata_run(spark, sf).dimension("devices"),
+        F.col("station_id").cast("bigint").alias("station_id"),
+        F.nullif("station_name", F.lit("")).alias("station_name"),
+    )
+
+
+@query("STR2, SNK6", """
+SELECT CASE event_id % 20 WHEN 2 THEN 'failed to parse metadata: not a JSON object'
+  ELSE 'missing or invalid lsid in metadata' END AS reason, event_id AS off
+FROM events WHERE event_id % 20 IN (2, 3)""")
+def metadata_dead_letters(spark, sf):
+    return _metadata_run(spark, sf).orphans(["reason"]).select("reason", F.col("offset").alias("off"))
 
 
 # ---- stations -----------------------------------------------------------
