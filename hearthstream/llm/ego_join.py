@@ -11,14 +11,20 @@ one row per linked vector, its number of links and the smallest vector of its
 group there, never a list of pairs, so a cluster with a third of all vectors costs
 comparisons but no rows.
 
+Interval pairs are dealt out in blocks of neighbouring intervals, so an interval travels
+once for each block and not once for each pair.
+
 Defined results: vectors that are null, empty, zero or hold null or non-finite
-components, and vectors of another length than most, have no links; rows without
-an id are left out; an id that occurs with several vectors is one node; the empty
+components have no links; vectors of different lengths are not linked with each
+other, each length is joined for itself; very large and very small components count by their
+ratio to the largest one; rows without an id are left out; an id that occurs with several vectors is one node; the empty
 table gives the empty table.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +36,7 @@ from hearthstream.llm.components import components
 AXES = 8  # grid cells are cut on so many leading axes
 BOX_AXES = 24  # bounding boxes cover so many
 INTERVAL = 4096
+BLOCK = 8  # most intervals of a side that a task holds
 LEAF = 128
 SLACK = 1e-9
 
@@ -123,8 +130,10 @@ def _plain(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
                 x = None
                 if v.is_valid and len(v.values) and not v.values.null_count:
                     x = v.values.to_numpy(zero_copy_only=False).astype("<f8")
-                    norm = (x * x).sum()
-                    x = x if np.isfinite(norm) and norm > 0 else None
+                    most = np.abs(x).max()
+                    x = x if np.isfinite(most) and most > 0 else None
+                    if x is not None and not 1e-100 < most < 1e100:
+                        x = x / most  # squares would overflow or vanish
                 raws.append(None if x is None else x.tobytes())
                 dims.append(0 if x is None else len(x))
             yield batch_of(_PLAIN, [batch.column(0).cast(pa.int64()), raws, dims])
@@ -236,93 +245,107 @@ def _near_intervals(intervals: DataFrame, reach: float, epsilon: float) -> DataF
     return left.join(right, "cell").where("a <= b").where(apart <= reach).select("a", "b").distinct()
 
 
-def _links(pairs: DataFrame, intervals: DataFrame, axes: np.ndarray, dim: int, cosine: float) -> DataFrame:
-    """Rows (rep, n, part): links of a vector in one interval pair, and its group there."""
+def _links(
+    pairs: DataFrame, intervals: DataFrame, axes: np.ndarray, dim: int, cosine: float, block: int
+) -> DataFrame:
+    """Rows (rep, n, part): links of a vector in one interval pair, and its group there.
+
+    Pairs of ``block`` by ``block`` neighbouring intervals meet in one group, with each
+    of their intervals once.
+    """
     box = axes[:, : min(BOX_AXES, dim)]
     schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("part", pa.int64())])
 
-    def side(name: str) -> DataFrame:
-        return intervals.select(
-            F.col("interval").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("reps", "weights", "data")]
-        )
-
     def unpack(reps: bytes, weights: bytes, data: bytes) -> tuple[np.ndarray, Interval]:
         ids = np.frombuffer(reps, "<i8")
         kind = "<f4" if len(data) == 4 * dim * len(ids) else "<f8"
         vectors = np.frombuffer(data, kind).reshape(-1, dim).astype(np.float64)
         return ids, Interval(vectors, box, np.frombuffer(weights, "<i8"))
 
-    def work(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = [batch.column(c)[k].as_py() for c in range(batch.num_columns)]
-                same = row[0] == row[1]
-                ids_a, left = unpack(*row[2:5])
-                ids_b, right = (ids_a, left) if same else unpack(*row[5:8])
-                n_a, n_b, x, y = join_intervals(left, right, same, cosine)
-                ids = np.concatenate([ids_a, ids_b])
-                n = np.concatenate([n_a, n_b])
-                if same:
-                    half = len(ids_a)
-                    n = np.concatenate([n_a + n_b, np.zeros(half, np.int64)])
-                    x, y = x % half, y % half
-                # Groups by the smallest id, not by the place in the sequence.
-                order = np.argsort(ids, kind="stable")
-                place = np.empty(len(ids), np.int64)
-                place[order] = np.arange(len(ids))
-                group = np.empty(len(ids), np.int64)
-                group[order] = local_groups(len(ids), place[x], place[y])
-                some = np.flatnonzero(n)
-                yield batch_of(
-                    schema,
-                    [pa.array(ids[some]), pa.array(n[some]), pa.array(ids[order][group[some]])],
-                )
-
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", "reps_a", "weights_a", "data_a", "reps_b", "weights_b", "data_b"
+    def joined(ids_a, left, ids_b, right, same) -> pa.RecordBatch:
+        n_a, n_b, x, y = join_intervals(left, right, same, cosine)
+        ids = np.concatenate([ids_a, ids_b])
+        n = np.concatenate([n_a, n_b])
+        if same:
+            half = len(ids_a)
+            n = np.concatenate([n_a + n_b, np.zeros(half, np.int64)])
+            x, y = x % half, y % half
+        # Groups by the smallest id, not by the place in the sequence.
+        order = np.argsort(ids, kind="stable")
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        group = np.empty(len(ids), np.int64)
+        group[order] = local_groups(len(ids), place[x], place[y])
+        some = np.flatnonzero(n)
+        return batch_of(
+            schema, [pa.array(ids[some]), pa.array(n[some]), pa.array(ids[order][group[some]])]
+        )
+
+    def work(key, todo: pa.Table, held: pa.Table) -> pa.Table:
+        rows = {r["interval"]: unpack(r["reps"], r["weights"], r["data"]) for r in held.to_pylist()}
+        out = [
+            joined(*rows[a], *rows[b], a == b)
+            for a, b in sorted(zip(todo.column("a").to_pylist(), todo.column("b").to_pylist(), strict=True))
+        ]
+        return pa.Table.from_batches(out, schema)
+
+    block_of = [F.floor(F.col(c) / block).cast("int").alias(f"block_{c}") for c in "ab"]
+    dealt = pairs.select("a", "b", *block_of)
+    keys = ["block_a", "block_b"]
+    needed = dealt.select(*keys, F.explode(F.array("a", "b")).alias("interval")).distinct()
+    # Other names on this side: both come from the same pairs.
+    held = needed.join(intervals.select("interval", "reps", "weights", "data"), "interval").select(
+        F.col("block_a").alias("held_a"), F.col("block_b").alias("held_b"), "interval", "reps", "weights", "data"
+    )
+    return dealt.groupBy(*keys).cogroup(held.groupBy("held_a", "held_b")).applyInArrow(
+        work, "rep bigint, n bigint, part bigint"
     )
-    return map_batches(joined, work, "rep bigint, n bigint, part bigint")
 
 
-def similar_vectors(
-    vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", cosine: float = 0.95
-) -> DataFrame:
-    """Per vector: ``n_links``, ``component_id`` and ``kept``."""
-    spark = vectors.sparkSession
-    rows = stage(_plain(vectors, id_column, vector), "vectors")
-    most = rows.where("dim > 0").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    alone = F.col("id")
-    if most is None:
-        return rows.select(
-            F.col("id").alias(id_column), F.lit(0).cast("bigint").alias("n_links"),
-            alone.alias("component_id"), F.lit(True).alias("kept"),
-        )
-    dim = most.dim
-    usable = rows.where(F.col("dim") == dim)
-    classes = stage(
-        usable.groupBy("raw").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m")), "classes"
-    )
+def _classes_with_links(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
+    """(dim, raw, n_links, component) of the distinct vectors of one length."""
     axes = principal_axes(classes, dim)
     reach = 2 - 2 * cosine + SLACK
     epsilon = float(np.sqrt(reach))
     intervals = stage(_intervals(_grid_order(classes, axes, dim, epsilon), axes, dim), "intervals")
     pairs = stage(_near_intervals(intervals, reach, epsilon), "pairs")
-    # A pair is much work and few bytes: spread the pairs over the cluster.
-    slots = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    links = stage(_links(pairs.repartition(slots), intervals, axes, dim, cosine), "links")
+    # Blocks only where there are enough of them to keep a cluster busy.
+    block = max(1, min(BLOCK, intervals.count() // 16))
+    links = stage(_links(pairs, intervals, axes, dim, cosine, block), "links")
     groups = components(links.select(F.col("rep").alias("a"), F.col("part").alias("b")))
     counts = links.groupBy("rep").agg(F.sum("n").alias("n"))
-    of_class = (
+    return (
         classes.join(counts, "rep", "left")
         .join(groups, F.col("rep") == F.col("node"), "left")
         .select(
-            "raw", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
+            F.lit(dim).alias("dim"), "raw",
+            (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
             F.coalesce("component", "rep").alias("component"),
         )
     )
-    return rows.join(
-        of_class, (rows["raw"] == of_class["raw"]) & (rows["dim"] == dim), "left"
-    ).select(
+
+
+def similar_vectors(
+    vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", cosine: float = 0.95
+) -> DataFrame:
+    """Per vector: ``n_links``, ``component_id`` and ``kept``."""
+    rows = stage(_plain(vectors, id_column, vector), "vectors")
+    classes = stage(
+        rows.where("dim > 0").groupBy("dim", "raw").agg(
+            F.min("id").alias("rep"), F.count(F.lit(1)).alias("m")
+        ),
+        "classes",
+    )
+    # One join for each length of vectors that occurs.
+    lengths = [r.dim for r in classes.select("dim").distinct().orderBy("dim").collect()]
+    parts = [_classes_with_links(classes.where(F.col("dim") == d).drop("dim"), d, cosine) for d in lengths]
+    if not parts:
+        return rows.select(
+            F.col("id").alias(id_column), F.lit(0).cast("bigint").alias("n_links"),
+            F.col("id").alias("component_id"), F.lit(True).alias("kept"),
+        )
+    of_class = reduce(DataFrame.unionByName, parts)
+    return rows.join(of_class, ["dim", "raw"], "left").select(
         F.col("id").alias(id_column),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
         F.coalesce("component", "id").alias("component_id"),

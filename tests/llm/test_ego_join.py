@@ -1,15 +1,17 @@
 import numpy as np
 
+from hearthstream.llm import ego_join
 from hearthstream.llm.ego_join import Interval, join_intervals, similar_vectors
 
 
 def brute(rows, cosine=0.95):
     ok = {}
     for i, v in rows:
-        if v and all(x is not None and np.isfinite(x) for x in v) and len(v) == 8 and any(v):
-            ok[i] = np.array(v) / np.sqrt(np.dot(v, v))
+        if v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            w = np.array(v) / np.abs(v).max()
+            ok[i] = w / np.sqrt(np.dot(w, w))
     ids = sorted(ok)
-    near = {i: [j for j in ids if j != i and ok[i] @ ok[j] >= cosine] for i in ids}
+    near = {i: [j for j in ids if j != i and len(ok[i]) == len(ok[j]) and ok[i] @ ok[j] >= cosine] for i in ids}
     out = {}
     for i, _ in rows:
         seen, todo = {i}, [i]
@@ -43,6 +45,25 @@ def test_cases(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.collect())
 
 
+def test_rarer_lengths_and_extreme_sizes_are_linked(spark):
+    rng = np.random.default_rng(9)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(40)]
+    rows += [(50, [1.0, 2.0]), (51, [1.0, 2.0]), (52, [2.0, 4.1]), (53, [-1.0, 2.0])]
+    rows += [(60, [3e300] * 8), (61, [1e-300] * 8), (62, [1.0] * 8), (63, [5e-324] + [0.0] * 7), (64, [1.0] + [0.0] * 7)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in similar_vectors(df.repartition(3)).collect()}
+    assert found == brute(rows) and found[52] == (2, 50) and found[61] == (2, 60) and found[64] == (1, 63)
+
+
+def test_blocks_of_intervals_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = [(k, (rng.normal(size=6) * [3, 1, 1, 1, 1, 1]).tolist()) for k in range(900)]
+    monkeypatch.setattr(ego_join, "INTERVAL", 16)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in similar_vectors(df).collect()}
+    assert found == brute(rows)
+
+
 def test_nothing_usable(spark):
     schema = "vec_id bigint, embedding array<float>, label int"
     assert similar_vectors(spark.createDataFrame([], schema)).count() == 0
