@@ -209,14 +209,18 @@ def payload_hash(document: Column) -> Column:
 
 
 def changed_payloads(
-    payloads: DataFrame, keys: list[str], order: str, document: str, chunk_seconds: int = 86400
+    payloads: DataFrame, keys: list[str], order: str | list[str], document: str, chunk_seconds: int = 86400
 ) -> DataFrame:
-    """Payloads that differ from the previous one of the same key."""
+    """Payloads that differ from the previous one of the same key.
+
+    ``order`` is a time in seconds, or that and what orders equal times.
+    """
+    order = [order] if isinstance(order, str) else order
     hashed = with_chunk(
         payloads.withColumn("payload_hash", payload_hash(F.col(document))),
-        F.col(order),
+        F.col(order[0]),
         chunk_seconds,
     )
-    with_previous = previous_row(hashed, keys, [order], ["payload_hash"], "_previous")
+    with_previous = previous_row(hashed, keys, order, ["payload_hash"], "_previous")
     changed = ~F.col("_previous.payload_hash").eqNullSafe(F.col("payload_hash"))
     return with_previous.where(changed).drop("_previous", "_chunk")

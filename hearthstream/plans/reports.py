@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hearthstream.functions import epoch_to_timestamp
 from hearthstream.operators.orphans import pending_orphans
 from hearthstream.operators.records import records_view
+from hearthstream.session import cut_lineage
 from hearthstream.sources.tables import Tables
 
 
@@ -110,14 +111,19 @@ def recent_records(
 ) -> DataFrame:
     """The latest n records, of all devices or of one.
 
-    Ties are broken by device, tag and kind, so the answer is determined.
+    Ties are broken by device, tag and kind, so the answer is determined.  The time of the
+    n-th record comes first, from tag numbers and times alone, by a top-n in every task;
+    only records at least as late, ties included, meet their labels.
     """
     if lsid is not None:
         devices = devices.where(F.col("lsid") == lsid)
     labels = _labels(tags, devices)
+    known = labels.select("tag_id")
+    newest = records.select("tag_id", "ts").join(known, "tag_id", "left_semi").select("ts")
+    last = newest.orderBy(F.desc("ts")).limit(n).agg(F.min("ts")).scalar()
     # Values are put into text for the n chosen records only.
     chosen = (
-        records.join(labels, "tag_id")
+        records.where(F.col("ts") >= last).join(labels, "tag_id")
         .orderBy(F.desc("ts"), "lsid", "tag_name", "kind")
         .limit(n)
     )
@@ -143,8 +149,11 @@ def recent_stored(tables: Tables, lsid: int | None = None, n: int = 20) -> DataF
     width = 1
     while width < len(days):
         newest = records.where((F.col("dt") >= days[width - 1]) | F.col("dt").isNull())
-        found = recent_records(newest, tags, devices, lsid, n)
+        # At most n rows, kept, so that they are computed once.
+        found = cut_lineage(recent_records(newest, tags, devices, lsid, n).withColumn(
+            "_rank", F.monotonically_increasing_id()
+        ))
         if found.count() >= n:
-            return found
+            return found.orderBy("_rank").drop("_rank")
         width *= 2
     return recent_records(records, tags, devices, lsid, n)

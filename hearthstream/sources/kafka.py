@@ -7,11 +7,13 @@ downstream only sees the envelope schema, which the file source shares.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthstream.operators.envelope import DATA_TOPIC_PATTERN, offset_range
+from hearthstream import schemas
+from hearthstream.operators.envelope import DATA_TOPIC_PATTERN
 
 # Fixed values of the publisher.
 PRODUCER_OPTIONS = {
@@ -37,30 +39,46 @@ def source_options(broker: str, topics: list[str] | None = None) -> dict[str, st
 
 
 def offset_options(
-    topics: list[str], start: int, end: int, partitions: list[int] | None = None
+    topics: list[str], start: int, end: int, partitions: list[int] | dict[str, list[int]]
 ) -> dict[str, str]:
-    """Bounded-read options for an offset range.
+    """Bounded-read options for an offset range of the given partitions.
 
     ``start`` -2 or 0 is the earliest, -1 the latest; ``end`` >= 0 is exclusive,
-    -1 the latest.  Without ``partitions`` the options cover every partition of the
-    topics; their number is the broker's, so bounds in the middle are then left
-    to a filter on the offset (:func:`read_offset_range`).
+    -1 the latest.  ``partitions`` are the same for every topic, or listed by topic;
+    a topic without partitions is left out.
     """
     at_start = -2 if start == 0 else start
     at_end = -1 if end < 0 else end
-    if partitions is None:
-        return {
-            "subscribe": ",".join(topics),
-            "startingOffsets": "latest" if at_start == -1 else "earliest",
-            "endingOffsets": "latest",
-        }
+    listed = partitions if isinstance(partitions, dict) else {t: partitions for t in topics}
+    wanted = {t: sorted(listed[t]) for t in topics if listed.get(t)}
     return {
-        "assign": json.dumps({t: partitions for t in topics}),
-        "startingOffsets": json.dumps({t: {str(p): at_start for p in partitions} for t in topics}),
-        "endingOffsets": json.dumps({t: {str(p): at_end for p in partitions} for t in topics}),
+        "assign": json.dumps(wanted),
+        "startingOffsets": json.dumps({t: {str(p): at_start for p in ps} for t, ps in wanted.items()}),
+        "endingOffsets": json.dumps({t: {str(p): at_end for p in ps} for t, ps in wanted.items()}),
     }
 
 
+def partitions_of(spark: SparkSession, broker: str, topics: list[str]) -> dict[str, list[int]]:
+    """The partitions that the broker has of each topic; a topic it does not know has none."""
+    jvm = spark._jvm
+    settings = jvm.java.util.Properties()
+    settings.put("bootstrap.servers", broker)
+    admin = jvm.org.apache.kafka.clients.admin.AdminClient.create(settings)
+    try:
+        known = admin.listTopics().names().get()
+        wanted = jvm.java.util.ArrayList()
+        for t in topics:
+            if known.contains(t):
+                wanted.add(t)
+        described = admin.describeTopics(wanted).allTopicNames().get()
+        return {
+            t: [p.partition() for p in described.get(t).partitions()] if described.containsKey(t) else []
+            for t in topics
+        }
+    finally:
+        admin.close()
+
+
 def _envelope(df: DataFrame) -> DataFrame:
     return df.select(
         "topic",
@@ -94,13 +112,21 @@ def read_offset_range(
     topics: list[str],
     start: int,
     end: int,
-    partitions: list[int] | None = None,
+    partitions: list[int] | dict[str, list[int]] | None = None,
+    resolve: Callable[[SparkSession, str, list[str]], dict[str, list[int]]] = partitions_of,
 ) -> DataFrame:
-    """Envelope rows of an offset range of all (or the given) partitions."""
-    options = {"kafka.bootstrap.servers": broker, "includeHeaders": "true"}
-    options.update(offset_options(topics, start, end, partitions))
-    rows = _envelope(spark.read.format("kafka").options(**options).load())
-    return rows if partitions is not None else offset_range(rows, start, end)
+    """Envelope rows of an offset range of all (or the given) partitions.
+
+    The partitions are looked up once, before the read, so that every one gets its own
+    bounds and nothing outside of them is fetched.
+    """
+    if partitions is None:
+        partitions = resolve(spark, broker, topics)
+    bounds = offset_options(topics, start, end, partitions)
+    if bounds["assign"] == "{}":
+        return schemas.empty(spark, schemas.MESSAGE_DDL)
+    options = {"kafka.bootstrap.servers": broker, "includeHeaders": "true"} | bounds
+    return _envelope(spark.read.format("kafka").options(**options).load())
 
 
 def published_keys(spark: SparkSession, broker: str, topics: list[str]) -> DataFrame:

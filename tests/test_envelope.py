@@ -55,8 +55,10 @@ def test_kafka_options():
     assert kafka.source_options("b:1", ["x", "y"]) == {
         "kafka.bootstrap.servers": "b:1", "includeHeaders": "true", "subscribe": "x,y"}
     assert kafka.source_options("b:1")["subscribePattern"] == E.DATA_TOPIC_PATTERN
-    assert kafka.offset_options(["x", "y"], 3, 9) == {
-        "subscribe": "x,y", "startingOffsets": "earliest", "endingOffsets": "latest"}
+    assert kafka.offset_options(["x", "y", "z"], 3, 9, {"x": [1, 0, 2], "y": [0], "z": []}) == {
+        "assign": '{"x": [0, 1, 2], "y": [0]}',
+        "startingOffsets": '{"x": {"0": 3, "1": 3, "2": 3}, "y": {"0": 3}}',
+        "endingOffsets": '{"x": {"0": 9, "1": 9, "2": 9}, "y": {"0": 9}}'}
     bounded = kafka.offset_options(["x"], 0, 9, [0])
     assert bounded == {
         "assign": '{"x": [0]}', "startingOffsets": '{"x": {"0": -2}}', "endingOffsets": '{"x": {"0": 9}}'}
@@ -65,6 +67,19 @@ def test_kafka_options():
     assert kafka.PRODUCER_OPTIONS["kafka.acks"] == "all"
 
 
+def test_offset_range_looks_up_partitions_once(spark):
+    asked = []
+
+    def resolve(_, broker, topics):
+        asked.append((broker, topics))
+        return {t: [] for t in topics}
+
+    # Topics that the broker does not know: nothing to read, and no Kafka package needed.
+    got = kafka.read_offset_range(spark, "b:1", ["x", "y"], 3, 9, resolve=resolve)
+    assert got.columns == [c.split()[0] for c in ("topic", "partition", "offset", "key", "headers", "value", "timestamp")]
+    assert got.isEmpty() and asked == [("b:1", ["x", "y"])]
+
+
 def test_envelope_files_round_trip(spark, folder):
     df = messages(spark, record(1, {"a": 1}, key="1:1000"), record(2, {"a": 2}, key=""))
     df.write.parquet(f"{folder}/p")

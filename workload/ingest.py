@@ -251,21 +251,18 @@ def metadata_messages(spark, sf):
 
 
 @query("DED5", """
-WITH p AS (SELECT user_id, hts, event_id, CAST(floor(value / 50) AS BIGINT) AS v FROM m
-  QUALIFY row_number() OVER (PARTITION BY user_id, hts ORDER BY event_id) = 1)
-SELECT user_id, hts, v FROM p QUALIFY v IS DISTINCT FROM lag(v) OVER (PARTITION BY user_id ORDER BY hts)""", "m")
+SELECT user_id, hts, event_id, CAST(floor(value / 50) AS BIGINT) AS v FROM m
+QUALIFY CAST(floor(value / 50) AS BIGINT) IS DISTINCT FROM
+  lag(CAST(floor(value / 50) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY hts, event_id)""", "m")
 def changed_payloads(spark, sf):
-    from hearthstream.operators.keyed import first_wins
-
-    ev = first_wins(
-        feeds.events(spark, sf), ["user_id", "hts"], F.col("event_id"), keep=["event_id", "value"]
-    )
     v = F.floor(F.col("value") / 50)
-    payloads = ev.select(
-        "user_id", "hts", v.alias("v"),
+    payloads = feeds.events(spark, sf).select(
+        "user_id", "hts", "event_id", v.alias("v"),
         F.to_json(F.struct(v.alias("v"), F.col("hts").alias("generated_at"))).alias("doc"),
     )
-    return I.changed_payloads(payloads, ["user_id"], "hts", "doc").select("user_id", "hts", "v")
+    return I.changed_payloads(payloads, ["user_id"], ["hts", "event_id"], "doc").select(
+        "user_id", "hts", "event_id", "v"
+    )
 
 
 @query("FN7", "SELECT event_id, sha256(event_type) AS hash FROM m", "m")
