@@ -23,6 +23,12 @@ LINES = 500
 # Words of a generation, about 150 bytes each.
 CACHE_WORDS = 450_000
 CUT = "\0"
+# Texts without any of this are regular: white space beside white space, or any but a plain
+# space or line break.
+DOUBTFUL = (
+    r"  | \n|\n |\n\n\n|\n\n\z|[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 
 class Generation:
@@ -66,8 +72,7 @@ class BatchEncoder:
         tokenizer.no_truncation()
         tokenizer.no_padding()
         tokenizer.encode_special_tokens = plain
-        special = [] if plain else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.special = [] if plain else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.space = re.compile(r"\s")
         self.line = self._ids("\n")
         self.size = size
@@ -137,8 +142,11 @@ class BatchEncoder:
 
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each text has."""
+        doubtful = pc.match_substring_regex(pa.array(texts, pa.large_string()), DOUBTFUL).to_pylist()
         odd = np.array(
-            [irregular(t) or CUT in t or bool(self.special and self.special.search(t)) for t in texts], bool
+            [(d and (CUT in t or irregular(t))) or any(s in t for s in self.special)
+             for d, t in zip(doubtful, texts, strict=True)],
+            bool,
         )
         plain = np.flatnonzero(~odd)
         ids, counts = self._regular(pa.array([texts[k] for k in plain], pa.large_string()))

@@ -187,3 +187,21 @@ def test_grammar_goes_on_until_no_pair_pays(least):
             counts[pair] = counts.get(pair, 0) + 1
             last = (pair, k)
         assert max(counts.values(), default=0) < least
+
+
+def test_every_irregular_text_is_doubtful():
+    import sys
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from hearthstream.llm.tokens import DOUBTFUL
+
+    spaces = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
+    rng = random.Random(3)
+    texts = ["a" + c + d + "b" for c in spaces for d in (*spaces, "")]
+    texts += ["".join(rng.choices(["a", " ", "\n", "\n\n", *spaces], k=rng.randrange(6))) for _ in range(3000)]
+    found = pc.match_substring_regex(pa.array(texts), DOUBTFUL).to_pylist()
+    assert all(f for f, t in zip(found, texts, strict=True) if bpe.irregular(t))
+    plain = "two words\nand a line\n\nand more\n"
+    assert not pc.match_substring_regex(pa.array([plain]), DOUBTFUL)[0].as_py() and not bpe.irregular(plain)
