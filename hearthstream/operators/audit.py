@@ -136,8 +136,3 @@ def cumulative_metrics(batches: DataFrame) -> DataFrame:
     return running_sum(chunked, ["metric"], ["tick"], "n", "value").select(
         "metric", "tick", "value"
     )
-
-
-def empty(df: DataFrame) -> DataFrame:
-    """The same table without rows."""
-    return df.where(F.lit(False))

@@ -98,8 +98,12 @@ class Tables:
                 )
                 draft = f"draft-{uuid.uuid4().hex}"
                 change(current).select(*columns).write.parquet(f"{self.root}/{name}/{draft}")
-                if self._claim(name, base + 1):
-                    self._fs().rename(self._path(name, draft), self._path(name, f"version={base + 1}"))
+                # A rename onto a folder would move the draft inside it: then another writer,
+                # whose claim had lapsed, was late but first.
+                if self._claim(name, base + 1) and not self._exists(name, f"version={base + 1}"):
+                    target = self._path(name, f"version={base + 1}")
+                    if not self._fs().rename(self._path(name, draft), target):
+                        raise OSError(f"cannot publish {target}")
                     break
                 self._delete(name, draft)
             self._drop_old(name, versions, keep)
