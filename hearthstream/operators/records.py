@@ -89,9 +89,23 @@ def first_seen_types(points: DataFrame) -> DataFrame:
     """Type of the first value ever seen per (device, field).
 
     The header types of that first message come along, because a new tag is
-    enriched by them.
+    enriched by them.  The earliest times are found first, by an aggregate over
+    numbers, which holds one row per tag; ordering by the whole arrival has to sort,
+    and then has only the points of those times to sort.  ``points`` are read twice:
+    stage them where that is dear.
     """
-    first = points.groupBy("device_id", "field").agg(
+    # A time that is missing comes first, as it does in the order of arrival.
+    micros = F.coalesce(F.unix_micros("timestamp"), F.lit(-(2**63)))
+    timed = points.withColumn("_micros", micros)
+    earliest = timed.groupBy("device_id", "field").agg(F.min("_micros").alias("_earliest"))
+    candidates = timed.join(
+        earliest.select(F.col("device_id").alias("_device"), F.col("field").alias("_field"), "_earliest"),
+        F.col("device_id").eqNullSafe(F.col("_device"))
+        & (F.col("field") == F.col("_field"))
+        & (F.col("_micros") == F.col("_earliest")),
+        "left_semi",
+    )
+    first = candidates.groupBy("device_id", "field").agg(
         F.min_by(
             F.struct("value_kind", "sensor_type", "data_structure_type"), F.struct(*ARRIVAL)
         ).alias("first")

@@ -91,12 +91,12 @@ def batch_tables(
 ) -> dict[str, DataFrame]:
     """The path without storage: what a first run over the messages would write.
 
-    The new tags are computed right away; the other frames are lazy and can be
-    queried on their own.
+    The points are staged and the new tags computed right away; the other frames are
+    lazy and can be queried on their own.  No body is parsed again for records.
     """
     now = F.current_timestamp() if now is None else now
     judged = judge(messages, devices)
-    points = points_of(judged)
+    points = cut_lineage(points_of(judged), "points")
     fresh = cut_lineage(R.new_tag_rows(R.first_seen_types(points), tags, catalog))
     all_tags = tags.unionByName(cut_lineage(numbered_tags(fresh, tags, now)))
     routed = routed_points(points, all_tags)
