@@ -25,3 +25,21 @@ def test_files_of_an_inbox_arrive_in_the_order_of_their_rows(spark, folder):
     assert len(found) > 8
     assert len({time for time, _, _ in found}) == len(found)
     assert all(before[2] < after[1] for before, after in zip(found, found[1:]))
+
+
+def test_catalog_stream_takes_each_half_at_once(spark, monkeypatch):
+    # In a batch the arrival decides; across batches the order of the files would.
+    from hearthstream.streaming import tables
+    from workload import all_queries
+
+    taken = []
+    apply = tables.apply_catalog
+    monkeypatch.setattr(tables, "apply_catalog", lambda batch, to: (taken.append(batch.count()), apply(batch, to)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        all_queries()["catalog_streamed"].build(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(taken) == 2 and sum(taken) == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
