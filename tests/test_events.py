@@ -182,6 +182,24 @@ def test_state_stream_orders_equal_times_and_starts_from_known_states(spark, fol
         ("e", "off", None), ("e", "on", "off"), ("e", None, "on")]
 
 
+def test_state_stream_calls_the_processor_for_groups_of_entities(spark, folder, monkeypatch):
+    from hearthstream.streaming import states
+
+    monkeypatch.setattr(states, "GROUPS", 8)
+    polls = spark.range(600).selectExpr("concat('e', id % 300) AS entity_id", "CAST(id AS string) AS state", "'x' AS last_changed",
+                                        "'x' AS last_updated", "id AS polled_at")
+    polls.write.parquet(f"{folder}/in")
+    done = state_change_stream(spark.readStream.schema(polls.schema).parquet(f"{folder}/in")).writeStream.format("parquet").option(
+        "path", f"{folder}/out").option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start()
+    done.awaitTermination()
+    log = spark.read.parquet(f"{folder}/out")
+    assert log.where("old_state IS NULL AND polled_at < 300").count() == 300
+    assert log.where("old_state.polled_at = polled_at - 300").count() == 300
+    # One key of the operator is a group: with an entity each, there would be 300.
+    keys = spark.read.format("statestore").option("stateVarName", "last").load(f"{folder}/ck")
+    assert (keys.select("key").distinct().count(), keys.count()) == (8, 300)
+
+
 @pytest.mark.parametrize("body, reason", [
     ('{"domain":5,"service":"s","entity_id":"e"}', "failed to parse command"),
     ('{"domain":"d","service":"s","entity_id":"e","data":[1]}', "failed to parse command"),
