@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import Any
 
@@ -22,6 +23,10 @@ EVENT_COLUMNS = ["event_id", "start_ms", "end_ms", "arrival"]
 # Seconds for which the ids of closed sessions are remembered.
 KEEP_IDS = 7 * 86400
 
+# The ids of a key are kept in this many slots, so that a batch of many ids reads and
+# writes the state by the slot and not by the id.  A checkpoint is bound to the number.
+SLOTS = 1024
+
 CLOSED = "closed"
 CANCELLED = "cancelled"
 
@@ -32,9 +37,9 @@ class SessionProcessor(StatefulProcessor):
     State: the open session; and per event id the number of the session it
     belongs to and when it was last seen.  An id of an earlier session is done and
     ignored, until it has not been seen for ``keep`` seconds: then it is forgotten,
-    so the state holds the ids of that time and no more.  The id map is a state map, so
-    its entries are single rows of the state store however many there are; a batch
-    reads and writes each of its ids once, and the map is swept once in ``keep``.
+    so the state holds the ids of that time and no more.  The ids lie in the slots of a
+    state map, each a row of the state store; a batch reads and writes the slots of its
+    ids once, and all are swept once in ``keep``.
 
     A session is due ``trail + delay`` seconds after its latest end.  If it was
     opened by an event without end, and that event is still alone in it after
@@ -54,7 +59,8 @@ class SessionProcessor(StatefulProcessor):
         )
         self.counter = handle.getValueState("counter", "number bigint, swept bigint")
         self.session_of = handle.getMapState(
-            "session_of", "event_id string", "number bigint, seen bigint"
+            "session_of", "slot int",
+            "ids array<string>, numbers array<bigint>, seen array<bigint>",
         )
 
     # -- helpers ----------------------------------------------------------
@@ -70,21 +76,40 @@ class SessionProcessor(StatefulProcessor):
             "status": status,
         }
 
+    @staticmethod
+    def _slot(event_id: str) -> int:
+        return zlib.crc32(event_id.encode()) % SLOTS
+
+    def _ids(self, slots: dict[int, dict], event_id: str) -> dict[str, tuple[int, int]]:
+        """The ids of a slot with number and time last seen, read once per call."""
+        slot = self._slot(event_id)
+        if slot not in slots:
+            stored = self.session_of.getValue((slot,))
+            slots[slot] = {i: (n, t) for i, n, t in zip(*stored)} if stored else {}
+        return slots[slot]
+
+    def _store(self, slot: int, ids: dict[str, tuple[int, int]]) -> None:
+        if ids:
+            numbers, seen = zip(*ids.values())
+            self.session_of.updateValue((slot,), (list(ids), list(numbers), list(seen)))
+        else:
+            self.session_of.removeKey((slot,))
+
     def _settle(
-        self, key: Any, session: dict | None, now: int, out: list[dict], known: dict | None = None
+        self, key: Any, session: dict | None, now: int, out: list[dict], slots: dict[int, dict],
+        changed: set[int],
     ) -> dict | None:
         """Cancel or close the session if its time has come.
 
-        The id of a cancelled one is forgotten, in the state and among the ids in hand.
+        The id of a cancelled one is forgotten.
         """
         if session is None:
             return None
         if session["waiting_since"] is not None and now > session["waiting_since"] + self.timeout:
             session["waiting_since"] = None
             if session["end_ms"] == 0 and session["events"] == 1:
-                self.session_of.removeKey((session["first_id"],))
-                if known is not None:
-                    known[session["first_id"]] = None
+                self._ids(slots, session["first_id"]).pop(session["first_id"], None)
+                changed.add(self._slot(session["first_id"]))
                 out.append(self._row(key, session, CANCELLED))
                 return None
         if session["end_ms"] > 0 and now >= session["due"]:
@@ -136,13 +161,15 @@ class SessionProcessor(StatefulProcessor):
 
     def _sweep(self, now: int, open_number: int | None) -> None:
         """Forget the ids of earlier sessions that have not been seen for ``keep`` seconds."""
-        old = [
-            event_id
-            for (event_id,), (number, seen) in self.session_of.iterator()
-            if number != open_number and seen < now - self.keep
-        ]
-        for event_id in old:
-            self.session_of.removeKey((event_id,))
+        kept: dict[int, dict] = {}
+        for (slot,), stored in self.session_of.iterator():
+            ids = {
+                i: (n, t) for i, n, t in zip(*stored) if n == open_number or t >= now - self.keep
+            }
+            if len(ids) < len(stored[0]):
+                kept[slot] = ids
+        for slot, ids in kept.items():
+            self._store(slot, ids)
 
     @staticmethod
     def _frame(rows: list[dict]) -> Iterator[pd.DataFrame]:
@@ -156,7 +183,8 @@ class SessionProcessor(StatefulProcessor):
         now = timerValues.getCurrentProcessingTimeInMs() // 1000
         last, swept = self.counter.get() if self.counter.exists() else (0, None)
         out: list[dict] = []
-        known: dict[str, tuple[int, int] | None] = {}
+        slots: dict[int, dict] = {}
+        changed: set[int] = set()
         if self.by_arrival:
             # Sorting needs the key's rows of one micro-batch, whose size the source
             # bounds; only the four narrow columns in use are held.
@@ -164,28 +192,25 @@ class SessionProcessor(StatefulProcessor):
             frames = iter([batch.sort_values(["arrival", "event_id"], kind="stable")])
         else:
             # A micro-batch is one tick of the clock: what is due closes before it.
-            session = self._settle(key, session, now, out, known)
+            session = self._settle(key, session, now, out, slots, changed)
             frames = rows
-        changed: set[str] = set()
         for frame in frames:
             for event in frame.itertuples(index=False):
                 if self.by_arrival:
                     now = int(event.arrival)
-                    session = self._settle(key, session, now, out, known)
-                if event.event_id not in known:
-                    known[event.event_id] = self.session_of.getValue((event.event_id,))
-                member = known[event.event_id]
+                    session = self._settle(key, session, now, out, slots, changed)
+                ids = self._ids(slots, event.event_id)
+                member = ids.get(event.event_id)
                 elsewhere = member is not None and (session is None or member[0] != session["number"])
                 if elsewhere and member[1] >= now - self.keep:
                     continue
                 if session is None:
                     last += 1
                 session = self._add(session, last, event, now)
-                known[event.event_id] = (session["number"], now)
-                changed.add(event.event_id)
-        for event_id in changed:
-            if known[event_id] is not None:
-                self.session_of.updateValue((event_id,), known[event_id])
+                ids[event.event_id] = (session["number"], now)
+                changed.add(self._slot(event.event_id))
+        for slot in changed:
+            self._store(slot, slots[slot])
         if swept is None or now >= swept + self.keep:
             self._sweep(now, session["number"] if session else None)
             swept = now
@@ -196,7 +221,11 @@ class SessionProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         out: list[dict] = []
         now = expiredTimerInfo.getExpiryTimeInMs() // 1000
-        self._save(self._settle(key, self._load(), now, out))
+        slots: dict[int, dict] = {}
+        changed: set[int] = set()
+        self._save(self._settle(key, self._load(), now, out, slots, changed))
+        for slot in changed:
+            self._store(slot, slots[slot])
         yield from self._frame(out)
 
     def close(self) -> None:

@@ -187,6 +187,16 @@ def test_stream_forgets_ids_after_a_while(spark, folder):
     assert got == [(100000, 110000, 1, "closed"), (3000000, 3001000, 1, "closed"), (5000000, 5001000, 1, "closed")]
 
 
+def test_stream_keeps_ids_in_slots(spark, folder):
+    from hearthstream.streaming.sessions import SLOTS
+
+    first = [(f"e{i:05}", 1000, 1001, 1000 + i % 3) for i in range(3 * SLOTS)]
+    # All of them again, when their session is closed: none counts.
+    got = streamed(spark, folder, first, [("b", 5000, 5001, 5000), *[(i, 1000, 6000, 5001) for i, *_ in first]], [LATER])
+    assert got == [(1000000, 1001000, 3 * SLOTS, "closed"), (5000000, 5001000, 1, "closed")]
+    assert spark.read.format("statestore").option("stateVarName", "session_of").load(f"{folder}/ck").count() <= SLOTS
+
+
 def test_event_ids_in_chunks(spark):
     values = [(f"e{i:02}", 100 + i, 200, 100 + i) for i in range(7)] + [("z", 900, 901, 900), ("y", 900, 901, 900)]
     members = S.session_members(events(spark, *values), chunk_seconds=2)
