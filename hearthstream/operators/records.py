@@ -16,6 +16,7 @@ from hearthstream.functions import (
 )
 from hearthstream.operators.envelope import ARRIVAL, headers_map
 from hearthstream.operators.keyed import first_wins
+from hearthstream.session import cut_lineage
 
 # Reasons stored with dead letters.
 MISSING_DEVICE = "missing_device"
@@ -89,27 +90,45 @@ def first_seen_types(points: DataFrame) -> DataFrame:
     """Type of the first value ever seen per (device, field).
 
     The header types of that first message come along, because a new tag is
-    enriched by them.  The earliest times are found first, by an aggregate over
-    numbers, which holds one row per tag; ordering by the whole arrival has to sort,
-    and then has only the points of those times to sort.  ``points`` are read twice:
-    stage them where that is dear.
+    enriched by them.  The earliest time of each type of a tag is found by an aggregate
+    over numbers, which no sort of the points precedes.  Only where two types of a tag
+    share its earliest time does the rest of the arrival decide, and only the points of
+    those tags and times are ordered by it.  ``points`` are read twice: stage them where
+    that is dear.
     """
     # A time that is missing comes first, as it does in the order of arrival.
     micros = F.coalesce(F.unix_micros("timestamp"), F.lit(-(2**63)))
     timed = points.withColumn("_micros", micros)
-    earliest = timed.groupBy("device_id", "field").agg(F.min("_micros").alias("_earliest"))
+    types = ["value_kind", "sensor_type", "data_structure_type"]
+    by_type = cut_lineage(
+        timed.groupBy("device_id", "field", *types).agg(F.min("_micros").alias("_earliest"))
+    )
+    # The least and the greatest type of the earliest time: more than one, if they differ.
+    by_tag = by_type.groupBy("device_id", "field").agg(
+        F.min(F.struct("_earliest", *types)).alias("_least"),
+        F.max(F.struct(F.bitwise_not("_earliest").alias("_latest"), *types)).alias("_greatest"),
+    )
+    alone = F.struct(*[F.col(f"_least.{c}") for c in types]) == F.struct(
+        *[F.col(f"_greatest.{c}") for c in types]
+    )
+    tied = cut_lineage(
+        by_tag.where(~alone).select(
+            F.col("device_id").alias("_device"), F.col("field").alias("_field"), "_least._earliest"
+        )
+    )
     candidates = timed.join(
-        earliest.select(F.col("device_id").alias("_device"), F.col("field").alias("_field"), "_earliest"),
+        tied,
         F.col("device_id").eqNullSafe(F.col("_device"))
         & (F.col("field") == F.col("_field"))
         & (F.col("_micros") == F.col("_earliest")),
         "left_semi",
     )
-    first = candidates.groupBy("device_id", "field").agg(
-        F.min_by(
-            F.struct("value_kind", "sensor_type", "data_structure_type"), F.struct(*ARRIVAL)
-        ).alias("first")
+    ordered = candidates.groupBy("device_id", "field").agg(
+        F.min_by(F.struct(*types), F.struct(*ARRIVAL)).alias("first")
     )
+    first = by_tag.where(alone).select(
+        "device_id", "field", F.struct(*[F.col(f"_least.{c}") for c in types]).alias("first")
+    ).unionByName(ordered)
     return first.select(
         "device_id",
         F.col("field").alias("tag_name"),

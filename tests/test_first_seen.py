@@ -49,3 +49,19 @@ def test_first_seen_types_sort_only_the_points_of_the_earliest_times(spark):
     ordered = next(i for i, line in enumerate(plan.splitlines()) if "min_by(" in line)
     assert len(aggregates) == 2
     assert any("LeftSemi" in line for line in plan.splitlines()[ordered:])
+
+
+def test_first_seen_types_order_no_points_where_the_time_decides(spark):
+    many = spark.range(2000).select(
+        (F.col("id") % 4).alias("device_id"), F.lit("a").alias("field"),
+        F.when(F.col("id") < 1000, "number").otherwise("string").alias("value_kind"),
+        F.lit(1).cast("bigint").alias("sensor_type"), F.lit(None).cast("bigint").alias("data_structure_type"),
+        # Device 3 has two types at its earliest time.
+        F.timestamp_seconds(F.when(F.col("id") % 4 == 3, 7).otherwise(F.col("id"))).alias("timestamp"),
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), (2000 - F.col("id")).alias("offset"),
+    )
+    found = R.first_seen_types(many)
+    assert sorted((r.device_id, r.data_type) for r in found.collect()) == [
+        (0, "numeric"), (1, "numeric"), (2, "numeric"), (3, "text")]
+    # The tags with several types at once are known, and so few, when the points are joined with them.
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
