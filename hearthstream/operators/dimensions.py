@@ -19,6 +19,7 @@ from hearthstream.functions import (
 from hearthstream.operators.envelope import ARRIVAL
 from hearthstream.operators.keyed import last_wins, upsert
 from hearthstream.operators.records import with_catalog
+from hearthstream.session import cut_lineage
 
 # Reasons stored with dead letters.
 BAD_METADATA = "failed to parse metadata: not a JSON object"
@@ -73,7 +74,21 @@ def classify_metadata(messages: DataFrame) -> DataFrame:
 
 def split_metadata(messages: DataFrame) -> Metadata:
     """Station messages, device messages, and the rest with a reason."""
+    return _split(classify_metadata(messages))
+
+
+def staged_metadata(messages: DataFrame) -> Metadata:
+    """The same out of one pass that parses the messages and stages them by class.
+
+    The text of a message is kept where it is invalid, and only its fields elsewhere.
+    """
     marked = classify_metadata(messages)
+    invalid = F.col("class") == "invalid"
+    lean = {c: F.when(invalid, F.col(c)) for c in ("key", "headers", "value")}
+    return _split(cut_lineage(marked.withColumns({**lean, "doc": F.when(~invalid, F.col("doc"))})))
+
+
+def _split(marked: DataFrame) -> Metadata:
     return Metadata(
         devices=marked.where(F.col("class") == "device").drop("class", "reason"),
         stations=marked.where(F.col("class") == "station").drop("class", "reason"),

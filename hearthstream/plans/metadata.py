@@ -23,8 +23,9 @@ def _dead(invalid: DataFrame, tables: Tables, now: Column) -> None:
 def apply_metadata(messages: DataFrame, tables: Tables, now: Column | None = None) -> None:
     """Device messages are upserted, then station messages update their devices."""
     now = F.current_timestamp() if now is None else now
-    split = D.split_metadata(messages)
-    # Staged: the upsert refers to its input several times, the messages are parsed once.
+    # Staged by class: the messages are parsed once, and each step reads its own.
+    split = D.staged_metadata(messages)
+    # Staged: the upsert refers to its input several times.
     rows = cut_lineage(D.latest_devices(split.devices))
     if not rows.isEmpty():
         tables.update_dimension("devices", lambda old: D.upsert_devices(old, rows, now))

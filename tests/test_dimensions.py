@@ -184,3 +184,26 @@ def test_deleting_a_device_rewrites_only_its_partitions(spark, folder):
     assert files("1970-01-03") == untouched and not os.path.exists(f"{folder}/records/kind=null/dt=1970-01-01")
     assert rows(tables.dimension("tags"), "id") == [(1,)] and rows(tables.dimension("devices"), "lsid") == [(10,)]
     assert delete_device(tables, 20) == 0
+
+
+def test_metadata_is_parsed_once(spark, folder):
+    from hearthstream import schemas
+    from hearthstream.plans.metadata import apply_metadata
+    from hearthstream.sources.tables import Tables
+
+    bodies = ['{"lsid":1,"category":"a"}', '{"lsid":1,"category":"b"}', '{"stations":[{"station_id":4,"station_name":"s"}]}', "{broken", '{"x":1}']
+    plain = spark.createDataFrame(
+        [("t", 0, i, None, [], b.encode(), None) for i, b in enumerate(bodies)], schemas.MESSAGE_DDL)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    tables = Tables(spark, folder)
+    apply_metadata(plain.mapInPandas(counted, plain.schema), tables, F.lit("2026-01-01").cast("timestamp"))
+    assert read.value == len(bodies)
+    device = tables.dimension("devices").first()
+    assert (device.lsid, device.category, device.station_id, device.station_name) == (1, "b", 4, "s")
+    assert sorted((r.offset, r.message_body) for r in tables.orphans().collect()) == [(3, "{broken"), (4, '{"x":1}')]
