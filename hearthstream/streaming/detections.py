@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthstream.functions.documents import with_once
 from hearthstream.operators import detections as D
 from hearthstream.sources.files import new_images
 
@@ -16,11 +17,6 @@ SCORED_DDL = "path string, top array<struct<label:string,confidence:double>>"
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
-def with_observations(images: DataFrame, observations: DataFrame) -> DataFrame:
-    """Images with the ``observations`` array a table holds for their path."""
-    return images.join(observations.select("path", "observations"), "path")
-
-
 def best_crops(images: DataFrame) -> DataFrame:
     """Best allowed detection per image of a known event type; others are dropped."""
     kind = D.event_type_from_path(F.col("path"))
@@ -31,10 +27,18 @@ def best_crops(images: DataFrame) -> DataFrame:
     return allowed.withColumn("best", F.explode(F.array_compact(F.array(best)))).drop("_allowed")
 
 
-def scored_by_table(images: DataFrame, observations: DataFrame, n: int = 5) -> DataFrame:
-    """Top labels per image, from a table of observations."""
-    return with_observations(images, observations).select(
-        F.col("path").alias("image_path"), D.top_labels(F.col("observations"), n).alias("top")
+def scored_by_table(
+    images: DataFrame, table: DataFrame, n: int = 5, observations: Column | None = None
+) -> DataFrame:
+    """Top labels per image, from a table (path, observations).
+
+    ``observations`` derives the array from other columns of the table.  That and the
+    ranking are done once for each image that is met, not for every row of the table.
+    """
+    found = F.col("observations") if observations is None else observations
+    met = images.select("path").join(table, "path")
+    return with_once(met, "top", D.top_labels(found, n)).select(
+        F.col("path").alias("image_path"), "top"
     )
 
 

@@ -94,3 +94,32 @@ def test_stream_of_images_publishes_each_once(spark, folder):
         if name.strip(".").split(".")[0] == "1":
             os.remove(f"{folder}/ck/commits/{name}")
     assert run() == ["dog", "cat"]
+
+
+def test_files_of_a_micro_batch_are_not_listed_by_a_task_each(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/in")
+    for k in range(200):
+        open(f"{folder}/in/{k}.jpg", "wb").write(b"jpeg")
+    table = spark.range(200).select(F.concat(F.col("id").cast("string"), F.lit(".jpg")).alias("path"), F.array(F.lit(0.5)).alias("c"))
+    seen = F.substring_index("path", "/", -1)
+    kept = F.transform("c", lambda c: F.struct(F.lit("car").alias("label"), c.alias("confidence")))
+    messages = detection_stream(spark, f"{folder}/in", lambda df: scored_by_table(df.withColumn("path", seen), table, observations=kept), F.lit(5))
+    run = publish_once(messages, f"{folder}/out", f"{folder}/ck").trigger(availableNow=True).start()
+    run.awaitTermination()
+    assert published(spark, f"{folder}/out").count() == 200
+    tracker = spark.sparkContext.statusTracker()
+    stages = [i for job in tracker.getJobIdsForGroup(str(run.runId)) for i in tracker.getJobInfo(job).stageIds]
+    assert stages and max(tracker.getStageInfo(i).numTasks for i in stages if tracker.getStageInfo(i)) < 200
+
+
+def test_a_table_is_ranked_only_for_the_images_that_are_met(spark):
+    images = spark.createDataFrame([("a",)], "path string")
+    table = spark.createDataFrame([("a", [0.1, 0.7]), ("b", [0.3])], "path string, c array<double>")
+    kept = F.transform("c", lambda c, i: F.struct(i.cast("string").alias("label"), c.alias("confidence")))
+    scored = D.detection_messages(scored_by_table(images, table, observations=kept), F.lit(5))
+    assert [json.loads(r.value)["top"][0]["label"] for r in scored.collect()] == ["1"]
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join", 1)
+    assert "lambda" in above and "lambda" not in below

@@ -140,7 +140,7 @@ SELECT 'vehicle:' || CAST(vec_id AS VARCHAR) AS key, vec_id AS ts, image AS imag
 FROM img""", "obs")
 def detections_streamed(spark, sf):
     """Image files through the stream, in two runs and an idle one."""
-    images = feeds.observed_images(spark, sf)
+    images = feeds.embedded_images(spark, sf)
     inbox, out, offsets = (scratch_dir(spark, x) for x in ("images", "detections", "offsets"))
     # Uniform resource names with a scheme, also for a plain local folder.
     inbox = inbox if ":" in inbox else f"file://{inbox}"
@@ -150,7 +150,11 @@ def detections_streamed(spark, sf):
     for part in (images.where(first), images.where(~first), images.where("false")):
         feeds.place_images(part, inbox)
         messages = detection_stream(
-            spark, inbox, lambda found: scored_by_table(found.withColumn("path", inside), images),
+            spark, inbox,
+            lambda found: scored_by_table(
+                found.withColumn("path", inside), images,
+                observations=feeds.observed(F.col("embedding")),
+            ),
             F.lit(feeds.NOW_EPOCH),
         )
         publish_once(messages, out, offsets).trigger(availableNow=True).start().awaitTermination()
