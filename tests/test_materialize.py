@@ -303,3 +303,18 @@ def test_stages_of_a_scope_go_with_it(spark, folder):
         inner = cut_lineage(spark.range(5)).inputFiles()[0]
         assert os.path.exists(inner.removeprefix("file://"))
     assert not os.path.exists(inner.removeprefix("file://")) and kept.count() == 3
+
+
+def test_versions_of_orphans_are_not_sorted_before_they_are_dealt_out(spark, folder, monkeypatch):
+    empty = schemas.empty(spark, schemas.ORPHANS_DDL)
+    fresh = spark.range(40).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), (F.col("id") % 20).alias("offset"),
+        F.col("id").alias("lsid"), F.lit("r").alias("reason"), F.lit("").alias("tag_name"),
+        F.timestamp_seconds("id").alias("created_at"), (F.col("id") == 3).alias("reprocessed"))
+    empty.unionByName(fresh, allowMissingColumns=True).write.parquet(f"{folder}/log")
+    log = spark.read.schema(schemas.ORPHANS_DDL).parquet(f"{folder}/log")
+    monkeypatch.setattr(O, "SORTED_ROWS", 10)
+    current = O.latest_versions(log)
+    assert sorted((r.offset, r.lsid, r.reprocessed) for r in current.collect()) == [(k, k + 20, k == 3) for k in range(20)]
+    below = O.latest_versions(log)._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)[1]
+    assert "Sort" not in below and "hashpartitioning(topic" in below and ", 5)" in below.split("\n")[0]
