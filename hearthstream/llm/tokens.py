@@ -21,7 +21,9 @@ from hearthstream.llm.bpe import irregular
 
 LINES = 500
 # Words of a generation, about 150 bytes each.
-CACHE_WORDS = 450_000
+CACHE_WORDS = 600_000
+# Texts that are cut into words at once.
+SLICE = 1000
 CUT = "\0"
 # Texts without any of this are regular: white space beside white space, or any but a plain
 # space or line break.
@@ -29,6 +31,8 @@ DOUBTFUL = (
     r"  | \n|\n |\n\n\n|\n\n\z|[\x00\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# A letter, and one mark after it that ends its word.
+ENDED = f"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([,.;:!?]{CUT})"
 
 
 class Generation:
@@ -130,6 +134,8 @@ class BatchEncoder:
         """Ids of texts whose words are parted by single spaces and line breaks, and their number for each."""
         # A cut before every space and around every line break: words keep the space before them.
         marked = pc.replace_substring(pc.replace_substring(texts, " ", CUT + " "), "\n", f"{CUT}\n{CUT}")
+        # And before a mark that ends a word: it is a piece of its own there.
+        marked = pc.replace_substring_regex(marked, ENDED, r"\1" + CUT + r"\2")
         lists = pc.split_pattern(marked, CUT)
         ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
         coded = lists.flatten().dictionary_encode()
@@ -173,7 +179,10 @@ def encoder(path: str, plain: bool = False, size: int = CACHE_WORDS) -> BatchEnc
 
 def token_bytes(path: str, texts: list[str]) -> list[bytes]:
     """The ids of texts as little-endian unsigned 32-bit integers."""
-    ids, counts = encoder(path).batch(texts)
-    raw = ids.astype("<u4").tobytes()
-    ends = 4 * np.cumsum(counts)
-    return [raw[a:b] for a, b in zip((ends - 4 * counts).tolist(), ends.tolist(), strict=True)]
+    out = []
+    for k in range(0, len(texts), SLICE):
+        ids, counts = encoder(path).batch(texts[k : k + SLICE])
+        raw = ids.astype("<u4").tobytes()
+        ends = 4 * np.cumsum(counts)
+        out += [raw[a:b] for a, b in zip((ends - 4 * counts).tolist(), ends.tolist(), strict=True)]
+    return out

@@ -205,3 +205,15 @@ def test_every_irregular_text_is_doubtful():
     assert all(f for f, t in zip(found, texts, strict=True) if bpe.irregular(t))
     plain = "two words\nand a line\n\nand more\n"
     assert not pc.match_substring_regex(pa.array([plain]), DOUBTFUL)[0].as_py() and not bpe.irregular(plain)
+
+
+def test_a_mark_after_a_word_is_learned_apart_from_it():
+    import public_tokenizers
+    from hearthstream.llm.tokens import BatchEncoder
+
+    encode = BatchEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["One, two, één, it's, two; x2, we're: \"so\", two!\ntwo,\nend.", "two,, a.b, two ,", ",", "two,"]
+    ids, counts = encode.batch(texts)
+    want = [e.ids for e in encode.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert {" two", " één", ","} <= encode.now.slots.keys() and not {" two,", " één,", " two;"} & encode.now.slots.keys()
