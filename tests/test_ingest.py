@@ -48,6 +48,18 @@ def test_shaping(spark, folder):
     assert I.ingest_counts(points, sensors(spark), keys(spark, "2:1000")).first() == (2, 3, 1)
 
 
+def test_sensor_lookup_never_broadcasts_points(spark, folder):
+    snaps = files.read_current_conditions(spark, snapshot_file(folder, SNAPSHOT))
+    # More sensors than the points seem to have bytes, sensor 2 twice, sensor 9 unknown.
+    many = spark.range(1, 100000).where("id <> 9").select(F.col("id").alias("lsid"), F.lit("ISS").alias("category"))
+    sensors = many.union(spark.sql("SELECT * FROM VALUES (2L, 'Attic'), (NULL, 'Lost')"))
+    found = I.with_sensor(I.keyed_points(I.explode_points(snaps)), sensors).select("lsid", "ts", "category")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildLeft" not in plan
+    assert rows(found) == [
+        (1, 0, "ISS"), (1, 0, "ISS"), (1, 1000, "ISS"), (1, 1000, "ISS"), (2, 1000, "Attic"), (2, 1000, "ISS")]
+
+
 def test_topics(spark):
     df = spark.createDataFrame([("ISS",), ("barometer",), ("Inside Temp/Hum",), ("Health",), ("x",), (None,)], "c string")
     assert rows(df.select("c", I.topic_for_category(F.col("c")))) == sorted([
